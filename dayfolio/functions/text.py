@@ -145,25 +145,39 @@ def compare_text(c: Column | str) -> Column:
     return fold_compare(nfkc(_column(c)))
 
 
-def char_ngrams(c: Column | str, size: int) -> Column:
-    """Every run of ``size`` code points, repeats included."""
+def let(value: Column, body) -> Column:
+    """Evaluates ``value`` once and hands it to ``body``.
+
+    A lambda body that mentions an outer expression evaluates it again for
+    every element; a bound variable is evaluated once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def characters(c: Column | str) -> Column:
+    """The code points of a text; an empty array for an empty text."""
     text = _column(c)
-    starts = F.when(F.char_length(text) >= size, F.sequence(F.lit(1), F.char_length(text) - (size - 1)))
-    grams = F.transform(starts, lambda i: F.substr(text, i, F.lit(size)))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
+
+
+def char_ngrams(c: Column | str, size: int) -> Column:
+    """Every run of ``size`` code points, repeats included, in linear time."""
+    grams = let(characters(c), lambda chars: F.when(
+        F.size(chars) >= size,
+        F.transform(F.sequence(F.lit(1), F.size(chars) - (size - 1)),
+                    lambda i: F.array_join(F.slice(chars, i, F.lit(size)), ""))))
     return F.coalesce(grams, F.array().cast("array<string>"))
 
 
 def numbered(grams: Column) -> Column:
     """Gives the n-th copy of a gram the suffix n, turning a bag into a set.
 
-    The copies are counted on the sorted list: a copy's number is its distance
-    from the first equal element.
+    For short texts: a copy's number is its distance from the first equal
+    element of the sorted list.
     """
-    ordered = F.sort_array(grams)
-    return F.transform(
+    return let(F.sort_array(grams), lambda ordered: F.transform(
         ordered,
-        lambda g, i: F.concat(g, F.lit("#"), (i - F.array_position(ordered, g) + F.lit(1)).cast("string")),
-    )
+        lambda g, i: F.concat(g, F.lit("#"), (i - F.array_position(ordered, g) + F.lit(1)).cast("string"))))
 
 
 def count_script(c: Column | str, character_class: str) -> Column:
@@ -186,42 +200,46 @@ def number_free(text: Column) -> Column:
     return F.regexp_replace(text, "\\p{N}+(?:[.,]\\p{N}+)?", "#")
 
 
-def anchors(folded: Column, length: int, left: int, letters: int,
-            marks: str = MARKS, letter: str = "\\p{IsHiragana}") -> Column:
-    """The window of ``length`` characters around each sentence mark.
-
-    ``folded`` is normalised prose. A window needs ``letters`` characters of
-    the letter class. Windows at the ends are shifted inwards.
-    """
-    text = F.regexp_replace(folded, f"{SPACE}+", "")
-    size = F.char_length(text)
-    # Every character that is not a mark is dropped by position, so the list
-    # holds one start per mark and not one entry per character.
+def _windows(chars: Column, length: int, left: int, letters: int, marks: str, letter: str) -> Column:
+    size = F.size(chars)
     places = F.filter(
-        F.transform(F.split(text, ""), lambda ch, i: F.when(ch.rlike(marks), i)),
+        F.transform(chars, lambda ch, i: F.when(ch.rlike(marks), i)),
         lambda i: i.isNotNull(),
     )
     windows = F.transform(
         places,
-        lambda i: F.substr(text, F.greatest(F.lit(0), F.least(i - left, size - length)) + 1, F.lit(length)),
+        lambda i: F.array_join(
+            F.slice(chars, F.greatest(F.lit(0), F.least(i - left, size - length)) + 1, F.lit(length)), ""),
     )
     kept = F.filter(windows, lambda w: F.regexp_count(w, F.lit(f"[{letter}]")) >= letters)
     return F.when(size >= length, kept).otherwise(F.array().cast("array<string>"))
 
 
+def anchors(folded: Column, length: int, left: int, letters: int,
+            marks: str = MARKS, letter: str = "\\p{IsHiragana}") -> Column:
+    """The window of ``length`` characters around each sentence mark.
+
+    ``folded`` is normalised prose. A window needs ``letters`` characters of
+    the letter class. Windows at the ends are shifted inwards.
+    """
+    bare = F.regexp_replace(folded, f"{SPACE}+", "")
+    return let(characters(bare), lambda chars: _windows(chars, length, left, letters, marks, letter))
+
+
 def structure_signatures(folded: Column, structure: dict = config.STRUCTURE,
                          marks: str = MARKS, letter: str = "\\p{IsHiragana}") -> Column:
     """Distinct long anchors and ordered pairs of nearby short anchors."""
-    long = anchors(folded, structure["long"], structure["long_left"], structure["long_hiragana"], marks, letter)
-    short = anchors(folded, structure["short"], structure["short_left"], structure["short_hiragana"], marks, letter)
-    pairs = F.flatten(F.transform(
-        short,
-        lambda first, i: F.transform(
-            F.slice(short, i + 2, F.lit(structure["gap"])),
-            lambda second: F.concat(F.lit("pair\x00"), first, F.lit("\x00"), second),
-        ),
-    ))
-    return F.array_distinct(F.concat(F.transform(long, lambda a: F.concat(F.lit("long\x00"), a)), pairs))
+    def both(chars: Column) -> Column:
+        long = _windows(chars, structure["long"], structure["long_left"], structure["long_hiragana"], marks, letter)
+        short = _windows(chars, structure["short"], structure["short_left"], structure["short_hiragana"], marks, letter)
+        pairs = let(short, lambda held: F.flatten(F.transform(
+            held,
+            lambda first, i: F.transform(
+                F.slice(held, i + 2, F.lit(structure["gap"])),
+                lambda second: F.concat(F.lit("pair\x00"), first, F.lit("\x00"), second)))))
+        return F.array_distinct(F.concat(F.transform(long, lambda a: F.concat(F.lit("long\x00"), a)), pairs))
+
+    return let(characters(F.regexp_replace(folded, f"{SPACE}+", "")), both)
 
 
 # Entities a landed page may use besides numeric ones.

@@ -73,6 +73,8 @@ def _range_table(ranged: DataFrame, group: Sequence[str], *aggregates: Column) -
 def with_position(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                   name: str = "position", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Adds the 1-based place of each row in its group."""
+    if not group:
+        return with_position(df.withColumn("_all", F.lit(0)), ["_all"], order, name, rows_per_range).drop("_all")
     ranged = with_range(df, group, order, rows_per_range)
     across = Window.partitionBy(*["_g_" + c for c in group]).orderBy("_g_range")
     offsets = (
@@ -92,6 +94,9 @@ def with_position(df: DataFrame, group: Sequence[str], order: Sequence[Column |
 def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                   columns: dict[str, Column | str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Adds, under each new name, the value the preceding row of the group has."""
+    if not group:
+        whole = df.withColumn("_all", F.lit(0))
+        return with_previous(whole, ["_all"], order, columns, rows_per_range).drop("_all")
     wanted = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
     ranged = with_range(df, group, order, rows_per_range).withColumn("_row", wanted)
     across = Window.partitionBy(*["_g_" + c for c in group]).orderBy("_g_range")
