@@ -70,6 +70,22 @@ METADATA_FIELDS = (
     "authors ARRAY<STRING>, abstract STRING, comments STRING, primaryCategory STRING"
 )
 
+SUMMARY = _nested("rank INT, arxivId STRING, url STRING, title STRING, titleJa STRING, authors ARRAY<STRING>, "
+                  f"paperType STRING, totalScore INT, eminentAuthors ARRAY<{BADGE}>")
+PUBLIC_PAPER = _nested(f"{PAPER_FIELDS}, eminentAuthors ARRAY<{BADGE}>")
+CATEGORY = _nested(
+    f"schemaVersion STRING, slug STRING, label STRING, {REPORT_COUNTS}, audit {AUDIT}, topPapers ARRAY<{PUBLIC_PAPER}>, "
+    f"otherPapers ARRAY<{SUMMARY}>, eminentAuthorPaperCount INT"
+)
+PIPELINE = _nested(
+    f"mode STRING, rubricVersion STRING, scoreMaximum INT, evaluationRun {RUN}, authorPolicy STRING, audit MAP<STRING, {AUDIT}>"
+)
+EDITION = (
+    "schemaVersion STRING, sourceMode STRING, date STRING, status STRING, statusMessage STRING, generatedAtJst STRING, "
+    f"lastSuccessfulAtJst STRING, availableDates ARRAY<STRING>, categories MAP<STRING, {CATEGORY}>, pipeline {PIPELINE}"
+)
+INDEX = "schemaVersion STRING, latestDate STRING, availableDates ARRAY<STRING>, generatedAtJst STRING, lastSuccessfulAtJst STRING"
+
 # Closed key sets.
 REPORT_KEYS = ("schemaVersion", "reportDate", "evaluationRun", "slug", "label", "totalNew", "crosslistsExcluded",
                "evaluatedCount", "fullTextEvaluatedCount", "papers", "audit")
