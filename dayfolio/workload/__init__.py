@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("ranking", "counts")
+_MODULES = ("ranking", "counts", "checks")
 
 
 def _load():
