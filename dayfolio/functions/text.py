@@ -9,7 +9,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from dayfolio import config
 
@@ -248,24 +248,35 @@ _ENTITY = "&(?:#\\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _one_entity(entity: Column) -> Column:
-    body = F.lower(F.regexp_extract(entity, "&(.*);", 1))
     named = F.create_map(*[F.lit(v) for pair in NAMED_ENTITIES.items() for v in pair])
-    code = (
-        F.when(body.startswith("#x"), F.conv(F.substr(body, F.lit(3)), 16, 10).cast("long"))
-        .when(body.startswith("#"), F.substr(body, F.lit(2)).try_cast("long"))
-    )
-    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    character = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
-    return F.coalesce(F.try_element_at(named, body), character)
+
+    def decoded(body: Column) -> Column:
+        code = (F.when(body.startswith("#x"), F.conv(F.substr(body, F.lit(3)), 16, 10).cast("long"))
+                .when(body.startswith("#"), F.substr(body, F.lit(2)).try_cast("long")))
+        return let(code, lambda n: F.coalesce(
+            F.try_element_at(named, body),
+            F.when((n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))))
+
+    return let(F.lower(F.regexp_extract(entity, "&(.*);", 1)), decoded)
 
 
 def decode_entities(c: Column | str) -> Column:
     """Replaces six named and all numeric entities; null when one is unknown."""
-    text = _column(c)
-    found = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
-    decoded = F.transform(found, _one_entity)
-    parts = F.split(text, _ENTITY, -1)
-    joined = F.array_join(
-        F.zip_with(parts, decoded, lambda p, d: F.concat(F.coalesce(p, F.lit("")), F.coalesce(d, F.lit("")))), ""
-    )
-    return F.when(~F.exists(decoded, lambda d: d.isNull()), joined)
+    def replaced(text: Column) -> Column:
+        return let(F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), _one_entity), lambda found: F.when(
+            ~F.exists(found, lambda d: d.isNull()),
+            F.array_join(F.zip_with(F.split(text, _ENTITY, -1), found,
+                                    lambda p, d: F.concat(F.coalesce(p, F.lit("")), F.coalesce(d, F.lit("")))), "")))
+
+    return let(_column(c), lambda text: F.when(text.contains("&"), replaced(text)).otherwise(text))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that later expressions read many times.
+
+    A generator stands between the plan's projections, so Catalyst does not
+    copy the expression into every place that reads it.
+    """
+    packed = F.struct(*[value.alias(name) for name, value in columns.items()])
+    kept = [F.col(c) for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(packed)))

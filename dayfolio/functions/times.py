@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from dayfolio import config
+from dayfolio.functions.text import let
 
 
 def _column(c: Column | str) -> Column:
@@ -48,16 +49,20 @@ def next_weekday(day: Column | str) -> Column:
     return F.date_add(d, step)
 
 
-def _heading_date(day: Column, month: Column, year: Column, weekday: Column, pattern: str, name: str) -> Column:
-    parsed = F.try_to_date(F.concat_ws(" ", day, month, year), pattern)
-    return F.when(F.date_format(parsed, name) == weekday, parsed)
+def _heading_date(parts: Column, pattern: str, name: str) -> Column:
+    """Date of (weekday, day, month, year); null when the weekday is wrong."""
+    parsed = F.try_to_date(F.concat_ws(" ", parts[1], parts[2], parts[3]), pattern)
+    return let(parsed, lambda d: F.when(F.date_format(d, name) == parts[0], d))
+
+
+def _parts(text: Column, pattern: str, count: int) -> Column:
+    return F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, count + 1)])
 
 
 def long_heading(c: Column | str) -> Column:
     """Date of "Showing new listings for Friday, 10 July 2026"; null if wrong."""
     pattern = r"^Showing new listings for ([A-Z][a-z]+), ([1-9]|[12]\d|3[01]) ([A-Z][a-z]+) (\d{4})$"
-    part = [F.regexp_extract(_column(c), pattern, i) for i in range(1, 5)]
-    return _heading_date(part[1], part[2], part[3], part[0], "d MMMM yyyy", "EEEE")
+    return let(_parts(_column(c), pattern, 4), lambda p: _heading_date(p, "d MMMM yyyy", "EEEE"))
 
 
 def short_heading(c: Column | str) -> Column:
@@ -66,19 +71,16 @@ def short_heading(c: Column | str) -> Column:
         r"^([A-Z][a-z]{2}), ([1-9]|[12]\d|3[01]) ([A-Z][a-z]{2}) (\d{4}) "
         r"\(showing (0|[1-9]\d*) of (0|[1-9]\d*) entries \)$"
     )
-    part = [F.regexp_extract(_column(c), pattern, i) for i in range(1, 7)]
-    day = _heading_date(part[1], part[2], part[3], part[0], "d MMM yyyy", "EEE")
-    shown, total = part[4].try_cast("long"), part[5].try_cast("long")
-    return F.when(day.isNotNull() & (shown <= total),
-                  F.struct(day.alias("date"), shown.alias("shown"), total.alias("total")))
+    read = let(_parts(_column(c), pattern, 6), lambda p: F.struct(
+        _heading_date(p, "d MMM yyyy", "EEE").alias("date"), p[4].try_cast("long").alias("shown"), p[5].try_cast("long").alias("total")))
+    return let(read, lambda h: F.when(h["date"].isNotNull() & (h["shown"] <= h["total"]), h))
 
 
 def section_heading(c: Column | str) -> Column:
     """Name and count of "New submissions (showing 3 of 3 entries)"; null unless complete."""
     pattern = r"^(New submissions|Cross submissions) \(showing (0|[1-9]\d*) of (0|[1-9]\d*) entries\)$"
-    part = [F.regexp_extract(_column(c), pattern, i) for i in range(1, 4)]
-    return F.when((part[0] != "") & (part[1] == part[2]),
-                  F.struct(part[0].alias("name"), part[1].try_cast("long").alias("total")))
+    return let(_parts(_column(c), pattern, 3), lambda p: F.when((p[0] != "") & (p[1] == p[2]),
+                                                               F.struct(p[0].alias("name"), p[1].try_cast("long").alias("total"))))
 
 
 def run_time(c: Column | str) -> Column:

@@ -35,8 +35,8 @@ def element_text(fragment: Column) -> Column:
 def attribute(tag: Column, name: str) -> Column:
     """Decoded value of a quoted attribute; null when absent."""
     pattern = f"(?is)^<[^>]*?\\s{name}\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
-    found = F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
-    return F.when(tag.rlike(pattern), X.decode_entities(found))
+    return X.let(tag, lambda t: F.when(t.rlike(pattern), X.decode_entities(
+        F.concat(F.regexp_extract(t, pattern, 1), F.regexp_extract(t, pattern, 2)))))
 
 
 def sections(html: Column, opening: str = "(?i)(?=<h3\\b)") -> Column:
@@ -54,14 +54,15 @@ def entry_id(entry: Column) -> Column:
     """The only unversioned abstract link of an entry; null when it has none or several."""
     links = F.filter(F.regexp_extract_all(entry, F.lit("(?is)<a\\b[^>]*>"), F.lit(0)),
                      lambda a: F.coalesce(attribute(a, "href").rlike(r"^/abs/\d{4}\.\d{4,5}$"), F.lit(False)))
-    good = (F.size(links) == 1) & (attribute(F.get(links, F.lit(0)), "title") == "Abstract")
-    return F.when(good, F.substring(attribute(F.get(links, F.lit(0)), "href"), 6, 12))
+    return X.let(links, lambda held: F.when(
+        (F.size(held) == 1) & (attribute(F.get(held, F.lit(0)), "title") == "Abstract"),
+        F.substring(attribute(F.get(held, F.lit(0)), "href"), 6, 12)))
 
 
 def _listing_area(df: DataFrame, html: str, maximum: int) -> DataFrame:
     """Adds ``reject`` and ``_area``, the markup from the listing element on."""
     opened = "(?is)<div\\b[^>]*\\sid\\s*=\\s*[\"']dlpage[\"'][^>]*>"
-    judged = df.withColumn("reject", page_reason(html, maximum)).withColumn("_m", F.when(F.col("reject").isNull(), markup(html)))
+    judged = X.once(df, reject=page_reason(html, maximum), _m=F.when(page_reason(html, maximum).isNull(), markup(html)))
     count = F.regexp_count(F.col("_m"), F.lit(opened))
     return (judged.withColumn("reject", F.coalesce("reject", F.when(count != 1, "needs exactly one listing element")))
             .withColumn("_area", F.regexp_extract("_m", f"(?s){opened}(.*)$", 1)).drop("_m"))
@@ -69,27 +70,24 @@ def _listing_area(df: DataFrame, html: str, maximum: int) -> DataFrame:
 
 def _reject(df: DataFrame, *reasons: tuple[Column, str]) -> DataFrame:
     """The first broken requirement becomes the reject reason."""
-    reason = F.col("reject")
-    for holds, text in reasons:
-        reason = F.coalesce(reason, F.when(~F.coalesce(holds, F.lit(False)), F.lit(text)))
-    return df.withColumn("reject", reason)
+    broken = [F.when(~F.coalesce(holds, F.lit(False)), F.lit(text)) for holds, text in reasons]
+    return X.once(df, reject=F.coalesce(F.col("reject"), *broken))
 
 
 def extract_listings(pages: DataFrame, html: str = "html", slug: str = "slug", maximum: int = config.MAX_LISTING_BYTES) -> DataFrame:
     """Daily listing pages: date, new ids, new and cross counts, or a reject."""
-    found = _listing_area(pages, html, maximum).withColumn("_s", sections(F.col("_area"))).drop("_area")
+    found = X.once(_listing_area(pages, html, maximum), _s=sections(F.col("_area"))).drop("_area")
     starting = lambda prefix: F.filter("_s", lambda s: s["heading"].startswith(prefix))
     place = lambda prefix: F.array_position(F.transform("_s", lambda s: s["heading"].startswith(prefix)), F.lit(True))
-    found = (found.withColumn("_d", starting("Showing new listings for ")).withColumn("_n", starting("New submissions"))
-             .withColumn("_c", starting("Cross submissions")).withColumn("_at", place("New submissions")).withColumn("_to", place("Cross submissions")))
+    found = X.once(found, _d=starting("Showing new listings for "), _n=starting("New submissions"), _c=starting("Cross submissions"),
+                   _at=place("New submissions"), _to=place("Cross submissions"))
     between = F.when(F.col("_to") > F.col("_at"), F.flatten(F.transform(
         F.slice("_s", F.greatest(F.col("_at"), F.lit(1)).cast("int"), F.greatest(F.col("_to") - F.col("_at"), F.lit(0)).cast("int")),
         lambda s: entries(s["body"]))))
     head = lambda c: times.section_heading(F.get(c, F.lit(0))["heading"])
-    found = (found.withColumn("announcement_date", times.long_heading(F.get("_d", F.lit(0))["heading"]))
-             .withColumn("new_count", head("_n")["total"]).withColumn("crosslist_count", head("_c")["total"])
-             .withColumn("_e", between).withColumn("_x", entries(F.get("_c", F.lit(0))["body"])))
-    found = found.withColumn("new_ids", F.sort_array(F.transform("_e", entry_id)))
+    found = X.once(found, announcement_date=times.long_heading(F.get("_d", F.lit(0))["heading"]), new_count=head("_n")["total"],
+                   crosslist_count=head("_c")["total"], _e=between, _x=entries(F.get("_c", F.lit(0))["body"]))
+    found = X.once(found, new_ids=F.sort_array(F.transform("_e", entry_id)))
     judged = _reject(
         found,
         (F.size("_d") == 1, "needs exactly one date heading"), (F.col("announcement_date").isNotNull(), "invalid date heading"),
@@ -106,22 +104,21 @@ def extract_listings(pages: DataFrame, html: str = "html", slug: str = "slug", m
 
 def extract_week(pages: DataFrame, html: str = "html", slug: str = "slug", maximum: int = config.MAX_LISTING_BYTES) -> DataFrame:
     """Past-week pages: ``groups`` of (date, shown, total, complete, ids, cross count), newest first."""
-    found = _listing_area(pages, html, maximum).withColumn("_s", sections(F.col("_area"))).drop("_area")
+    found = X.once(_listing_area(pages, html, maximum), _s=sections(F.col("_area"))).drop("_area")
 
     def group(s: Column) -> Column:
-        head = times.short_heading(s["heading"])
         rows = F.transform(entries(s["body"]), lambda e: X.let(element_text(e), lambda t: F.struct(
             (F.regexp_count(t, F.lit(CROSS_MARKER)) == 1).alias("cross"),
             ((F.regexp_count(t, F.lit(CROSS_MARKER)) > 1) | F.lower(F.regexp_replace(t, CROSS_MARKER, "")).contains("cross-list")).alias("bad"),
             entry_id(e).alias("id"))))
-        return X.let(rows, lambda listed: F.struct(
+        return X.let(times.short_heading(s["heading"]), lambda head: X.let(rows, lambda listed: F.struct(
             head["date"].alias("announcement_date"), head["shown"].alias("shown_count"), head["total"].alias("total_count"),
             (head["shown"] == head["total"]).alias("complete"), F.size(listed).cast("bigint").alias("entries"),
             F.size(F.filter(listed, lambda r: r["cross"])).cast("bigint").alias("crosslist_count"),
             F.exists(listed, lambda r: r["bad"] | (~r["cross"] & r["id"].isNull())).alias("bad"),
-            F.sort_array(F.transform(F.filter(listed, lambda r: ~r["cross"]), lambda r: r["id"])).alias("new_ids")))
+            F.sort_array(F.transform(F.filter(listed, lambda r: ~r["cross"]), lambda r: r["id"])).alias("new_ids"))))
 
-    found = found.withColumn("groups", F.transform("_s", group))
+    found = X.once(found, groups=F.transform("_s", group))
     dates = F.transform("groups", lambda g: g["announcement_date"])
     ids = F.flatten(F.transform("groups", lambda g: g["new_ids"]))
     judged = _reject(
@@ -162,10 +159,10 @@ def _by_class(page: Column, tag: str, name: str) -> Column:
 def _described(blocks: Column, descriptor: str) -> Column:
     """The visible field holds exactly its descriptor and some text."""
     block = F.get(blocks, F.lit(0))
-    marks = F.transform(_by_class(block, "span", "descriptor"), element_text)
-    text = element_text(block)
-    return (F.size(blocks) == 1) & (F.size(marks) == 1) & (F.get(marks, F.lit(0)) == descriptor + ":") \
-        & text.startswith(descriptor + ":") & ~X.is_blank(F.substr(text, F.lit(len(descriptor) + 2)))
+    named = X.let(F.transform(_by_class(block, "span", "descriptor"), element_text),
+                  lambda marks: (F.size(marks) == 1) & (F.get(marks, F.lit(0)) == descriptor + ":"))
+    filled = X.let(element_text(block), lambda text: text.startswith(descriptor + ":") & ~X.is_blank(F.substr(text, F.lit(len(descriptor) + 2))))
+    return (F.size(blocks) == 1) & named & filled
 
 
 def _linked(fragment: Column) -> Column:
@@ -182,11 +179,11 @@ def extract_abstracts(pages: DataFrame, html: str = "html", paper_id: str = "arx
     visible author list replaces it when both name the same people.
     """
     limits = config.METADATA_LIMITS
-    judged = pages.withColumn("reject", page_reason(html, maximum)).withColumn("_m", F.when(F.col("reject").isNull(), markup(html)))
+    judged = X.once(pages, reject=page_reason(html, maximum), _m=F.when(page_reason(html, maximum).isNull(), markup(html)))
     tags = lambda name: F.regexp_extract_all(F.col("_m"), F.lit(f"(?is)<{name}\\b[^>]*>"), F.lit(0))
-    judged = judged.withColumn("_metas", F.transform(tags("meta"), lambda t: F.struct(
+    judged = X.once(judged, _metas=F.transform(tags("meta"), lambda t: F.struct(
         F.lower(attribute(t, "name")).alias("name"), attribute(t, "content").alias("content"))))
-    one = lambda name: F.when(F.size(_meta(F.col("_metas"), name)) == 1, F.get(_meta(F.col("_metas"), name), F.lit(0)))
+    one = lambda name: X.let(_meta(F.col("_metas"), name), lambda held: F.when(F.size(held) == 1, F.get(held, F.lit(0))))
     canonical = F.transform(F.filter(tags("link"), lambda t: F.array_contains(F.split(F.lower(attribute(t, "rel")), "\\s+"), "canonical")),
                             lambda t: attribute(t, "href"))
     strong = F.transform(F.regexp_extract_all(F.col("_m"), F.lit("(?is)<strong\\b[^>]*>.*?</strong\\s*>"), F.lit(0)), element_text)
@@ -203,29 +200,31 @@ def extract_abstracts(pages: DataFrame, html: str = "html", paper_id: str = "arx
         element_text(F.regexp_replace(a, "(?is)^(?:The|the)\\s*(?=<a)", ""))))
     whole = F.coalesce(toggled, F.lit(0)) == F.size(F.regexp_extract_all(hidden, F.lit("(?is)<a\\b[^>]*>"), F.lit(0)))
 
-    rows = judged.withColumn("_b", block)
-    rows = (rows.withColumn("_text", X.nfc_list(F.array(one("citation_title"), one("citation_abstract"),
-                                                       F.when(F.size(comment_cells) > 0, _linked(F.get(comment_cells, F.lit(0)))))))
-            .withColumn("_cited", F.transform(_meta(F.col("_metas"), "citation_author"), X.squeeze_space))
-            .withColumn("_visible", F.when(whole, F.transform(people, X.squeeze_space))))
+    rows = X.once(judged, _b=block, _canonical=canonical, _marker=marker, _labels=labels, _cells=comment_cells, _subject=subject,
+                  _h1=_by_class(F.col("_m"), "h1", "title"), _quote=_by_class(F.col("_m"), "blockquote", "abstract"),
+                  _id=one("citation_arxiv_id"), _pdf=one("citation_pdf_url"))
+    canonical, marker, labels, comment_cells, subject = (F.col(c) for c in ("_canonical", "_marker", "_labels", "_cells", "_subject"))
+    rows = X.once(rows, _raw=F.array(one("citation_title"), one("citation_abstract"), F.when(F.size(comment_cells) > 0, _linked(F.get(comment_cells, F.lit(0))))),
+                  _cited=F.transform(_meta(F.col("_metas"), "citation_author"), X.squeeze_space),
+                  _visible=F.when(whole, F.transform(people, X.squeeze_space))).withColumn("_text", X.nfc_list("_raw"))
     rows = reconcile_authors(rows, "_cited", "_visible", "authors")
     field = lambda i: X.squeeze_space(F.get("_text", F.lit(i)))
-    rows = rows.withColumn("title", field(0)).withColumn("abstract", field(1)).withColumn("comments", field(2))
+    rows = X.once(rows, title=field(0), abstract=field(1), comments=field(2), authors=F.col("authors"), _cited=F.col("_cited"))
     expected = F.col(paper_id)
     bounded = lambda c, n: ~X.is_blank(c) & (F.char_length(c) <= n) & ~F.col(c).rlike("[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]")
     result = _reject(
         rows,
         (R.is_paper_id(expected), "invalid id"),
-        (one("citation_arxiv_id") == expected, "citation id differs"),
+        (F.col("_id") == expected, "citation id differs"),
         ((F.size(marker) == 1) & (F.get(marker, F.lit(0)) == F.concat(F.lit("arXiv:"), expected, F.lit("v1"))), "version marker differs"),
         ((F.size(canonical) == 1) & (F.get(canonical, F.lit(0)) == R.abs_url(expected)), "canonical address differs"),
-        (one("citation_pdf_url").isin(F.concat(F.lit(config.SITE + "/pdf/"), expected), R.pdf_url_v1(expected)), "PDF address differs"),
-        (_described(_by_class(F.col("_m"), "h1", "title"), "Title"), "visible title is malformed"),
+        (F.col("_pdf").isin(F.concat(F.lit(config.SITE + "/pdf/"), expected), R.pdf_url_v1(expected)), "PDF address differs"),
+        (_described(F.col("_h1"), "Title"), "visible title is malformed"),
         (bounded("title", limits["title"]), "citation title is missing or too long"),
         (F.size("_cited").between(1, limits["authors"]) & ~F.exists("_cited", lambda a: X.is_blank(a) | (F.char_length(a) > limits["author"])),
          "citation authors are missing or too long"),
         (bounded("abstract", limits["abstract"]), "citation abstract is missing or too long"),
-        (_described(_by_class(F.col("_m"), "blockquote", "abstract"), "Abstract"), "visible abstract is malformed"),
+        (_described(F.col("_quote"), "Abstract"), "visible abstract is malformed"),
         (F.regexp_extract(subject, r"\(([a-z][a-z0-9-]*(?:\.[A-Za-z0-9-]+)*)\)$", 1) == F.col(slug), "primary category differs"),
         ((F.size(labels) == F.size(comment_cells)) & (F.size(labels) <= 1), "comments are malformed or repeated"),
         (F.col("comments").isNull() | bounded("comments", limits["comments"]), "comments are unsafe or too long"))

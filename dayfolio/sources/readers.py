@@ -71,13 +71,23 @@ def read_json_bounded(spark: SparkSession, path: str, schema: str, maximum_bytes
     return parse_json(small, "text", schema, large)
 
 
+def is_whole_json(text: Column) -> Column:
+    """The text is one JSON value and nothing after it.
+
+    Spark's readers stop at the end of the first value. Put in an array before
+    an end mark, a value with anything behind it no longer gives two elements.
+    """
+    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit(',"--end--"]')), "array<string>")
+    return F.coalesce((F.size(wrapped) == 2) & (F.get(wrapped, F.lit(1)) == "--end--"), F.lit(False))
+
+
 def parse_json(df: DataFrame, text: str, schema: str, rejects: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Splits rows by whether their JSON text parses with the schema."""
     keep = [c for c in df.columns if c != text]
     parsed = df.withColumn("_valid", F.coalesce(F.is_valid_utf8(F.col(text)), F.lit(False))).withColumn("_r", F.from_json(
         F.when(F.col("_valid"), F.col(text)), f"{schema}, _corrupt STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    broken = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull()
+    broken = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull() | ~is_whole_json(F.col(text))
     good = parsed.where(~broken).select(*keep, "_r.*").drop("_corrupt")
     bad = parsed.where(broken).select(*keep, F.when(F.col("_valid"), "invalid JSON").otherwise("invalid UTF-8").alias("reason"))
     return good, bad if rejects is None else bad.unionByName(rejects)
