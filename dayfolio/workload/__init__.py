@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("ranking", "counts", "checks", "reconcile", "pages", "text")
+_MODULES = ("ranking", "counts", "checks", "reconcile", "pages", "text", "backfill")
 
 
 def _load():

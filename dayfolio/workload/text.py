@@ -171,7 +171,7 @@ def verbatim_reuse(spark, folder):
     return issue_rows(RP.verbatim_reuse(texts, [("t", F.col("t"), "p", F.col("p")), ("t", F.col("t"), "s", F.col("s"))], {"position": "doc_id"}), "position")
 
 
-COMPARE_SQL = r"regexp_replace(lower(nfc_normalize({c})), '[^\p{L}\p{N}]+', '', 'g')"
+COMPARE_SQL = r"regexp_replace(lower(nfc_normalize({c})), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 GRAMS_SQL = "unnest(list_transform(generate_series(1, length(t) - {k}), lambda i: t[i:i + {k}]))"
 
 
