@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dayfolio import config, schemas
 from dayfolio.functions import records as R, text as X, times
 from dayfolio.operators.issues import Rule, find_issues, union_all
-from dayfolio.operators.skew import small_or_plain
+from dayfolio.operators.skew import attach_row, small_or_plain
 
 PAPER_ISSUE_KEYS = {"date": "report_date", "slug": "slug", "id": "arxivId", "position": "index"}
 REPORT_ISSUE_KEYS = {"date": "report_date", "slug": "slug"}
@@ -344,8 +344,7 @@ def rules_in_force(df: DataFrame, rules: DataFrame, exempt: DataFrame | None = N
     families = rules.agg(F.sort_array(F.collect_list(F.struct("valid_from", "rule"))).alias("_rules"))
     reached = F.filter("_rules", lambda r: r["valid_from"].cast("string") <= F.col(date).cast("string"))
     paired = (
-        df.withColumn("_one", F.lit(1)).join(F.broadcast(families.withColumn("_one", F.lit(1))), "_one")
-        .withColumn("rule", F.explode(F.transform(reached, lambda r: r["rule"]))).drop("_one", "_rules")
+        attach_row(df, families).withColumn("rule", F.explode(F.transform(reached, lambda r: r["rule"]))).drop("_rules")
     )
     if exempt is None:
         return paired

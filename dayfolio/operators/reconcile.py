@@ -15,7 +15,7 @@ from dayfolio import config, schemas
 from dayfolio.functions import records as R, text as X
 from dayfolio.operators.checks import PAPER_ISSUE_KEYS
 from dayfolio.operators.issues import Rule, as_issue, find_issues, union_all
-from dayfolio.operators.skew import small_or_plain
+from dayfolio.operators.skew import attach_row, small_or_plain
 from dayfolio.session import cut_lineage
 
 PAPER_KEYS = ("report_date", "slug", "arxivId")
@@ -297,7 +297,7 @@ def verify_plan(plan: DataFrame, queue: DataFrame, columns: Sequence[str], ancho
     tail = queue.join(plan.select(anchor), [anchor], "left_anti")
     starts = bounds.select(F.lit(0).alias("_k"), F.col("_end").alias(anchor))
     chain = walk_chain(tail.withColumn("_k", F.lit(0)), starts, ["_k"], anchor).select(F.col("node").alias(anchor), F.lit(True).alias("_ext"))
-    marked = compared.join(chain, [anchor], "left").withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one")
+    marked = attach_row(compared.join(chain, [anchor], "left"), bounds)
     state = (F.when(F.col("state") != "right_only", F.col("state")).when(F.coalesce("_ext", F.lit(False)), "extension")
              .when(F.col(anchor) < F.col("_head"), "earlier").otherwise("intruder"))
     return marked.select(anchor, state.alias("state"))

@@ -14,6 +14,11 @@ def small_or_plain(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row table, such as a total, to every row."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 def salted_join(large: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left",
                 salts: int = 16) -> DataFrame:
     """Joins a table that may have hot keys with one that has a row per key.

@@ -18,7 +18,7 @@ from dayfolio.operators.issues import Rule, as_issue, find_issues, union_all
 from dayfolio.operators.ordering import top_rows
 from dayfolio.operators.ranking import GROUP, check_rank, paper_order
 from dayfolio.operators.reconcile import reconcile_ids, reconcile_reports, verify_receipts
-from dayfolio.operators.skew import salted_join
+from dayfolio.operators.skew import salted_join, small_or_plain
 
 JOB = ("reportDate", "snapshotFingerprint", "runtimeFingerprint")
 KEYS = (*JOB, "category")
@@ -246,7 +246,7 @@ def check_resume_draft(papers: DataFrame, receipts: DataFrame, candidate_order:
     With ``candidate_order`` the candidates must be the initial top list in order.
     """
     held = receipts.select(*group, F.col("arxivId").alias("_failed"), F.col("provisionalCandidateIds").alias("_ids"))
-    joined = papers.join(F.broadcast(held) if held.limit(100_001).count() <= 100_000 else held, list(group))
+    joined = papers.join(small_or_plain(held), list(group))
     target = F.col("arxivId") == F.col("_failed")
     bare = (~F.col("fullTextEvaluated") & (F.col("evaluationBasis") == config.ABSTRACT_BASIS) & F.col("fullTextReviewStatus").isNull()
             & (F.col("sourceUrls") == F.array(R.abs_url_v1("arxivId"))))

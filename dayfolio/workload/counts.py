@@ -140,7 +140,10 @@ PUBLICATION_SQL = """p AS (SELECT user_id AS job, event_id, ts AS at,
 
 
 def publications(spark, folder):
-    e = table(spark, folder, "events")
+    return publications_of(table(spark, folder, "events"))
+
+
+def publications_of(e):
     status = F.when(F.col("event_type") == "purchase", "published").when(F.col("event_type") == "view", "pending") \
         .when(F.col("event_type") == "click", "publishing").when(F.col("event_type") == "error", "failed").otherwise("deferred")
     return e.select(F.col("user_id").alias("job"), "event_id", F.col("ts").alias("at"), status.alias("status"),

@@ -109,7 +109,11 @@ ANNOUNCED = """announced AS (
 
 def attempts(spark: SparkSession, folder: str) -> DataFrame:
     """Attempt events: job (user), attempt, stage, status, time, receipt flag."""
-    e = table(spark, folder, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return attempts_of(table(spark, folder, "events"))
+
+
+def attempts_of(events: DataFrame) -> DataFrame:
+    e = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     stage = F.when(F.col("k") % 4 == 0, "category_source_resume").when(F.col("k") % 4 == 1, "category_repair") \
         .when(F.col("k") % 4 == 2, "category_generation").otherwise("publication")
     status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "completed") \

@@ -10,6 +10,7 @@ from dayfolio.operators import reconcile as RC
 from dayfolio.plans import audits, backfill as B, jobs as J
 from dayfolio.workload.checks import PROTECTED, metadata, receipts, reports, RECEIPT_SQL, REPORTS
 from dayfolio.workload.derive import PAPERS, authored, issue_rows, papers, when_key
+from dayfolio.operators.skew import attach_row
 from dayfolio.workload.registry import query, table
 
 FIELDS = ["url", "totalScore", "evaluationBasis"]
@@ -243,7 +244,7 @@ def verify_plan(spark, folder):
     days = table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("target")).distinct()
     size = days.agg(F.count(F.lit(1)).alias("k"))
     edges = with_position(with_previous(days, [], ["target"], {"anchor": "target"}), [], ["target"], "m").where("anchor is not null")
-    edges = edges.withColumn("n", F.col("m") - 1).join(F.broadcast(size)).withColumn("digest", F.col("target").cast("string"))
+    edges = attach_row(edges.withColumn("n", F.col("m") - 1), size).withColumn("digest", F.col("target").cast("string"))
     plan = edges.where("n between floor(k / 4) and floor(k / 2)")
     queue = edges.where("n % 10 <> 0").withColumn("digest", F.when(F.col("n") % 7 == 0, "other").otherwise(F.col("digest")))
     pick = lambda df: df.select("anchor", "target", "digest")

@@ -9,6 +9,7 @@ from dayfolio.operators import lint as L, repetition as RP
 from dayfolio.operators.issues import Rule
 from dayfolio.plans.audits import scan_secrets
 from dayfolio.workload.derive import issue_rows
+from dayfolio.operators.skew import attach_row
 from dayfolio.workload.registry import query, table
 
 FOLD_SQL = r"trim(regexp_replace(lower(nfc_normalize({c})), '\s+', ' ', 'g'))"
@@ -165,7 +166,7 @@ def verbatim_reuse(spark, folder):
     d = table(spark, folder, "documents")
     b = table(spark, folder, "benchmark").select("item_id", F.col("text").alias("passage"))
     size = b.agg(F.count(F.lit(1)).alias("size"))
-    joined = d.join(F.broadcast(size)).withColumn("item_id", F.col("doc_id") % F.col("size")).join(b, "item_id")
+    joined = attach_row(d, size).withColumn("item_id", F.col("doc_id") % F.col("size")).join(b, "item_id")
     folded = joined.select("doc_id", X.nfkc_list(F.array("text", "passage", F.substring("text", 1, 50))).alias("n"))
     texts = folded.select("doc_id", *[X.fold_prose(F.get("n", F.lit(i))).alias(c) for i, c in enumerate(("t", "p", "s"))])
     return issue_rows(RP.verbatim_reuse(texts, [("t", F.col("t"), "p", F.col("p")), ("t", F.col("t"), "s", F.col("s"))], {"position": "doc_id"}), "position")
