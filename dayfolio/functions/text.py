@@ -6,6 +6,7 @@ Arrow UDFs; case, space and pattern work stays in the JVM.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -200,46 +201,57 @@ def number_free(text: Column) -> Column:
     return F.regexp_replace(text, "\\p{N}+(?:[.,]\\p{N}+)?", "#")
 
 
-def _windows(chars: Column, length: int, left: int, letters: int, marks: str, letter: str) -> Column:
-    size = F.size(chars)
-    places = F.filter(
-        F.transform(chars, lambda ch, i: F.when(ch.rlike(marks), i)),
-        lambda i: i.isNotNull(),
-    )
-    windows = F.transform(
-        places,
-        lambda i: F.array_join(
-            F.slice(chars, F.greatest(F.lit(0), F.least(i - left, size - length)) + 1, F.lit(length)), ""),
-    )
-    kept = F.filter(windows, lambda w: F.regexp_count(w, F.lit(f"[{letter}]")) >= letters)
-    return F.when(size >= length, kept).otherwise(F.array().cast("array<string>"))
+# The Hiragana script as a character class.
+HIRAGANA = "[\u3041-\u3096\u309d-\u309f\U0001b001-\U0001b11f\U0001b132\U0001b150-\U0001b152\U0001f200]"
 
 
-def anchors(folded: Column, length: int, left: int, letters: int,
-            marks: str = MARKS, letter: str = "\\p{IsHiragana}") -> Column:
-    """The window of ``length`` characters around each sentence mark.
+def gram_list(c: Column, size: int, distinct: bool = False) -> Column:
+    """``char_ngrams`` for whole documents, in Arrow batches.
 
-    ``folded`` is normalised prose. A window needs ``letters`` characters of
-    the letter class. Windows at the ends are shifted inwards.
+    A long text has as many grams as characters; slicing them in one batch is
+    several times faster than evaluating a lambda per gram.
     """
-    bare = F.regexp_replace(folded, f"{SPACE}+", "")
-    return let(characters(bare), lambda chars: _windows(chars, length, left, letters, marks, letter))
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def cut(values: pd.Series) -> pd.Series:
+        def grams(text):
+            found = [] if text is None else [text[i:i + size] for i in range(len(text) - size + 1)]
+            return list(dict.fromkeys(found)) if distinct else found
+        return values.map(grams)
+
+    return cut(c)
 
 
 def structure_signatures(folded: Column, structure: dict = config.STRUCTURE,
-                         marks: str = MARKS, letter: str = "\\p{IsHiragana}") -> Column:
-    """Distinct long anchors and ordered pairs of nearby short anchors."""
-    def both(chars: Column) -> Column:
-        long = _windows(chars, structure["long"], structure["long_left"], structure["long_hiragana"], marks, letter)
-        short = _windows(chars, structure["short"], structure["short_left"], structure["short_hiragana"], marks, letter)
-        pairs = let(short, lambda held: F.flatten(F.transform(
-            held,
-            lambda first, i: F.transform(
-                F.slice(held, i + 2, F.lit(structure["gap"])),
-                lambda second: F.concat(F.lit("pair\x00"), first, F.lit("\x00"), second)))))
-        return F.array_distinct(F.concat(F.transform(long, lambda a: F.concat(F.lit("long\x00"), a)), pairs))
-
-    return let(characters(F.regexp_replace(folded, f"{SPACE}+", "")), both)
+                         marks: str = MARKS, letter: str = HIRAGANA) -> Column:
+    """Distinct long anchors and ordered pairs of nearby short anchors.
+
+    ``folded`` is normalised prose. An anchor is the window of characters
+    around a sentence mark, shifted inwards at the ends; it needs enough
+    characters of the letter class. Works in Arrow batches.
+    """
+    mark, wanted, gap = re.compile(marks), re.compile(letter), structure["gap"]
+    kinds = [(structure[k], structure[f"{k}_left"], structure[f"{k}_hiragana"]) for k in ("long", "short")]
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def signatures(values: pd.Series) -> pd.Series:
+        def windows(text, places, size, left, letters):
+            if len(text) < size:
+                return []
+            cuts = (max(0, min(i - left, len(text) - size)) for i in places)
+            return [w for w in (text[i:i + size] for i in cuts) if len(wanted.findall(w)) >= letters]
+
+        def each(value):
+            if value is None:
+                return []
+            text = value.replace(" ", "")
+            places = [m.start() for m in mark.finditer(text)]
+            long, short = (windows(text, places, *kind) for kind in kinds)
+            pairs = (f"pair\0{first}\0{second}" for i, first in enumerate(short) for second in short[i + 1:i + 1 + gap])
+            return list(dict.fromkeys([f"long\0{w}" for w in long] + list(pairs)))
+
+        return values.map(each)
+
+    return signatures(folded)
 
 
 # Entities a landed page may use besides numeric ones.

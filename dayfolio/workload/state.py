@@ -145,7 +145,7 @@ def unique_events_stream(spark, folder):
 
 # A stream judges orphans at the newest event of their key.
 STREAM_SQL = LATEST_SQL.replace(f"<= TIMESTAMP '{NOW}'", "<= mx.newest").replace(
-    "ON r.event_id = st.s\n", "ON r.event_id = st.s JOIN (SELECT job, max(at) AS newest FROM attempts GROUP BY 1) mx ON mx.job = st.job\n")
+    "ON r.event_id = st.s\n", "ON r.event_id = st.s JOIN (SELECT job, max(\"at\") AS newest FROM attempts GROUP BY 1) mx ON mx.job = st.job\n")
 
 
 @query("r1_retry_state_stream", f"{STREAM_SQL} SELECT job, kind, failure_count, source_failure_count, delay_hours, attempt_id AS latest_attempt_id FROM d")

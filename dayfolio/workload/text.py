@@ -135,7 +135,7 @@ LATIN_STRUCTURE = {"sample": 16, "ratio": 0.02, "long": 20, "long_left": 10, "lo
   SELECT source, signature, matches, papers, first_position FROM g JOIN z USING (source) WHERE papers >= 16 AND matches / papers::DOUBLE > 0.02""")
 def skeleton_repeats(spark, folder):
     d = table(spark, folder, "documents")
-    found = RP.skeleton_repeats(d, X.normalize_prose("text"), ["source"], "doc_id", structure=LATIN_STRUCTURE, marks="[.,;!?:]", letter="\\p{IsLatin}")
+    found = RP.skeleton_repeats(d, X.normalize_prose("text"), ["source"], "doc_id", structure=LATIN_STRUCTURE, marks="[.,;!?:]", letter="[A-Za-zªºÀ-ÖØ-öø-ʸ]")
     return found.select("source", F.translate("signature", "\x00", "\x01").alias("signature"), "matches", "papers", "first_position")
 
 
