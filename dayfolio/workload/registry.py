@@ -22,5 +22,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Tables with long texts, and the key they are spread by when they lie in few files.
+LONG_TEXTS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A supplied table. Long texts in a single file are spread over the cores;
+    a table of many files already is."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LONG_TEXTS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, LONG_TEXTS[name])
+    return df
