@@ -42,16 +42,21 @@ def test_abstracts(spark):
     assert got["other"].authors == ["Other, X", "Researcher, Bob Q."]
 
 
-@pytest.mark.parametrize("content,paths,reject", [
+ARCHIVES = [
     (P.tar({"paper/main.tex": TEX, "refs.bib": b"@a{x}", "fig.png": b"\0\1"}), ["paper/main.tex", "refs.bib"], None), (gzip.compress(TEX), ["2607.00001.tex"], None),
     (P.tar({"../e.tex": TEX}), None, "traversal"), (P.tar({"main.tex": b"\x5c\xc3\x28"}), None, "UTF-8"), (P.tar({"main.tex": TEX, "r.bib": b"\xc3\x28"}), ["main.tex"], None),
-    (b"%PDF-1.7\n", None, "neither"), (gzip.compress(TEX)[:30], None, "unexpected end"), (P.tar({"main.tex": TEX + b"\x1b"}), None, "control")])
-def test_archives(spark, content, paths, reject):
-    rows = archives.extract_sources(spark.createDataFrame([("2607.00001", bytearray(content))], "id string, content binary")).collect()
-    if reject:
-        assert len(rows) == 1 and reject in rows[0].reject
-    else:
-        assert [r.path for r in rows] == paths and all(r.reject is None for r in rows)
+    (b"%PDF-1.7\n", None, "neither"), (gzip.compress(TEX)[:30], None, "unexpected end"), (P.tar({"main.tex": TEX + b"\x1b"}), None, "control")]
+
+
+def test_archives(spark):
+    df = spark.createDataFrame([(f"2607.{i:05d}", bytearray(c)) for i, (c, _, _) in enumerate(ARCHIVES, 1)], "id string, content binary")
+    got = archives.extract_sources(df).collect()
+    for i, (_, paths, reject) in enumerate(ARCHIVES, 1):
+        rows = [r for r in got if r.id == f"2607.{i:05d}"]
+        if reject:
+            assert len(rows) == 1 and reject in rows[0].reject
+        else:
+            assert [r.path.replace(rows[0].id, "2607.00001") for r in rows] == paths and all(r.reject is None for r in rows)
 
 
 def test_reports_from_files(spark, tmp_path):
