@@ -12,11 +12,12 @@ from dayfolio.functions import records as R
 from dayfolio.operators.issues import ISSUE_COLUMNS
 from dayfolio.workload.registry import table
 
-KEY = F.col("o_orderkey")
+def key() -> Column:
+    return F.col("o_orderkey")
 
 
 def when_key(divisor: int) -> Column:
-    return KEY % divisor == 0
+    return key() % divisor == 0
 
 
 def slug_of_priority() -> Column:
@@ -32,12 +33,12 @@ def padded(number: Column) -> Column:
 def papers(spark: SparkSession, folder: str) -> DataFrame:
     """One scored paper per order, dated by month, three categories."""
     o = table(spark, folder, "orders")
-    paper_id = F.concat(F.date_format("o_orderdate", "yyMM"), F.lit("."), padded(KEY))
-    axes = {"broadImpact": (F.col("o_custkey") * 7 + KEY) % 26, "categoryImpact": (KEY * 11) % 26,
-            "originality": (F.col("o_custkey") + KEY * 3) % 26, "technicalStrength": (F.col("o_custkey") * 5 + KEY) % 26}
+    paper_id = F.concat(F.date_format("o_orderdate", "yyMM"), F.lit("."), padded(key()))
+    axes = {"broadImpact": (F.col("o_custkey") * 7 + key()) % 26, "categoryImpact": (key() * 11) % 26,
+            "originality": (F.col("o_custkey") + key() * 3) % 26, "technicalStrength": (F.col("o_custkey") * 5 + key()) % 26}
     base = o.select(
         F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("report_date"), slug_of_priority().alias("slug"),
-        KEY.alias("index"), "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", paper_id.alias("arxivId"),
+        key().alias("index"), "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", paper_id.alias("arxivId"),
         F.struct(*[v.cast("int").alias(k) for k, v in axes.items()]).alias("scores"),
         (F.col("o_orderstatus") == "F").alias("fullTextEvaluated"))
     total = sum((F.col(f"scores.{k}") for k in axes), F.lit(0)) + F.when(when_key(53), 1).otherwise(0)
