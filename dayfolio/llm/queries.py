@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dayfolio.llm import exact_dedup, line_quality, mixing, url_graph
+from dayfolio.llm import exact_dedup, html_cut, line_quality, mixing, packing, url_graph
 from dayfolio.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_html_extraction")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return html_cut.extract_main_text(read_table(spark, folder, "pages"))
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query("op6_source_mixing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(read_table(spark, folder, "documents"))
