@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dayfolio.llm import exact_dedup, html_cut, line_quality, line_templates, mixing, near_dedup, packing, url_graph
+from dayfolio.llm import exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, url_graph
 from dayfolio.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"), words=2)
 
 
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_languages(read_table(spark, folder, "documents"))
+
+
 @query("op6_source_mixing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(read_table(spark, folder, "documents"))
