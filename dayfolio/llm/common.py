@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import string
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dayfolio.session import cut_lineage
+from dayfolio.session import cut_lineage, shared_folder
 
 #: A word: a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,3 +55,23 @@ def with_rank(df: DataFrame, *order: Column, name: str) -> DataFrame:
         .withColumn(name, F.col("_start") + F.col("_row") - 1)
         .drop("_range", "_row", "_start")
     )
+
+
+def staged(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows written as Parquet to the shared folder, and where.
+
+    Smaller than a checkpoint for millions of narrow rows, and as safe when
+    executors are lost. The folder goes when the driver ends, or earlier by
+    ``unstage`` when nothing will read it any more.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.parquet(folder), folder
+
+
+def unstage(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

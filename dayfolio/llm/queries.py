@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dayfolio.llm import exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, url_graph
+from dayfolio.llm import exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, ppm, url_graph
 from dayfolio.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.score_documents(read_table(spark, folder, "documents"))
+
+
 @query("op4_near_dedup")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"), words=2)
