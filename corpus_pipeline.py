@@ -1,37 +1,68 @@
-"""A corpus pipeline of the operators in dayfolio.llm."""
+"""A corpus pipeline: rules, line dedup, near-dedup, mixing and packing of the documents."""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dayfolio.llm import line_quality
+from dayfolio.llm import line_quality, line_templates, mixing, near_dedup, packing
 from dayfolio.llm.common import DOCUMENT_COLUMNS, read_table
 from dayfolio.session import shared_folder
 
 
+def _with_text(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn("text", F.col(text)).withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their failing lines; rejected documents go."""
-    judged = line_quality.assess_quality(docs.select(*DOCUMENT_COLUMNS), prefix="_q_").filter("_q_kept")
-    return judged.withColumn("text", judged["_q_clean_text"]).withColumn("n_chars", _length()).select(*DOCUMENT_COLUMNS)
+    judged = line_quality.assess_quality(docs.select(*DOCUMENT_COLUMNS), prefix="_q_")
+    return _with_text(judged.filter("_q_kept"), "_q_clean_text")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines whose template recurs across documents stay in the first document alone; all documents stay."""
+    return _with_text(line_templates.drop_recurring_lines(docs.select(*DOCUMENT_COLUMNS)), "text")
 
 
-def _length():
-    from pyspark.sql import functions as F
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, similarity 0.8) stays."""
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    kept = near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
-    return F.length("text").cast("long")
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.take_mix(docs.select(*DOCUMENT_COLUMNS))
 
-STAGES = [("quality_rules", quality_rules)]
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and the sequences they lie in."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
+]
+
+#: Sketches and rounding hash with functions that SQL engines do not share; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn, each written as Parquet in the shared folder and read again by the next."""
-    import uuid
-
+    """The stages in turn; each is written as Parquet to the shared folder and read again by the next."""
     docs = read_table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfolio.llm.common import WORD, text_of, with_rank
@@ -40,6 +40,10 @@ aggregate(
 """
 
 
+def _size() -> Column:
+    return F.regexp_count(text_of(), F.lit(WORD)).cast("long")
+
+
 def source_targets(sources: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Adds each source's target words to (source, source_size).
 
@@ -77,14 +81,14 @@ def mix_sources(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
     half of one document at most, and no task sees more than a chunk of any
     source. All choices hash ids, so reruns agree.
 
-    Returns doc_id, source, size, source_size, target, copies, taken, one row
-    per input row. Null texts have no words; a null source is a source of its
+    Returns doc_id, source, size, source_size, target, copies, taken, place (the
+    row's number among equal rows), one row per input row. Null texts have no words; a null source is a source of its
     own, last in order. Documents without words are taken 0 times (copies 0).
     Repeated rows are told apart by their count and each get a row. An empty
     table gives an empty result.
     """
     rows = cut_lineage(
-        docs.select(F.col("doc_id").alias("_id"), F.col("source"), F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"))
+        docs.select(F.col("doc_id").alias("_id"), F.col("source"), _size().alias("size"))
         .groupBy("_id", "source", "size").agg(F.count("*").alias("_copies")))
     sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("_copies")).alias("source_size"), F.sum("_copies").alias("_rows"))
     sources = cut_lineage(sources)
@@ -101,7 +105,7 @@ def mix_sources(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
         F.pmod(F.xxhash64(F.lit(seed + 1), "_id", "_copy"), F.ceil(F.col("_rows") / chunk)).alias("_chunk")))
     open_ = (F.col("size") > 0) & (F.col("_p") > 0)
     facts = ["source", "source_size", "target", "_whole"]
-    parts = [planned.filter(~open_).select("_id", "size", *facts, F.lit(False).alias("_up"))]
+    parts = [planned.filter(~open_).select("_id", "_copy", "size", *facts, F.lit(False).alias("_up"))]
     level = planned.filter(open_).select(
         *facts, "_chunk", F.struct("size", F.col("_order").alias("order"), F.col("_id").alias("id"), F.col("_copy").alias("copy"), F.col("_p").alias("p")).alias("_item"))
     chunks = (sources.agg(F.max("_rows")).first()[0] or 0) / chunk
@@ -109,15 +113,25 @@ def mix_sources(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
         met = level.groupBy(*facts, "_chunk").agg(F.sort_array(F.collect_list("_item"), asc=False).alias("items"))
         met = cut_lineage(met.withColumn("_met", F.expr(_STEP.format(seed=seed))).select(*facts, "_chunk", "_met"))
         done = met.select(*facts, F.explode("_met.done").alias("_d"))
-        parts.append(done.select(F.col("_d.id").alias("_id"), F.col("_d.size").alias("size"), *facts, F.col("_d.up").alias("_up")))
+        parts.append(done.select(F.col("_d.id").alias("_id"), F.col("_d.copy").alias("_copy"), F.col("_d.size").alias("size"), *facts, F.col("_d.up").alias("_up")))
         left = met.select(*facts, F.floor(F.col("_chunk") / chunk).alias("_chunk"), F.col("_met.hand").alias("_item"))
         if chunks <= 1:
             break
         level, chunks = left, chunks / chunk
     last = F.col("_item.p") >= 0.5
-    parts.append(left.select(F.col("_item.id").alias("_id"), F.col("_item.size").alias("size"), *facts, last.alias("_up")))
+    parts.append(left.select(F.col("_item.id").alias("_id"), F.col("_item.copy").alias("_copy"), F.col("_item.size").alias("size"), *facts, last.alias("_up")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     copies = F.when(F.col("size") > 0, F.col("_whole") + F.col("_up").cast("long")).otherwise(0).cast("long")
-    return out.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), F.col("_copy").alias("place"))
+
+
+def take_mix(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: each document as many times as ``mix_sources`` takes it, with the columns given."""
+    mix = mix_sources(docs, **options).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "place", F.col("copies").alias("_times"))
+    key = [F.col("doc_id"), F.col("source"), _size()]
+    placed = docs.withColumn("_words", _size()).withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))) - 1)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size")) & (F.col("_nth") == F.col("place"))
+    taken = placed.join(mix.filter("_times > 0"), same)
+    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
