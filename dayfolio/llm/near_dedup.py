@@ -121,7 +121,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.filter(100 * F.col("_c") >= percent * (F.col("_s") - F.col("_c"))).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, stars: int = 2,
+def _settled(labels: DataFrame, sets: DataFrame, percent: int, salts: int = 16) -> DataFrame:
+    """Links of the members outside their bucket's largest component with all others of buckets that have the same one.
+
+    Sets are compared inside the join, so that only links come out of it; the
+    other side of a hot component is dealt over salts.
+    """
+    own = labels.select("rep", "n", "label", "_largest").distinct().join(sets.withColumnRenamed("id", "rep"), "rep")
+    out = own.filter("label <> _largest").select(
+        "_largest", F.col("rep").alias("a"), F.col("n").alias("_n"), F.col("label").alias("_label"), F.col("items").alias("_items"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    both = F.size(F.array_intersect("items", "_items"))
+    fits = (100 * F.col("n") >= percent * F.col("_n")) & (100 * F.col("_n") >= percent * F.col("n")) & (F.col("label") != F.col("_label"))
+    fits = fits & ((F.col("label") == F.col("_largest")) | (F.col("rep") < F.col("a")))  # of two outside, one comparison
+    fits = fits & ((100 + percent) * both >= percent * (F.col("n") + F.col("_n")))
+    dealt = own.withColumn("_salt", F.pmod(F.xxhash64("rep"), F.lit(salts)).cast("int"))
+    o = out.withColumnRenamed("_largest", "_key").withColumnRenamed("_salt", "_key_salt")
+    return dealt.join(o, (F.col("_largest") == F.col("_key")) & (F.col("_salt") == F.col("_key_salt")) & fits).select("a", F.col("rep").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, hubs: int = 8,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The component of each document under links of similar shingle sets.
 
@@ -131,12 +149,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     2. Groups that agree in a whole band are candidates. At similarity 0.8 a
        pair agrees in none of 40 bands of 6 with probability 5e-6.
     3. In a band's bucket all members are compared on full sets with one hub;
-       linked ones become a component; then with another hub, and so on for
-       ``stars`` hubs. What a bucket still holds outside its largest component is
-       compared with every member of another component there. Members of one
-       component are not compared any more, so a bucket of thousands of near
-       copies costs about as many comparisons as members, and yet no link
-       between different components of a bucket is left out.
+       linked ones become a component. Then what lies outside the bucket's
+       largest component is compared with ``hubs`` members of it drawn by hash,
+       again and again while that settles most of what is left. What is still
+       outside is compared with all members of the buckets that have the same
+       largest component. Members of one component are not compared any more, so
+       a bucket of thousands of near copies costs a few comparisons per member
+       and the members without any link are compared once with the others; no
+       link between different components of a bucket is left out.
     4. Components of all links.
 
     Returns id, n_shingles, component_id (the smallest id that links reach),
@@ -154,25 +174,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     involved = members.select(F.col("rep").alias("id")).distinct()
     sets = cut_lineage(_sets(plain.join(involved, "id", "left_semi"), words).distinct())
 
-    similar = (100 * F.col("n") >= percent * F.col("_hub_n")) & (100 * F.col("_hub_n") >= percent * F.col("n"))
-    links, labels = None, members.select("rep", "n", "band", F.col("rep").alias("label"))
-    for turn in range(stars + 1):
-        if turn < stars:  # all members of a bucket with a hub; later only those that are in another component than the hub
-            order = F.struct(*([] if turn == 0 else [F.xxhash64(F.lit(turn), "rep")]), "rep", "n", "label")
-            hubs = labels.groupBy("band").agg(F.min(order).alias("_hub")).select("band", F.col("_hub.rep").alias("_hub"), F.col("_hub.n").alias("_hub_n"), F.col("_hub.label").alias("_hub_label"))
-        else:  # what is outside the largest component, with all others
-            sizes = labels.groupBy("band", "label").agg(F.count("*").alias("_k"))
-            largest = sizes.groupBy("band").agg(F.max(F.struct("_k", "label")).alias("_l")).select("band", F.col("_l.label").alias("_largest"))
-            hubs = labels.join(largest, "band").filter("label <> _largest").select("band", F.col("rep").alias("_hub"), F.col("n").alias("_hub_n"), F.col("label").alias("_hub_label"))
-        near = labels.join(hubs, "band").filter(similar & (F.col("label") != F.col("_hub_label")))
-        pairs = near.select(F.least("rep", "_hub").alias("a"), F.greatest("rep", "_hub").alias("b")).distinct()
-        found = _confirmed(pairs, sets, percent)
-        links = cut_lineage(found if links is None else links.unionByName(found))
+    def linked(near: DataFrame) -> DataFrame:
+        fits = (100 * F.col("n") >= percent * F.col("_hub_n")) & (100 * F.col("_hub_n") >= percent * F.col("n")) & (F.col("label") != F.col("_hub_label"))
+        pairs = near.filter(fits).select(F.least("rep", "_hub").alias("a"), F.greatest("rep", "_hub").alias("b")).distinct()
+        return _confirmed(pairs, sets, percent)
+
+    def open_labels(nodes: DataFrame) -> DataFrame:
+        """Members of the buckets that still hold several components, with their bucket's largest component."""
+        labels = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "band", F.coalesce("component", "rep").alias("label"))
+        mixed = labels.groupBy("band").agg((F.min("label") != F.max("label")).alias("_open")).filter("_open").drop("_open")
+        labels = cut_lineage(labels.join(mixed, "band"))
+        largest = labels.groupBy("band", "label").agg(F.count("*").alias("_k")).groupBy("band").agg(
+            F.max(F.struct("_k", "label")).alias("_l"), F.sum("_k").alias("_m")).select("band", "_m", F.col("_l._k").alias("_k"), F.col("_l.label").alias("_largest"))
+        return cut_lineage(labels.join(largest, "band"))
+
+    hub = F.struct("rep", "n")
+    first = members.groupBy("band").agg(F.min(hub).alias("_h")).select("band", F.col("_h.rep").alias("_hub"), F.col("_h.n").alias("_hub_n"), F.col("_h.rep").alias("_hub_label"))
+    links = cut_lineage(linked(members.withColumn("label", F.col("rep")).join(first, "band")))
+    size, before, turn = members.count(), None, 0
+    while True:
         nodes = cut_lineage(connected_components(links))
-        if turn < stars:
-            labels = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "band", F.coalesce("component", "rep").alias("label"))
-            mixed = labels.groupBy("band").agg((F.min("label") != F.max("label")).alias("_open")).filter("_open").drop("_open")
-            labels = cut_lineage(labels.join(mixed, "band"))
+        labels = open_labels(nodes)
+        inside, outside = labels.filter("label = _largest"), labels.filter("label <> _largest")
+        left = outside.agg(F.sum("_m")).first()[0] or 0  # comparisons that would settle all buckets
+        if not left:
+            break
+        last = left <= size // 4 or before is not None and 2 * left > before
+        if last:
+            found = _settled(labels, sets, percent)
+        else:
+            drawn = [F.min(F.struct(F.xxhash64(F.lit(turn * hubs + k), "rep"), hub.alias("hub")))["hub"] for k in range(hubs)]
+            some = inside.groupBy("band").agg(F.array_distinct(F.array(*drawn)).alias("_h"), F.first("_largest").alias("_hub_label"))
+            some = some.select("band", "_hub_label", F.explode("_h").alias("_h")).select("band", "_hub_label", F.col("_h.rep").alias("_hub"), F.col("_h.n").alias("_hub_n"))
+            found = linked(outside.join(some, "band"))
+        links = cut_lineage(links.unionByName(found))
+        if last:
+            nodes = cut_lineage(connected_components(links))
+            break
+        before, turn = left, turn + 1
     answers = groups.select("key", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     return sketched.select("id", "n", "key").join(answers, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
