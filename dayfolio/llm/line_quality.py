@@ -93,7 +93,7 @@ def assess_quality(docs: DataFrame, text_col: str = "text", min_words: int = 10,
     weight = lambda some: F.aggregate(some, F.lit(0), lambda a, x: a + _chars_without(x, WHITE))
     judged = let(lines, lambda all_lines: let(F.filter(all_lines, lambda x: line_fails(x, short_words)), lambda bad: F.struct(
         F.size(all_lines).cast("long").alias("n_lines"), F.size(bad).cast("long").alias("n_failed_lines"), weight(bad).cast("long").alias("lost_chars"))))
-    temp = "_quality_counts", "_quality_lines"
+    temp = "__quality_counts", "__quality_lines"
     p = lambda name: prefix + name
     out = docs.withColumns({
         temp[0]: counted, temp[1]: judged,
