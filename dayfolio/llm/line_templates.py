@@ -15,17 +15,6 @@ MASK = "<*>"
 PARTS = 4
 
 
-def _tail(tokens: Column, depth: int) -> Column:
-    """Sixteen bits for each quarter of the tokens after the leading ones, 0 for an empty quarter."""
-    rest = F.size(tokens) - depth
-    bits = F.lit(0).cast("long")
-    for k in range(PARTS):
-        start, end = F.floor(rest * k / PARTS).cast("int"), F.floor(rest * (k + 1) / PARTS).cast("int")
-        part = F.when(end > start, 1 + F.pmod(F.xxhash64(F.slice(tokens, start + depth + 1, end - start)), F.lit(65535))).otherwise(0)
-        bits = bits.bitwiseOR(F.shiftleft(part.cast("long"), 16 * k))
-    return bits
-
-
 def _similar(a: Column, b: Column) -> Column:
     """At least half of the quarters that hold tokens agree."""
     parts = [(F.shiftrightunsigned(a, 16 * k).bitwiseAND(F.lit(65535)), F.shiftrightunsigned(b, 16 * k).bitwiseAND(F.lit(65535))) for k in range(PARTS)]
@@ -40,12 +29,24 @@ def line_leaves(docs: DataFrame, depth: int, min_words: int, id_col: str, text_c
     Runs of white space become one space and tokens with a digit one mask. The
     leaf is the number of tokens and the leading ones; full is the whole line.
     """
-    masked = F.regexp_replace(text_of(text_col), VARIABLE, MASK)
-    lines = docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(masked, "\n", -1)).alias("pos", "line"))
-    tokens = F.split(F.trim(F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")), " ", -1)
-    made = let(tokens, lambda t: F.when(F.size(t) >= min_words, F.struct(
-        F.xxhash64(F.size(t), F.slice(t, 1, depth)).alias("leaf"), F.xxhash64(t).alias("full"), _tail(t, depth).alias("tail"))))
-    return lines.select("doc", "pos", made.alias("_made")).filter("_made is not null").select("doc", "pos", "_made.*")
+    text = text_of(text_col)
+    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, VARIABLE, MASK)).otherwise(text)
+    whole = F.col("_masked")
+    odd = whole.startswith(" ") | whole.endswith(" ")
+    for white in ("  ", " \n", "\n ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | whole.contains(white)
+    spaced = F.regexp_replace(whole, r"[\x20\x09\x0B-\x0D]+", " ")
+    plain = F.when(odd, F.trim(F.replace(F.replace(spaced, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))).otherwise(whole)
+    rows = docs.select(F.col(id_col).alias("doc"), masked.alias("_masked")).select("doc", F.posexplode(F.split(plain, "\n", -1)).alias("pos", "line"))
+    rows = rows.filter(F.octet_length(F.substring_index("line", " ", min_words - 1)) < F.octet_length("line"))
+    rows = rows.withColumn("_n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    tail = F.lit(0).cast("long")  # sixteen bits for each quarter of the tokens after the leading ones, 0 if it is empty
+    for k in range(PARTS):
+        start, end = (f"({depth} + (_n - {depth}) * {i} div {PARTS})" for i in (k, k + 1))
+        part = F.expr(f"substring_index(substring_index(line, ' ', cast({end} as int)), ' ', cast({start} - {end} as int))")
+        bits = F.when(F.expr(f"{end} > {start}"), 1 + F.pmod(F.xxhash64(part), F.lit(65535))).otherwise(F.lit(0))
+        tail = tail.bitwiseOR(F.shiftleft(bits.cast("long"), 16 * k))
+    return rows.select("doc", "pos", F.xxhash64("_n", F.substring_index("line", " ", depth)).alias("leaf"), F.xxhash64("line").alias("full"), tail.alias("tail"))
 
 
 def recurring_lines(docs: DataFrame, depth: int = 4, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -88,14 +89,14 @@ def drop_recurring_lines(docs: DataFrame, depth: int = 4, min_words: int = 5, id
     an empty result.
     """
     drops = recurring_lines(docs, depth, min_words, id_col, text_col)
-    drops = drops.distinct().groupBy("doc").agg(F.collect_list("pos").alias("_drops")).withColumnRenamed("doc", "_doc")
-    joined = docs.join(drops, F.col(id_col) == F.col("_doc"), "left").drop("_doc")
+    drops = drops.distinct().groupBy("doc").agg(F.collect_list("pos").alias("__line_drops")).withColumnRenamed("doc", "__line_doc")
+    joined = docs.join(drops, F.col(id_col) == F.col("__line_doc"), "left").drop("__line_doc")
 
     def rebuilt(lines: Column) -> Column:
-        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drops"))
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__line_drops"))
         return F.struct(
-            F.when(F.col("_drops").isNull(), text_of(text_col)).otherwise(F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")).alias("text"),
-            F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"))
+            F.when(F.col("__line_drops").isNull(), text_of(text_col)).otherwise(F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")).alias("text"),
+            F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("__line_drops"), F.lit(0)).cast("long").alias("n_dropped"))
 
-    joined = joined.withColumn("_lines", let(F.split(text_of(text_col), "\n", -1), rebuilt))
-    return joined.withColumns({text_col: F.col("_lines.text"), "n_lines": F.col("_lines.n_lines"), "n_dropped": F.col("_lines.n_dropped")}).drop("_lines", "_drops")
+    joined = joined.withColumn("__line_lines", let(F.split(text_of(text_col), "\n", -1), rebuilt))
+    return joined.withColumns({text_col: F.col("__line_lines.text"), "n_lines": F.col("__line_lines.n_lines"), "n_dropped": F.col("__line_lines.n_dropped")}).drop("__line_lines", "__line_drops")
