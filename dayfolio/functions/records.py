@@ -207,16 +207,15 @@ OPTIONAL_EXTENSIONS = (".bib", ".bbl")
 def safe_path(c: Column | str) -> Column:
     """A relative path without dot segments; null when it could escape."""
     text = _column(c)
-    bare = F.regexp_replace(F.regexp_replace(text, "^(?:\\./)+", ""), "/+", "/")
-    bare = F.regexp_replace(bare, "(?:^|(?<=/))(?:\\./)+", "")
-    # A leading step up, or more steps up than down, leaves the folder; inner
-    # ones are resolved by dropping "name/../" pairs from the inside out.
-    for _ in range(8):
-        bare = F.regexp_replace(bare, "(?:^|(?<=/))(?!\\.\\./)[^/]+/\\.\\.(?:/|$)", "")
+    # A step up takes the last name away; one that finds none stays and is refused.
+    steps = F.filter(F.split(text, "/", -1), lambda s: ~s.isin("", "."))
+    bare = F.array_join(F.aggregate(steps, F.array().cast("array<string>"), lambda names, s: F.when(
+        (s == "..") & (F.coalesce(F.try_element_at(names, F.lit(-1)), F.lit("..")) != ".."),
+        F.slice(names, 1, F.greatest(F.size(names) - 1, F.lit(0)))).otherwise(F.concat(names, F.array(s)))), "/")
     bad = (
         (F.char_length(text) < 1) | (F.char_length(text) > 1024) | text.startswith("/")
         | text.contains("\\") | text.rlike("[\\x00-\\x1f\\x7f]")
-        | bare.rlike("(?:^|/)\\.\\.?(?:/|$)") | (bare == "") | bare.endswith("/")
+        | bare.rlike("(?:^|/)\\.\\.(?:/|$)") | (bare == "") | text.endswith("/")
     )
     return F.when(~F.coalesce(bad, F.lit(True)), bare)
 

@@ -1,11 +1,10 @@
 """Positions and neighbours inside groups of any size.
 
-A plain ``row_number`` sends each group to one task. Here a group is cut into
-order-preserving ranges first: one row in ``rows_per_range`` is chosen by the
-hash of its own sort key, the chosen keys are the cut points, and a binary
-search assigns every row to a range. Ranges sort independently, and the few
-range totals give the offsets. The choice depends only on row values, so every
-evaluation and every retried task cuts at the same points.
+A plain ``row_number`` sends each group to one task. Here the rows are dealt by
+ranges of group and order and written once, so every later step sees the same
+ranges and the input is read once. Each range numbers its own rows; the few
+groups that go on from one range into the next, at most one per range, get what
+lies before them from a table with a row per range.
 """
 
 from __future__ import annotations
@@ -14,8 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_RANGE = 1 << 20
-_SEARCH_STEPS = [1 << bit for bit in range(21, -1, -1)]
+from dayfolio.session import cut_lineage
 
 
 def sort_key(order: Sequence[Column | str]) -> Column:
@@ -28,93 +26,63 @@ def sort_key(order: Sequence[Column | str]) -> Column:
 
 
 def _same_group(group: Sequence[str], prefix: str) -> Column:
-    condition = F.lit(True)
+    condition = F.col("_range") == F.col(prefix + "range")
     for name in group:
         condition = condition & F.col(name).eqNullSafe(F.col(prefix + name))
     return condition
 
 
-def with_range(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Adds ``_key``, ``_range`` and ``_split`` (the group has more than one range)."""
-    keyed = df.withColumn("_key", sort_key(order))
-    cuts = (
-        keyed.where(F.pmod(F.xxhash64("_key"), F.lit(rows_per_range)) == 0)
-        .groupBy(*[F.col(name).alias("_g_" + name) for name in group])
-        .agg(F.sort_array(F.collect_set("_key")).alias("_cuts"))
-    )
-    # One cut per rows_per_range input rows: about a million short keys for
-    # 10**12 rows, so the broadcast stays far below the driver's limits.
-    joined = keyed.join(F.broadcast(cuts), _same_group(group, "_g_"), "left")
-    position = F.aggregate(
-        F.array(*[F.lit(step) for step in _SEARCH_STEPS]),
-        F.lit(0),
-        lambda found, step: F.when(
-            F.coalesce(F.try_element_at("_cuts", found + step) <= F.col("_key"), F.lit(False)),
-            found + step,
-        ).otherwise(found),
-    )
-    return (
-        joined.withColumn("_split", F.col("_cuts").isNotNull())
-        .withColumn("_range", F.when(F.col("_split"), position).otherwise(F.lit(0)))
-        .drop("_cuts", *["_g_" + name for name in group])
-    )
+def with_range(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], ranges: int | None = None) -> DataFrame:
+    """The rows dealt by ranges, with ``_key`` and ``_range``, written to the shared folder."""
+    count = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_key", sort_key(order)).repartitionByRange(count, *group, "_key")
+    return cut_lineage(dealt.withColumn("_range", F.spark_partition_id()))
 
 
-def _range_table(ranged: DataFrame, group: Sequence[str], *aggregates: Column) -> DataFrame:
-    """One row per range of every group that was cut; as small as the cut table."""
-    return (
-        ranged.where("_split")
-        .groupBy(*[F.col(name).alias("_g_" + name) for name in group], F.col("_range").alias("_g_range"))
-        .agg(*aggregates)
-    )
+def _before(ranged: DataFrame, group: Sequence[str], last: Column, across) -> DataFrame:
+    """For each group that goes on from an earlier range what ``across`` finds there.
+
+    Only a range's first group can go on, so there are fewer rows than ranges.
+    """
+    window = Window.partitionBy(*["_g_" + name for name in group]).orderBy("_g_range")
+    sizes = ranged.groupBy(*[F.col(name).alias("_g_" + name) for name in group], F.col("_range").alias("_g_range")).agg(last.alias("_ord_last"))
+    return sizes.withColumn("_ord_before", across("_ord_last", window)).where("_ord_before is not null").drop("_ord_last")
 
 
 def with_position(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                  name: str = "position", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                  name: str = "position", ranges: int | None = None) -> DataFrame:
     """Adds the 1-based place of each row in its group."""
     if not group:
-        return with_position(df.withColumn("_all", F.lit(0)), ["_all"], order, name, rows_per_range).drop("_all")
-    ranged = with_range(df, group, order, rows_per_range)
-    across = Window.partitionBy(*["_g_" + c for c in group]).orderBy("_g_range")
-    offsets = (
-        _range_table(ranged, group, F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)))
-        .where("_before is not null").drop("_n")
-    )
+        return with_position(df.withColumn("_all", F.lit(0)), ["_all"], order, name, ranges).drop("_all")
+    ranged = with_range(df, group, order, ranges)
+    earlier = _before(ranged, group, F.count(F.lit(1)), lambda c, w: F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     within = Window.partitionBy(*group, "_range").orderBy("_key")
     return (
-        ranged.withColumn("_local", F.row_number().over(within))
-        .join(F.broadcast(offsets), _same_group(group, "_g_") & (F.col("_range") == F.col("_g_range")), "left")
-        .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
-        .drop("_key", "_split", "_range", "_local", "_before", "_g_range", *["_g_" + c for c in group])
+        ranged.withColumn("_ord_local", F.row_number().over(within))
+        .join(F.broadcast(earlier), _same_group(group, "_g_"), "left")
+        .withColumn(name, F.col("_ord_local") + F.coalesce("_ord_before", F.lit(0)))
+        .drop("_key", "_range", "_ord_local", "_ord_before", "_g_range", *["_g_" + c for c in group])
     )
 
 
 def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                  columns: dict[str, Column | str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                  columns: dict[str, Column | str], ranges: int | None = None) -> DataFrame:
     """Adds, under each new name, the value the preceding row of the group has."""
     if not group:
         whole = df.withColumn("_all", F.lit(0))
-        return with_previous(whole, ["_all"], order, columns, rows_per_range).drop("_all")
+        return with_previous(whole, ["_all"], order, columns, ranges).drop("_all")
     wanted = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
-    ranged = with_range(df, group, order, rows_per_range).withColumn("_row", wanted)
-    across = Window.partitionBy(*["_g_" + c for c in group]).orderBy("_g_range")
-    carried = (
-        _range_table(ranged, group, F.max_by("_row", "_key").alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(across))
-        .where("_carry is not null").drop("_last")
-    )
+    ranged = with_range(df.withColumn("_ord_row", wanted), group, order, ranges)
+    earlier = _before(ranged, group, F.max_by("_ord_row", "_key"), lambda c, w: F.lag(c).over(w))
     within = Window.partitionBy(*group, "_range").orderBy("_key")
     joined = (
-        ranged.withColumn("_lag", F.lag("_row").over(within))
-        .join(F.broadcast(carried), _same_group(group, "_g_") & (F.col("_range") == F.col("_g_range")), "left")
-        .withColumn("_lag", F.coalesce("_lag", "_carry"))
+        ranged.withColumn("_ord_lag", F.lag("_ord_row").over(within))
+        .join(F.broadcast(earlier), _same_group(group, "_g_"), "left")
+        .withColumn("_ord_lag", F.coalesce("_ord_lag", "_ord_before"))
     )
     for name in columns:
-        joined = joined.withColumn(name, F.col("_lag")[name])
-    return joined.drop("_key", "_split", "_range", "_row", "_lag", "_carry", "_g_range",
-                       *["_g_" + c for c in group])
+        joined = joined.withColumn(name, F.col("_ord_lag")[name])
+    return joined.drop("_key", "_range", "_ord_row", "_ord_lag", "_ord_before", "_g_range", *["_g_" + c for c in group])
 
 
 def top_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], size: int,

@@ -123,7 +123,8 @@ def match_authors(papers: DataFrame, registry: DataFrame, keys: Sequence[str] =
     known = (registry.select(F.explode(X.author_keys(names)).alias("_name"), "entry", F.explode("fieldTags").alias("_tag"),
                              F.struct(F.col("distinction").alias("reason"), "identityEvidence", F.col("officialUrls").alias("evidenceUrls")).alias("_why"))
              .groupBy("_name", "_tag").agg(F.min_by("_why", "entry").alias("_why")))
-    # A paper's authors are few; the badge rows are only the matches.
+    # A paper may be listed twice: its place in the report tells the copies apart.
+    keys = [*keys, *[c for c in ("index",) if c in papers.columns and c not in keys]]
     listed = papers.select(*keys, F.col(slug).alias("_tag"), F.posexplode(F.arrays_zip(
         F.col(authors).alias("author"), X.author_keys(authors).alias("key"))).alias("_place", "_a")).withColumn("_name", F.col("_a.key"))
     hits = listed.join(small_or_plain(known), ["_name", "_tag"]).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(

@@ -76,6 +76,8 @@ def _kept(path: str, content: bytes) -> str | None:
     if extension and extension not in TEXT_EXTENSIONS:
         return None
     if len(content) > ARCHIVE["file"]:
+        if not extension and not _TEX.search(content[: 256 * 1024].decode("latin-1")):
+            return None
         raise Rejected(f"text file is too large: {path}")
     try:
         text = _text(content, path)
@@ -94,8 +96,10 @@ def _members(data: bytes) -> Iterator[tuple[str, str]]:
             entries += 1
             if entries > ARCHIVE["entries"]:
                 raise Rejected("too many entries")
-            if not member.isreg():
-                if member.type not in (tarfile.DIRTYPE, tarfile.LNKTYPE, tarfile.SYMTYPE, tarfile.CHRTYPE, tarfile.BLKTYPE, tarfile.FIFOTYPE):
+            if "path" in archive.pax_headers:
+                raise Rejected("global path override")
+            if member.type not in (tarfile.REGTYPE, tarfile.AREGTYPE):
+                if member.type not in (tarfile.CONTTYPE, tarfile.DIRTYPE, tarfile.LNKTYPE, tarfile.SYMTYPE, tarfile.CHRTYPE, tarfile.BLKTYPE, tarfile.FIFOTYPE):
                     raise Rejected(f"unsupported tar entry type {member.type!r}")
                 continue
             path = _safe(member.name)
@@ -112,6 +116,8 @@ def _members(data: bytes) -> Iterator[tuple[str, str]]:
                 raise Rejected("contains too much text or too many text files")
             seen.add(path)
             yield path, text
+        if data[archive.offset:].strip(b"\0"):  # the reader stops without a word at a header that it cannot read
+            raise Rejected("damaged or truncated header")
     if not seen:
         raise Rejected("contains no readable TeX or text source")
 

@@ -150,15 +150,21 @@ def read_pages(source: SparkSession | DataFrame, path: str | None = None, html:
         pages = source
     else:
         files = source.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        pages = files.where(F.col("length") <= maximum_bytes + 1).select("path", F.col("content").cast("string").alias(html))
+        # The bytes of a file above the limit are not read; it is still rejected by name.
+        pages = files.where(F.col("length") <= maximum_bytes).select("path", F.col("content").cast("string").alias(html), F.lit(None).cast("string").alias("_large"))
+        pages = pages.unionByName(files.where(F.col("length") > maximum_bytes).select("path", F.lit(None).cast("string").alias(html), F.lit("too large").alias("_large")))
     judged = pages.withColumn("reason", page_reason(html, maximum_bytes))
+    if "_large" in pages.columns:
+        judged = judged.withColumn("reason", F.coalesce("_large", "reason")).drop("_large")
     return judged.where("reason is null").drop("reason"), judged.where("reason is not null").drop(html)
 
 
-def read_archives(spark: SparkSession, path: str, maximum_bytes: int = config.ARCHIVE["download"]) -> DataFrame:
-    """Archives up to the size limit; the id is the file name up to its suffix."""
-    files = spark.read.format("binaryFile").load(path).where(F.col("length").between(1, maximum_bytes))
-    return files.select(F.regexp_extract("path", r"(\d{4}\.\d{4,5})[^/]*$", 1).alias("id"), "content", "length")
+def read_archives(spark: SparkSession, path: str, maximum_bytes: int = config.ARCHIVE["download"]) -> tuple[DataFrame, DataFrame]:
+    """Usable archives, and rejected ones with a reason; the id is the file name up to its suffix."""
+    files = spark.read.format("binaryFile").load(path).withColumn("id", F.regexp_extract("path", r"(\d{4}\.\d{4,5})[^/]*$", 1))
+    reason = F.when(F.col("length") == 0, "empty").when(F.col("length") > maximum_bytes, "too large")
+    usable = files.where(F.col("length").between(1, maximum_bytes)).select("id", "content", "length")
+    return usable, files.select("id", "path", "length", reason.alias("reason")).where("reason is not null")
 
 
 def read_events(spark: SparkSession, path: str, kind: str = "attempt", streaming: bool = False) -> DataFrame:

@@ -22,6 +22,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not any(sign in path for sign in "*?[{") and files.exists(hadoop) and files.getFileStatus(hadoop).isDirectory()
+
+
 def write_edition(editions: DataFrame, path: str) -> None:
     """One folder per date; other dates stay as they are."""
     (editions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").json(path))

@@ -8,19 +8,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dayfolio.plans.jobs import import_records
-from dayfolio.sources.writers import path_exists
+from dayfolio.sources.writers import is_folder, path_exists
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema, files_per_batch: int | None = None) -> DataFrame:
-    """A folder's files of one table as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
+    """One table of a folder as a stream: a file, files of that pattern, or a folder of part files."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    if is_folder(spark, f"{folder}/{name}"):
+        return reader.parquet(f"{folder}/{name}")
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
-def unique_events(events: DataFrame, keys: Sequence[str], time: str = "event_time", late: str = "1 day") -> DataFrame:
-    """Each event once, tolerating arrivals up to ``late`` behind the newest."""
+def unique_events(events: DataFrame, keys: Sequence[str], time: str = "event_time", late: str | None = None) -> DataFrame:
+    """Each event once, however late it arrives; the state keeps every key.
+
+    With ``late`` the state is bounded instead: keys are forgotten, and events
+    dropped, that are further behind the newest event than that.
+    """
+    if late is None:
+        return events.dropDuplicates(list(keys))
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
 
 

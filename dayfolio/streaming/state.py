@@ -1,8 +1,8 @@
 """Keyed retry and publication state over event streams.
 
 The state keeps, per attempt, only what can still matter: events newer than the
-last success. Events may arrive late or twice; the answer depends on their
-times, not on their arrival.
+last success. Events may arrive twice, and late within the watermark; the answer
+depends on their times, not on their arrival.
 """
 
 from __future__ import annotations
@@ -128,11 +128,13 @@ def _fields(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
 
-def retry_stream(events: DataFrame, keys: list[str], late: str = "1 day") -> DataFrame:
+def retry_stream(events: DataFrame, keys: list[str], late: str) -> DataFrame:
     """Stream form of ``retry_state``: one row per change of a key.
 
     ``events`` needs ``event_time`` (TIMESTAMP) for the watermark besides the
-    working columns of ``attempt_rows``. Repeated events count once.
+    working columns of ``attempt_rows``. Repeated events count once. Timers need
+    a watermark, so an event further behind the newest than ``late`` is dropped:
+    choose it longer than any delay of the source.
     """
     processor = RetryProcessor()
     processor.keys = list(keys)
@@ -143,38 +145,13 @@ def retry_stream(events: DataFrame, keys: list[str], late: str = "1 day") -> Dat
         outputMode="Update", timeMode="EventTime")
 
 
-class PublicationProcessor(StatefulProcessor):
-    """Last status and published commit; published is terminal."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "at BIGINT, event STRING, status STRING")
-        self.commit = handle.getValueState("commit", "low STRING, high STRING")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = tuple(self.last.get()) if self.last.exists() else None
-        commits = set(self.commit.get()) if self.commit.exists() else set()
-        for frame in rows:
-            for e in frame.itertuples(index=False):
-                entry = (_micros(e.at), str(e.event_id), e.status)
-                last = max(last, entry) if last else entry
-                if e.status == "published":
-                    commits.add(e.commit)
-        self.last.update(last)
-        if commits:
-            self.commit.update((min(commits), max(commits)))
-        row = dict(zip(self.keys, key))
-        row.update(last_status=last[2], published_commit=max(commits) if commits else None, conflicting=len(commits) > 1,
-                   terminal=bool(commits))
-        yield pd.DataFrame([row])
-
-    def close(self) -> None:
-        pass
-
-
 def publication_stream(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Stream form of ``publication_state``: columns at, event_id, status, commit."""
-    processor = PublicationProcessor()
-    processor.keys = list(keys)
-    output = f"{_fields(events, list(keys))}, last_status STRING, published_commit STRING, conflicting BOOLEAN, terminal BOOLEAN"
-    return events.select(*keys, "at", "event_id", "status", "commit").groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=T._parse_datatype_string(output), outputMode="Update", timeMode="None")
+    """Stream form of ``publication_state``: columns at, event_id, status, commit.
+
+    Last status and published commit; published is terminal.
+    """
+    commit = F.when(F.col("status") == "published", F.col("commit"))
+    return events.groupBy(*keys).agg(
+        F.max_by("status", F.struct("at", "event_id")).alias("last_status"), F.max(commit).alias("published_commit"),
+        (F.min(commit) < F.max(commit)).alias("_differ"), F.max(F.col("status") == "published").alias("terminal"),
+    ).select(*keys, "last_status", "published_commit", F.coalesce("_differ", F.lit(False)).alias("conflicting"), "terminal")

@@ -68,12 +68,12 @@ def test_tie_break_order(spark):
     assert [r["index"] for r in ranked] == [2, 1, 4, 3, 0]
 
 
-@pytest.mark.parametrize("rows_per_range", [50])
-def test_positions_do_not_depend_on_ranges(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_positions_do_not_depend_on_ranges(spark, ranges):
     df = spark.range(3000).select((F.col("id") % 10 == 0).cast("int").alias("g"), F.pmod(F.xxhash64("id"), F.lit(100)).alias("v"), "id").repartition(5)
     window = Window.partitionBy("g").orderBy("v", "id")
     want = df.withColumn("p", F.row_number().over(window).cast("bigint")).withColumn("q", F.lag("v").over(window))
-    got = O.with_previous(O.with_position(df, ["g"], ["v", "id"], "p", rows_per_range), ["g"], ["v", "id"], {"q": "v"}, rows_per_range)
+    got = O.with_previous(O.with_position(df, ["g"], ["v", "id"], "p", ranges), ["g"], ["v", "id"], {"q": "v"}, ranges)
     assert got.select(*want.columns).exceptAll(want).isEmpty() and got.count() == 3000
 
 
