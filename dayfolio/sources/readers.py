@@ -140,6 +140,16 @@ def page_reason(html: Column | str, maximum_bytes: int = config.MAX_LISTING_BYTE
             .when(~F.is_valid_utf8(text), "invalid UTF-8"))
 
 
+def empty_files(files: DataFrame) -> DataFrame:
+    """(path) of the files without a byte, which Spark's readers pass over.
+
+    The names are those of the reader's own file index on the driver.
+    """
+    bare = lambda c: F.regexp_replace(F.coalesce(F.try_url_decode(c), c), "^([a-z0-9]+):/+", "$1:/")
+    named = files.sparkSession.createDataFrame([(name,) for name in files.inputFiles()], "path string").select(bare(F.col("path")).alias("path"))
+    return named.join(files.select(bare(F.col("path")).alias("path")), "path", "left_anti")
+
+
 def read_pages(source: SparkSession | DataFrame, path: str | None = None, html: str = "html",
                maximum_bytes: int = config.MAX_LISTING_BYTES) -> tuple[DataFrame, DataFrame]:
     """Usable pages and rejected ones with a reason.
@@ -153,6 +163,7 @@ def read_pages(source: SparkSession | DataFrame, path: str | None = None, html:
         # The bytes of a file above the limit are not read; it is still rejected by name.
         pages = files.where(F.col("length") <= maximum_bytes).select("path", F.col("content").cast("string").alias(html), F.lit(None).cast("string").alias("_large"))
         pages = pages.unionByName(files.where(F.col("length") > maximum_bytes).select("path", F.lit(None).cast("string").alias(html), F.lit("too large").alias("_large")))
+        pages = pages.unionByName(empty_files(files).select("path", F.lit("").alias(html), F.lit(None).cast("string").alias("_large")))
     judged = pages.withColumn("reason", page_reason(html, maximum_bytes))
     if "_large" in pages.columns:
         judged = judged.withColumn("reason", F.coalesce("_large", "reason")).drop("_large")
@@ -161,10 +172,12 @@ def read_pages(source: SparkSession | DataFrame, path: str | None = None, html:
 
 def read_archives(spark: SparkSession, path: str, maximum_bytes: int = config.ARCHIVE["download"]) -> tuple[DataFrame, DataFrame]:
     """Usable archives, and rejected ones with a reason; the id is the file name up to its suffix."""
-    files = spark.read.format("binaryFile").load(path).withColumn("id", F.regexp_extract("path", r"(\d{4}\.\d{4,5})[^/]*$", 1))
-    reason = F.when(F.col("length") == 0, "empty").when(F.col("length") > maximum_bytes, "too large")
-    usable = files.where(F.col("length").between(1, maximum_bytes)).select("id", "content", "length")
-    return usable, files.select("id", "path", "length", reason.alias("reason")).where("reason is not null")
+    name = F.regexp_extract("path", r"(\d{4}\.\d{4,5})[^/]*$", 1).alias("id")
+    files = spark.read.format("binaryFile").load(path)
+    usable = files.where(F.col("length") <= maximum_bytes).select(name, "content", "length")
+    large = files.where(F.col("length") > maximum_bytes).select(name, "path", "length", F.lit("too large").alias("reason"))
+    empty = empty_files(files).select(name, "path", F.lit(0).cast("bigint").alias("length"), F.lit("empty").alias("reason"))
+    return usable, large.unionByName(empty)
 
 
 def read_events(spark: SparkSession, path: str, kind: str = "attempt", streaming: bool = False) -> DataFrame:

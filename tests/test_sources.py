@@ -16,47 +16,78 @@ TEX = b"\\documentclass{article}\n\\begin{document}Result\\end{document}\n"
 
 
 def test_listings(spark):
-    rows = [("a", "hep-th", P.listing()), ("b", "gr-qc", P.listing(heading="Thursday, 10 July 2026")), ("c", "gr-qc", P.listing(new_count=3)), ("d", "gr-qc", "x"), ("e", "gr-qc", P.listing(new=(), cross=()))]
+    rows = [("a", "hep-th", P.listing()), ("b", "gr-qc", P.listing(day="Monday, 4 February 2025")), ("c", "gr-qc", P.listing(declared={"New": 8})), ("d", "gr-qc", "x"), ("e", "gr-qc", P.listing(ids={"New": [], "Cross": []}))]
     got = {r.page: r for r in G.extract_listings(spark.createDataFrame(rows, "page string, slug string, html string")).collect()}
-    assert (str(got["a"].announcement_date), got["a"].new_ids, got["a"].crosslist_count) == ("2026-07-10", ["2607.07785", "2607.08752"], 2)
+    assert (str(got["a"].announcement_date), got["a"].new_ids, got["a"].crosslist_count) == ("2025-02-04", P.SHOWN["New"], 1)
     assert [got[p].reject for p in "bcde"] == ["invalid date heading", "declared counts differ from the entries", "needs exactly one listing element", None]
 
 
 def test_week(spark):
-    good = P.week([("Mon, 13 Jul 2026", ["2607.10001"], ["2607.20001"], None), ("Fri, 10 Jul 2026", ["2607.10002"], [], 5)])
-    partial = P.week([("Mon, 13 Jul 2026", ["2607.10001"], [], 4), ("Fri, 10 Jul 2026", ["2607.10002"], [], None)])
+    good = P.week(P.day("Tue, 4 Feb 2025", ["2502.01234"], ["2502.03456"]), P.day("Mon, 3 Feb 2025", ["2502.00777"], total=9))
+    partial = P.week(P.day("Tue, 4 Feb 2025", ["2502.01234"], total=6), P.day("Mon, 3 Feb 2025", ["2502.00777"]))
     df = G.extract_week(spark.createDataFrame([("a", "hep-th", good), ("b", "hep-th", partial)], "page string, slug string, html string"))
     groups = G.week_groups(df).orderBy("place").collect()
-    assert [(str(g.announcement_date), g.complete, g.new_ids, g.crosslist_count) for g in groups] == [("2026-07-13", True, ["2607.10001"], 1), ("2026-07-10", False, ["2607.10002"], 0)]
+    assert [(str(g.announcement_date), g.complete, g.new_ids, g.crosslist_count) for g in groups] == [("2025-02-04", True, ["2502.01234"], 1), ("2025-02-03", False, ["2502.00777"], 0)]
     assert df.where("page = 'b'").first().reject == "a newer group is partial"
 
 
 def test_abstracts(spark):
-    rows = [("ok", P.abstract()), ("v2", P.abstract(version="v2")), ("rotated", P.abstract(cited=("ević, Ivana Đorđ",), authors=("Ivana Đorđević",), comments='See <a href="https://x.org/a?b=1">this https URL</a> &amp; more')),
-            ("other", P.abstract(cited=("Other, X", "Researcher, Bob Q.")))]
-    df = spark.createDataFrame([(n, "2607.07798", "quant-ph", h) for n, h in rows], "n string, arxivId string, slug string, html string")
+    rows = [("ok", P.abstract()), ("v2", P.abstract(version="v2")), ("rotated", P.abstract(cited=("šić, Ana Žar",), visible=("Ana Žaršić",), comments='Data at <a href="https://y.org/d?p=1">this https URL</a> &amp; below')),
+            ("other", P.abstract(cited=("Someone, E", "Dal, Jan T.")))]
+    df = spark.createDataFrame([(n, P.PAPER["id"], "quant-ph", h) for n, h in rows], "n string, arxivId string, slug string, html string")
     got = {r.n: r for r in G.extract_abstracts(df).collect()}
-    assert got["ok"].authors == ["Alice Example", "Bob Q. Researcher"] and got["ok"].comments == "24 pages, 3 figures"
+    assert got["ok"].authors == ["Mina Okoro", "Jan T. Dal"] and got["ok"].comments == "9 pages, one table"
     assert got["v2"].reject == "version marker differs"
-    assert got["rotated"].authors == ["Ivana Đorđević"] and got["rotated"].comments == "See https://x.org/a?b=1 & more"
-    assert got["other"].authors == ["Other, X", "Researcher, Bob Q."]
+    assert got["rotated"].authors == ["Ana Žaršić"] and got["rotated"].comments == "Data at https://y.org/d?p=1 & below"
+    assert got["other"].authors == ["Someone, E", "Dal, Jan T."]
 
 
 ARCHIVES = [
-    (P.tar({"paper/main.tex": TEX, "refs.bib": b"@a{x}", "fig.png": b"\0\1"}), ["paper/main.tex", "refs.bib"], None), (gzip.compress(TEX), ["2607.00001.tex"], None),
+    (P.tar({"paper/main.tex": TEX, "refs.bib": b"@a{x}", "fig.png": b"\0\1"}), ["paper/main.tex", "refs.bib"], None), (gzip.compress(TEX), ["2502.00001.tex"], None),
     (P.tar({"../e.tex": TEX}), None, "traversal"), (P.tar({"main.tex": b"\x5c\xc3\x28"}), None, "UTF-8"), (P.tar({"main.tex": TEX, "r.bib": b"\xc3\x28"}), ["main.tex"], None),
     (b"%PDF-1.7\n", None, "neither"), (gzip.compress(TEX)[:30], None, "unexpected end"), (P.tar({"main.tex": TEX + b"\x1b"}), None, "control")]
 
 
+def test_damaged_archives_are_rejected_whole(spark):
+    whole = P.tar({"a.tex": TEX, "b.tex": TEX, "c.tex": TEX}, compress=False)
+    checksum = bytearray(whole)
+    checksum[1024 + 148] ^= 1  # in the header of the second member
+    cases = {"2502.00001": bytes(checksum), "2502.00002": whole[:1024 + 100], "2502.00003": P.tar({"notes": b"x" * (13 << 20), "a.tex": TEX}, compress=True)}
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in cases.items()], "id string, content binary")
+    got = [(r.id, r.path, r.reject is None) for r in archives.extract_sources(df).collect()]
+    assert sorted(got, key=repr) == [("2502.00001", None, False), ("2502.00002", None, False), ("2502.00003", "a.tex", True)]
+
+
+def test_landed_files_are_never_lost(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for name, size in (("a.html", 10), ("b.html", 5000), ("c.html", 0), ("d.html", 4001)):
+        (tmp_path / "p" / name).write_text("x" * size)
+    good, bad = readers.read_pages(spark, f"{tmp_path}/p", maximum_bytes=4000)
+    assert good.count() == 1 and sorted(r.reason for r in bad.collect()) == ["empty", "too large", "too large"]
+    for name, size in (("2502.00001.gz", 9), ("2502.00002.gz", 0), ("2502.00003.gz", 99)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    usable, refused = readers.read_archives(spark, f"{tmp_path}/*.gz", maximum_bytes=50)
+    assert [r.id for r in usable.collect()] == ["2502.00001"] and sorted((r.id, r.reason) for r in refused.collect()) == [("2502.00002", "empty"), ("2502.00003", "too large")]
+
+
+def test_paths_of_any_depth(spark):
+    from dayfolio.functions import records as R
+
+    deep = "/".join(["n"] * 12 + [".."] * 12 + ["main.tex"])
+    cases = {deep: "main.tex", "a/../../b": None, "./a//b/./c": "a/b/c", "..": None, "a/..": None, "a/": None, "/a": None, "../a": None, "a/b/../c": "a/c"}
+    got = spark.createDataFrame([(c,) for c in cases], "p string").select("p", R.safe_path("p").alias("s")).collect()
+    assert {r.p: r.s for r in got} == cases
+
+
 def test_archives(spark):
-    df = spark.createDataFrame([(f"2607.{i:05d}", bytearray(c)) for i, (c, _, _) in enumerate(ARCHIVES, 1)], "id string, content binary")
+    df = spark.createDataFrame([(f"2502.{i:05d}", bytearray(c)) for i, (c, _, _) in enumerate(ARCHIVES, 1)], "id string, content binary")
     got = archives.extract_sources(df).collect()
     for i, (_, paths, reject) in enumerate(ARCHIVES, 1):
-        rows = [r for r in got if r.id == f"2607.{i:05d}"]
+        rows = [r for r in got if r.id == f"2502.{i:05d}"]
         if reject:
             assert len(rows) == 1 and reject in rows[0].reject
         else:
-            assert [r.path.replace(rows[0].id, "2607.00001") for r in rows] == paths and all(r.reject is None for r in rows)
+            assert [r.path.replace(rows[0].id, "2502.00001") for r in rows] == paths and all(r.reject is None for r in rows)
 
 
 def test_reports_from_files(spark, tmp_path):

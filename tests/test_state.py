@@ -115,12 +115,12 @@ def test_open_jobs_keeps_the_stored_run(spark):
 
 
 def test_receipts(spark):
-    ids = [f"2607.{i:05d}" for i in range(15)]
+    ids = [f"2502.{i:05d}" for i in range(15)]
     announced = spark.createDataFrame([("d", "s", i) for i in ids], "report_date string, slug string, id string")
     schema = "report_date string, slug string, arxivId string, failureClass string, provisionalCandidateIds array<string>"
     good = ("d", "s", ids[3], J.config.MODEL_FAILURE, ids[:12])
     assert J.check_receipt(spark.createDataFrame([good], schema), announced).isEmpty()
-    bad = [("d", "s", ids[14], J.config.MODEL_FAILURE, ids[:12]), ("d", "s", ids[0], "nope", ids[:11]), ("d", "s", ids[0], J.config.MODEL_FAILURE, ids[:11] + ["2607.99999"])]
+    bad = [("d", "s", ids[14], J.config.MODEL_FAILURE, ids[:12]), ("d", "s", ids[0], "nope", ids[:11]), ("d", "s", ids[0], J.config.MODEL_FAILURE, ids[:11] + ["2502.99999"])]
     assert J.check_receipt(spark.createDataFrame(bad, schema), announced).count() == 4
     made, refused = J.probe_failure(spark.createDataFrame([good], schema), spark.createDataFrame([("d", "s", ids[5]), ("d", "s", ids[14])], "report_date string, slug string, arxivId string"))
     assert [(r.arxivId, r.failureClass) for r in made.collect()] == [(ids[5], J.config.PROBE_FAILURE)]
@@ -182,8 +182,8 @@ def test_new_dates_and_imports_from_streams(spark, tmp_path):
 
 
 def test_attempt_rows_decode_receipts(spark):
-    receipt = {"schemaVersion": "1.0", "status": "source_incomplete", "arxivId": "2607.00001", "failureClass": J.config.PROBE_FAILURE,
-               "provisionalCandidateIds": ["2607.00001"]}
+    receipt = {"schemaVersion": "1.0", "status": "source_incomplete", "arxivId": "2502.00001", "failureClass": J.config.PROBE_FAILURE,
+               "provisionalCandidateIds": ["2502.00001"]}
     good = R.BLOCKER_PREFIX + json.dumps({"schemaVersion": "1.0", "kind": "source_blocker", "observedAt": "2026-07-10T01:00:00.000Z", "receipt": receipt}, separators=(",", ":"))
     base = {"schemaVersion": "1.0", "kind": "attempt", "eventId": "0" * 32, "attemptId": "a", "reportDate": "2026-07-10", "snapshotFingerprint": "s",
             "runtimeFingerprint": "r", "evaluationRunId": "e", "at": "2026-07-10T02:00:00.000Z", "status": "failed", "stage": "category_generation", "category": "gr-qc"}

@@ -1,4 +1,4 @@
-"""Reference-shaped fixtures built in code."""
+"""Reports and policies built in code, in the stored shape."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ import json
 
 from dayfolio import config, schemas
 
-DATE = "2099-01-05"
+DATE = "2088-03-09"
 RUN = {"modelId": "model-1", "modelDisplayName": "Model 1", "reasoningEffort": "high",
-       "modelSelectionVerified": True, "runId": "run-2099-01-05-fixture"}
+       "modelSelectionVerified": True, "runId": "run-2088-03-09-tests"}
 POLICY = {
     "schemaVersion": "1.1", "requiredModelId": RUN["modelId"], "requiredModelDisplayName": RUN["modelDisplayName"],
     "requiredReasoningEffort": "high", "requireExplicitModelSelection": True, "qualificationStatus": "not_benchmarked",
@@ -19,30 +19,31 @@ POLICY = {
 RUBRIC = "Rubric 3.0"
 
 
+TOPICS = ("泡の膜", "鎖の輪", "霧の粒", "波の縁", "渦の芯", "殻の層", "枝の節", "縞の幅", "孔の壁", "環の列", "塵の帯")
+TOOLS = ("格子の計算", "束縛の方程式", "散乱の実験", "対称性の議論")
+
+
 def paper(slug: str, i: int) -> dict:
-    number = f"9901.{config.CATEGORIES.index(slug) * 100 + i + 1:05d}"
-    full = i < 10
-    n = i + 1
-    scores = {"broadImpact": 25 - i, "categoryImpact": 20, "originality": 20, "technicalStrength": 20 if full else 17}
+    """The i-th best paper of a category: total scores fall, the first ten are read in full."""
+    place = config.CATEGORIES.index(slug)
+    number, full = f"2601.{20001 + 97 * i + 3000 * place:05d}", i < 10
+    topic, tool = TOPICS[i % len(TOPICS)] + "一二三"[place], TOOLS[(i + place) % len(TOOLS)]
+    scores = {"broadImpact": 22 - i, "categoryImpact": 21, "originality": 19, "technicalStrength": 18 if full else 16}
+    pages = [f"https://arxiv.org/abs/{number}v1", f"https://arxiv.org/pdf/{number}v1"]
     record = {
-        "rank": n, "arxivId": number, "arxivVersion": "v1", "submissionType": "new", "url": f"https://arxiv.org/abs/{number}",
-        "title": f"Fixture {slug} {n}", "titleJa": f"検証用論文第{n}号", "authors": [f"Author {slug} {i}"], "primaryCategory": slug,
-        "paperType": "理論", "scores": scores,
+        "rank": i + 1, "arxivId": number, "arxivVersion": "v1", "submissionType": "new", "url": pages[0].removesuffix("v1"),
+        "title": f"On problem {i} of {slug}", "titleJa": f"{topic}をめぐる{tool}", "authors": [f"Kim {slug} {i}", "Lee Mora"], "primaryCategory": slug,
+        "paperType": "理論", "scores": scores, "totalScore": sum(scores.values()),
         "scoreReasons": {
-            "broadImpact": f"項目{n}の結果から、複数の物理領域に影響が広がる余地が読み取れる。",
-            "categoryImpact": f"項目{n}が扱う中心課題には、はっきりとした前進が認められる。",
-            "originality": f"項目{n}は従来と異なる構成を選び、新しい問いに答えている。",
-            "technicalStrength": f"項目{n}では仮定を明記し、導出と検算を行って限界も記している。",
-        },
-        "totalScore": sum(scores.values()),
-        "abstractLines": [f"第{n}対象の背景をまとめた。", f"第{n}設定の方法を調べている。", f"第{n}結果と限界を示す。"],
-        "curiosity": f"第{n}未解決量を問う。", "concept": f"第{n}解析法を組み立てる。", "conclusion": f"第{n}帰結と限界をまとめる。",
-        "assessment": f"証拠と限界を比べる第{n}評価である。", "evaluationBasis": config.FULL_TEXT_BASIS if full else config.ABSTRACT_BASIS,
-        "fullTextEvaluated": full,
-        "sourceUrls": [f"https://arxiv.org/abs/{number}v1"] + ([f"https://arxiv.org/pdf/{number}v1"] if full else []),
+            "broadImpact": f"{topic}の見方は隣り合う分野の測定にもそのまま使える。", "categoryImpact": f"長く残っていた{topic}の問いへはっきりした答えを返す。",
+            "originality": f"{tool}を{topic}へ当てる例はこれまで見当たらない。", "technicalStrength": f"{topic}への{tool}は誤差の見積もりまで済んでいる。"},
+        "abstractLines": [f"{topic}がなぜ崩れないのかを問う。", f"{tool}を小さな系から大きな系へ進める。", f"{topic}の寿命と大きさの間に簡単な関係がある。"],
+        "curiosity": f"{topic}はいつまで形を保つのか。", "concept": f"{topic}の言葉で{tool}を書き直す。", "conclusion": f"{topic}の寿命は大きさだけで決まる。",
+        "assessment": f"{topic}の結論は明快だが温度の高い場合は含まれない。", "evaluationBasis": config.FULL_TEXT_BASIS if full else config.ABSTRACT_BASIS,
+        "fullTextEvaluated": full, "sourceUrls": pages if full else pages[:1],
     }
     if full:
-        record["fullTextReviewStatus"] = f"項目{n}の主要節と結論、付録を読んだ。"
+        record["fullTextReviewStatus"] = f"{topic}の章と末尾の補遺を通して読んだ。"
     return record
 
 
