@@ -7,6 +7,7 @@ Arrow UDFs; case, space and pattern work stays in the JVM.
 from __future__ import annotations
 
 import re
+from collections import Counter
 import unicodedata
 
 import pandas as pd
@@ -170,15 +171,14 @@ def char_ngrams(c: Column | str, size: int) -> Column:
     return F.coalesce(grams, F.array().cast("array<string>"))
 
 
-def numbered(grams: Column) -> Column:
-    """Gives the n-th copy of a gram the suffix n, turning a bag into a set.
+def gram_overlap(source: Column, target: Column, size: int) -> Column:
+    """How many n-grams two texts share, repeats counted, in Arrow batches and linear time."""
+    @F.pandas_udf(T.LongType())
+    def shared(ours: pd.Series, theirs: pd.Series) -> pd.Series:
+        grams = lambda text: Counter(text[i:i + size] for i in range(len(text or "") - size + 1))
+        return pd.Series([(grams(a) & grams(b)).total() for a, b in zip(ours, theirs)], dtype="int64")
 
-    For short texts: a copy's number is its distance from the first equal
-    element of the sorted list.
-    """
-    return let(F.sort_array(grams), lambda ordered: F.transform(
-        ordered,
-        lambda g, i: F.concat(g, F.lit("#"), (i - F.array_position(ordered, g) + F.lit(1)).cast("string"))))
+    return shared(source, target)
 
 
 def count_script(c: Column | str, character_class: str) -> Column:

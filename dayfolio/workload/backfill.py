@@ -184,6 +184,12 @@ def select_authorized(spark, folder):
     return found.select("key", F.col("a.status").alias("status"), F.col("a.still_live").alias("still_live"))
 
 
+def valid_id(key: str):
+    """An id of its own for each key: five digits in a month, then the next month."""
+    month = F.expr(f"1000 + {key} div 1200000 * 100 + {key} div 100000 % 12 + 1")
+    return F.format_string("%04d.%05d", month, F.col(key) % 100000)
+
+
 def chained(spark, folder):
     """Pending days per user and the day published last."""
     days = announcements(spark, folder).select("key", "date").distinct()
@@ -318,10 +324,11 @@ def classify_readiness(spark, folder):
     return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", state.alias("state"))
 
 
-@query("h17_urls_and_ids", "SELECT p_partkey, 'https://arxiv.org/abs/2607.' || lpad(p_partkey::VARCHAR, 5, '0') || 'v1' AS url, 2607000000 + p_partkey AS place FROM part WHERE length(p_partkey::VARCHAR) <= 5")
+@query("h17_urls_and_ids", """SELECT p_partkey, 'https://arxiv.org/abs/' || lpad((1000 + p_partkey // 1200000 * 100 + p_partkey // 100000 % 12 + 1)::VARCHAR, 4, '0') || '.' || lpad((p_partkey % 100000)::VARCHAR, 5, '0') || 'v1' AS url,
+  (1000 + p_partkey // 1200000 * 100 + p_partkey // 100000 % 12 + 1)::BIGINT * 1000000 + p_partkey % 100000 AS place FROM part""")
 def urls_and_ids(spark, folder):
-    p = table(spark, folder, "part").where("length(cast(p_partkey as string)) <= 5")
-    number = F.concat(F.lit("2607."), F.lpad(F.col("p_partkey").cast("string"), 5, "0"))
+    p = table(spark, folder, "part")
+    number = valid_id("p_partkey")
     key = R.id_sort_key(number)
     return p.select("p_partkey", R.abs_url_v1(number).alias("url"), (key["month"].cast("bigint") * 1000000 + key["sequence"]).alias("place"))
 
@@ -335,7 +342,7 @@ def ratio(spark, folder):
 @query("h22_blocker_codec", """SELECT event_id, event_id % 3 = 0 AS held, event_id % 3 = 1 AS malformed, CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS observed FROM events""")
 def blocker_codec(spark, folder):
     e = table(spark, folder, "events")
-    number = F.concat(F.lit("2401."), F.lpad((F.col("event_id") % 100000).cast("string"), 5, "0"))
+    number = valid_id("event_id")
     receipt = F.struct(F.lit("1.0").alias("schemaVersion"), F.lit("source_incomplete").alias("status"), number.alias("arxivId"), F.lit(R.config.PROBE_FAILURE).alias("failureClass"), F.array(number).alias("provisionalCandidateIds"))
     good = R.encode_blocker(receipt, F.date_trunc("second", F.col("ts")).cast("timestamp_ntz"))
     text = F.when(F.col("event_id") % 3 == 0, good).when(F.col("event_id") % 3 == 1, F.concat(F.substr(good, F.lit(1), F.length(good) - 3), F.lit("}"))).otherwise("plain words")

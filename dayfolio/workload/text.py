@@ -187,14 +187,14 @@ def shingle_coverage(spark, folder):
     return found.select("item_id", "doc_id", F.col("overlap").cast("bigint").alias("overlap"), F.col("total").cast("bigint").alias("total"))
 
 
-@query("j19_row_trigram_reuse", f"""WITH c AS (SELECT conv_id, turn, {COMPARE_SQL.format(c='substr(text, 1, 120)')} AS a, {COMPARE_SQL.format(c='substr(text, 31, 120)')} AS b FROM conversations),
+@query("j19_row_trigram_reuse", f"""WITH c AS (SELECT conv_id, turn, {COMPARE_SQL.format(c='text')} AS a, {COMPARE_SQL.format(c='substr(text, 31)')} AS b FROM conversations),
   ag AS (SELECT conv_id, turn, gram, count(*) AS n FROM (SELECT conv_id, turn, unnest(list_transform(generate_series(1, length(a) - 2), lambda i: a[i:i + 2])) AS gram FROM c WHERE length(a) >= 24) GROUP BY ALL),
   bg AS (SELECT conv_id, turn, gram, count(*) AS n FROM (SELECT conv_id, turn, unnest(list_transform(generate_series(1, length(b) - 2), lambda i: b[i:i + 2])) AS gram FROM c) GROUP BY ALL),
   s AS (SELECT conv_id, turn, sum(n)::BIGINT AS total FROM ag GROUP BY 1, 2), o AS (SELECT conv_id, turn, sum(least(ag.n, bg.n))::BIGINT AS overlap FROM ag JOIN bg USING (conv_id, turn, gram) GROUP BY 1, 2)
   SELECT conv_id, turn, round(CASE WHEN total IS NULL THEN 0 ELSE coalesce(overlap, 0) / total::DOUBLE END, 6) AS coverage FROM c LEFT JOIN s USING (conv_id, turn) LEFT JOIN o USING (conv_id, turn)""")
 def row_trigram_reuse(spark, folder):
     c = table(spark, folder, "conversations")
-    n = c.select("conv_id", "turn", X.nfkc_list(F.array(F.substring("text", 1, 120), F.substring("text", 31, 120))).alias("n"))
+    n = c.select("conv_id", "turn", X.nfkc_list(F.array("text", F.expr("substring(text, 31)"))).alias("n"))
     side = lambda i: X.fold_compare(F.get("n", F.lit(i)))
     return n.select("conv_id", "turn", F.round(RP.reuse_coverage(side(0), side(1)), 6).alias("coverage"))
 
@@ -254,9 +254,10 @@ def generic_phrases(spark, folder):
     return issue_rows(L.lint_table(d, "text", [rule], KEYS), "position", "fragment")
 
 
-@query("q11_distinct_reasons", f"SELECT conv_id::VARCHAR AS id FROM (SELECT conv_id, count(*) AS n, count(DISTINCT {FOLD_SQL.format(c='substr(text, 1, 3)')}) AS d FROM conversations GROUP BY 1) WHERE d < n")
+@query("q11_distinct_reasons", f"SELECT conv_id::VARCHAR AS id FROM (SELECT conv_id, count(*) AS n, count(DISTINCT {FOLD_SQL.format(c='text')}) AS d FROM conversations GROUP BY 1) WHERE d < n OR conv_id % 4 = 0")
 def distinct_reasons(spark, folder):
-    c = table(spark, folder, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.substring("text", 1, 3).alias("t")))).alias("r"))
+    c = table(spark, folder, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.col("text").alias("t")))).alias("r"))
+    c = c.withColumn("r", F.when(F.col("conv_id") % 4 == 0, F.concat("r", F.slice("r", 1, 1))).otherwise(F.col("r")))  # some say their first text again
     listed = c.select("conv_id", X.nfkc_list(F.transform("r", lambda t: t["t"])).alias("n"))
     folded = F.transform("n", X.fold_prose)
     rule = Rule("text", "language", "must be distinct", F.size(F.array_distinct(folded)) == F.size(folded))
