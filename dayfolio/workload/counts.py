@@ -69,18 +69,16 @@ PLATEAU = """SELECT report_date, slug, value, size, first_position, papers FROM
   WHERE papers >= 16 AND size >= 8 AND size / papers::DOUBLE > {ratio}"""
 
 
-@query("a8_score_plateau", f"WITH {PAPERS} " + PLATEAU.format(value="o_orderstatus", position="idx", source="papers", ratio=0.35))
+@query("a8_score_plateau", f"WITH {PAPERS} " + PLATEAU.format(value="CASE WHEN o_orderstatus = 'F' THEN 50 ELSE 1000 + idx END", position="idx", source="papers", ratio=0.35))
 def score_plateau(spark, folder):
-    return A.plateau(papers(spark, folder), F.col("o_orderstatus"), "index", ratio=0.35)
+    scored = papers(spark, folder).withColumn("totalScore", F.when(F.col("o_orderstatus") == "F", F.lit(50).cast("bigint")).otherwise(1000 + F.col("index")))
+    return A.score_plateau(scored)
 
 
-@query("a9_vector_plateau", "WITH lines AS (SELECT *, strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS report_date, l_linenumber::VARCHAR AS slug FROM lineitem) "
-       + PLATEAU.format(value="l_returnflag || '/' || l_linestatus", position="l_orderkey", source="lines", ratio=0.20))
+@query("a9_vector_plateau", f"WITH {PAPERS} " + PLATEAU.format(value="CASE WHEN o_orderstatus = 'O' THEN '9/8/7/6' ELSE broad || '/' || cat || '/' || orig || '/' || tech END", position="idx", source="papers", ratio=0.20))
 def vector_plateau(spark, folder):
-    li = table(spark, folder, "lineitem").select(
-        F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd").alias("report_date"), F.col("l_linenumber").cast("string").alias("slug"),
-        "l_orderkey", "l_returnflag", "l_linestatus")
-    return A.plateau(li, F.concat_ws("/", "l_returnflag", "l_linestatus"), "l_orderkey", ratio=0.20)
+    same = F.struct(*[F.lit(n).alias(k) for n, k in zip((9, 8, 7, 6), ("broadImpact", "categoryImpact", "originality", "technicalStrength"))])
+    return A.vector_plateau(papers(spark, folder).withColumn("scores", F.when(F.col("o_orderstatus") == "O", same).otherwise(F.col("scores"))))
 
 
 @query("a13_latest_id", f"""WITH {PAPERS} SELECT slug, max_by(arxiv_id, split_part(arxiv_id, '.', 1)::BIGINT * 1000000000000 + split_part(arxiv_id, '.', 2)::BIGINT) AS latest_id FROM papers GROUP BY 1""")

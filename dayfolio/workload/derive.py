@@ -6,12 +6,23 @@ repeated names) follow from key arithmetic, so both sides plant the same ones.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dayfolio.functions import records as R
 from dayfolio.operators.issues import ISSUE_COLUMNS
+from dayfolio.session import shared_folder
 from dayfolio.workload.registry import table
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder of this run in the shared folder, removed when the driver ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def key() -> Column:
     return F.col("o_orderkey")
 

@@ -183,16 +183,19 @@ def repair_receipts(spark, folder):
     return J.repair_receipts(*receipted(spark, folder), ["doc_id"], lambda df: F.char_length("payload") > 100)
 
 
-@query("s14_complete_set", f"""WITH {PAPERS}, v AS (SELECT *, idx % 50 <> 0 AS ok FROM papers), j AS (SELECT report_date, idx // 3 AS job, slug FROM v WHERE ok),
-  w AS (SELECT idx // 3 AS job FROM v GROUP BY 1 HAVING count(DISTINCT slug) FILTER (ok) = 3) SELECT v.arxiv_id FROM v JOIN w ON v.idx // 3 = w.job WHERE v.ok""")
-def complete_set(spark, folder):
-    from dayfolio.sources.writers import complete_set as export
-    p = papers(spark, folder).withColumn("job", F.floor(F.col("index") / 3)).withColumn("payload", F.col("arxivId")).withColumn("slug", F.col("slug"))
-    held = p.where("o_orderkey % 50 <> 0").select("job", "slug", "arxivId", F.sha2("payload", 256).alias("sha256"), F.octet_length("payload").cast("bigint").alias("bytes"))
-    from dayfolio.operators.aggregates import complete_jobs
-    judged = RC.verify_receipts(p, held, ["job", "slug", "arxivId"]).withColumn("_ok", F.col("receipt_state") == "verified")
-    whole = complete_jobs(judged, ["job"], "slug", "_ok").where("is_complete")
-    return judged.where("_ok").join(whole, "job", "left_semi").select(F.col("arxivId").alias("arxiv_id"))
+@query("s14_complete_set", f"""WITH {PAPERS}, r AS (SELECT idx // 3 AS job, slug, string_agg(arxiv_id, ',' ORDER BY arxiv_id) AS payload FROM papers GROUP BY 1, 2), v AS (SELECT * FROM r WHERE NOT (job % 5 = 0 AND slug = 'gr-qc') AND NOT (job % 7 = 0 AND slug = 'hep-th'))
+  SELECT job, slug, payload FROM v WHERE job IN (SELECT job FROM v GROUP BY 1 HAVING count(*) = 3)""")
+def whole_sets(spark, folder):
+    """Exported and read back: a record without a receipt or with a stale one holds its whole job back."""
+    from dayfolio.sources.writers import complete_set
+    from dayfolio.workload.derive import scratch
+    records = papers(spark, folder).groupBy(F.floor(F.col("index") / 3).cast("bigint").alias("job"), "slug").agg(F.array_join(F.sort_array(F.collect_list("arxivId")), ",").alias("payload"))
+    stale = (F.col("job") % 5 == 0) & (F.col("slug") == "gr-qc")
+    receipts = records.where(~((F.col("job") % 7 == 0) & (F.col("slug") == "hep-th"))).select(
+        "job", "slug", F.sha2(F.when(stale, F.concat("payload", F.lit("!"))).otherwise(F.col("payload")), 256).alias("sha256"), F.octet_length("payload").cast("bigint").alias("bytes"))
+    path = scratch(spark, "complete")
+    complete_set(records, receipts, ["job"]).write.parquet(path)  # a folder per job, as the export writes, would be thousands here
+    return spark.read.parquet(path).select("job", "slug", "payload")
 
 
 @query("j15_verify_resume", f"""WITH {PAPERS}, m AS (SELECT *, idx % 2 = 0 AS candidate, idx % 13 = 0 AS flipped FROM papers)

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from dayfolio.operators import aggregates as A
 from dayfolio.operators.skew import attach_row
 from dayfolio.plans import jobs as J
-from dayfolio.session import shared_folder
 from dayfolio.streaming import ingest, state as ST
 from dayfolio.workload.counts import PUBLICATION_SQL, publications, publications_of
-from dayfolio.workload.derive import ATTEMPTS, attempts, attempts_of, issue_rows
+from dayfolio.workload.derive import ATTEMPTS, attempts, attempts_of, issue_rows, scratch
 from dayfolio.workload.registry import query, table
 
 NOW = "2024-01-31 00:00:00"
@@ -123,11 +120,6 @@ def import_records(spark, folder):
 
 # Streams -------------------------------------------------------------------------------------------------------
 
-def scratch(spark, name: str) -> str:
-    """A new folder of this run in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def event_stream(spark, folder):
     schema = table(spark, folder, "events").schema
     return ingest.table_stream(spark, folder, "events.parquet", schema)
