@@ -63,7 +63,23 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, folder, "documents"))
 
 
-@query("op8_quality_rules")
+@query("op8_quality_rules", r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+counts AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols FROM docs),
+starts AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM docs WHERE len(words) > 4),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(list_slice(words, i, i + 4), ' ')) AS c FROM starts),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 4)) AS place FROM windows WHERE c > 1) GROUP BY 1),
+cut AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+lines AS (SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+  length(line) - length(regexp_replace(line, '[#*$%&|<>»›•·]', '', 'g')) AS marks, length(line) - length(replace(line, '!!', '')) AS shouts FROM cut),
+judged AS (SELECT *, n > 0 AND ((n >= 2 AND 3 * marks >= n) OR (n >= 2 AND shouts >= n) OR regexp_matches(line, '%BOILERPLATE%')
+  OR (n < 5 AND NOT regexp_matches(line, '%END%'))) AS bad FROM lines),
+per AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad) AS n_failed_lines, coalesce(sum(chars) FILTER (bad), 0)::BIGINT AS lost_chars,
+  count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines FROM judged GROUP BY 1),
+whole AS (SELECT counts.*, coalesce(covered.n, 0) AS n_repeat_words, n_lines, n_failed_lines, lost_chars, n_dup_lines FROM counts JOIN per USING (doc_id) LEFT JOIN covered USING (doc_id)),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM whole)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * lost_chars <= 50 * word_chars AS kept, n_lines, n_failed_lines, lost_chars FROM base
+""".replace("%BOILERPLATE%", line_quality.BOILERPLATE).replace("%END%", line_quality.SENTENCE_END.replace("'", "''")))
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_quality.assess_quality(read_table(spark, folder, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "lost_chars")
