@@ -195,3 +195,14 @@ def test_coverage_equals_brute_force(spark):
     left, right = spark.createDataFrame(sources, "s int, x string"), spark.createDataFrame(targets, "t int, y string")
     found = RP.shingle_coverage(left, right, "s", "t", T.compare_text("x"), T.compare_text("y"), 5, 24, 0.5)
     assert want and {(r.s, r.t) for r in found.collect()} == want
+
+
+def test_badges_of_a_paper_listed_twice(spark):
+    from dayfolio.operators.reconcile import match_authors
+
+    papers = spark.createDataFrame([("d", "s", "1", 0, ["A B", "C D"]), ("d", "s", "1", 1, ["A B", "C D"]), ("d", "s", "2", 2, ["E F"])],
+                                   "report_date string, slug string, arxivId string, index int, authors array<string>")
+    known = spark.createDataFrame([("A B", [], ["s"], "prize", "page", ["https://x"], 1)],
+                                  "canonicalName string, aliases array<string>, fieldTags array<string>, distinction string, identityEvidence string, officialUrls array<string>, entry int")
+    got = match_authors(papers, known).orderBy("index").collect()
+    assert [len(r.eminentAuthors) for r in got] == [1, 1, 0]

@@ -70,6 +70,15 @@ def test_landed_files_are_never_lost(spark, tmp_path):
     assert [r.id for r in usable.collect()] == ["2502.00001"] and sorted((r.id, r.reason) for r in refused.collect()) == [("2502.00002", "empty"), ("2502.00003", "too large")]
 
 
+def test_a_table_of_many_files_streams_whole(spark, tmp_path):
+    from dayfolio.streaming import ingest
+
+    spark.range(100).repartition(3).write.parquet(f"{tmp_path}/in/events.parquet")
+    stream = ingest.table_stream(spark, f"{tmp_path}/in", "events.parquet", "id bigint")
+    ingest.run_to_table(ingest.unique_events(stream, ["id"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 100
+
+
 def test_paths_of_any_depth(spark):
     from dayfolio.functions import records as R
 
