@@ -17,8 +17,8 @@ from dayfolio.session import cut_lineage
 END, START, SYMBOLS = 256, 257, 257
 BITS = 9
 _MASK = np.uint64((1 << BITS) - 1)
-#: Positions that are coded at once.
-_SLICE = 4_000_000
+#: Positions that are coded at once, so that a task holds a batch's texts and few arrays besides.
+_SLICE = 1_000_000
 #: The part that holds the pairs of symbols, at most 258 * 258 of them.
 _PAIRS = -1
 
@@ -115,17 +115,16 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(pack, "batch long, ids array<long>, held array<boolean>, sizes array<long>, texts binary")
 
 
-def _documents(table: pa.Table) -> tuple[list[int], np.ndarray, list[bytes]]:
-    """Ids, held-out flags and texts of a batch."""
-    ids, held, texts = [], [], []
+def _documents(table: pa.Table) -> Iterator[tuple[list[int], np.ndarray, list[bytes]]]:
+    """Ids, held-out flags and texts of a batch, a few million bytes at a time."""
     for row in range(table.num_rows):
-        ids += table.column("ids")[row].as_py()
-        held += table.column("held")[row].as_py()
-        whole, at = zstandard.ZstdDecompressor().decompress(table.column("texts")[row].as_py()), 0
+        whole, at, texts = zstandard.ZstdDecompressor().decompress(table.column("texts")[row].as_py()), 0, []
         for size in table.column("sizes")[row].as_py():
             texts.append(whole[at:at + size])
             at += size
-    return ids, np.array(held, bool), texts
+        ids, held = table.column("ids")[row].as_py(), np.array(table.column("held")[row].as_py(), bool)
+        for a, b in _slices(texts):
+            yield ids[a:b], held[a:b], texts[a:b]
 
 
 def _gathered(packed: DataFrame, order: int, parts: int) -> DataFrame:
@@ -135,21 +134,20 @@ def _gathered(packed: DataFrame, order: int, parts: int) -> DataFrame:
     all their nodes of order two and above are whole.
     """
     def gather(table: pa.Table) -> pa.Table:
-        _, held, texts = _documents(table)
         batch = table.column("batch")[0].as_py()
         places, found, words = _Places(), [], np.zeros(0, np.int64)
-        for a, b in _slices(texts):
-            at = _word_places(texts[a:b], places)
-            learned = [x for x, out in zip(at, held[a:b], strict=True) if not out]
+        for _, held, texts in _documents(table):
+            at = _word_places(texts, places)
+            learned = [x for x, out in zip(at, held, strict=True) if not out]
             now = np.bincount(np.concatenate(learned), minlength=len(places)) if learned else np.zeros(len(places), np.int64)
             now[:len(words)] += words
             words = now
             for out in (False, True):
-                some = [x for x, h in zip(texts[a:b], held[a:b], strict=True) if h == out]
+                some = [x for x, h in zip(texts, held, strict=True) if h == out]
                 if some:
                     codes, counts = np.unique(_codes(some, order)[0], return_counts=True)
                     found.append((codes, counts * 0 if out else counts))
-            if len(found) > 4:
+            if sum(len(c) for c, _ in found[1:]) > 1_500_000:
                 found = [_merged(found)]
         codes, counts = _merged(found)
         rows = []
@@ -297,7 +295,7 @@ class _Lookup:
         return self.values[at]
 
 
-def score_documents(docs: DataFrame, order: int = 5, batch_bytes: int = 48_000_000, parts: int = 256, fan_in: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, order: int = 5, batch_bytes: int = 16_000_000, parts: int = 256, fan_in: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores every whole text with a trie and a word count learned from all texts that are not held out.
 
     Documents are dealt by the hash of their id to batches of about
@@ -351,25 +349,29 @@ def score_documents(docs: DataFrame, order: int = 5, batch_bytes: int = 48_000_0
     base_total = np.log10(tokens + distinct + 1.0)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, held, texts = _documents(left)
         words = right.column("word").is_valid()
         blobs = right.filter(right.column("codes").is_valid())
+        right = right.select(["word", "c"])
         lookup = _Lookup(np.concatenate([_unpack(x.as_py(), np.uint64) for x in blobs.column("codes")]), np.concatenate([_unpack(x.as_py(), np.float64) for x in blobs.column("values")]))
-        places, found, scores = _Places(), [], np.empty(len(texts))
-        for a, b in _slices(texts):
-            found += _word_places(texts[a:b], places)
-            some, sizes = _codes(texts[a:b], order)
-            scores[a:b] = np.add.reduceat(lookup(some), np.cumsum(sizes) - sizes)
+        places, found, ids, flags, scores = _Places(), [], [], [], []
+        for own, out, texts in _documents(left):
+            ids += own
+            flags.append(out)
+            found += _word_places(texts, places)
+            some, sizes = _codes(texts, order)
+            scores.append(np.add.reduceat(lookup(some), np.cumsum(sizes) - sizes))
+        held, scores = np.concatenate(flags), np.concatenate(scores)
         learned = [x for x, out in zip(found, held, strict=True) if not out]
         counts = np.bincount(np.concatenate(learned), minlength=len(places)).astype(float) if learned else np.zeros(len(places))
-        others = right.filter(words)
-        for word, c in zip(others.column("word").to_pylist(), others.column("c").to_pylist(), strict=True):
-            counts[places[word]] = c
+        for some in right.filter(words).to_batches(max_chunksize=50_000):
+            at = np.fromiter(map(places.__getitem__, some.column("word").to_pylist()), np.int64, some.num_rows)
+            counts[at] = some.column("c").to_numpy()
+        del right
         base, known = np.log10(counts + 1) - base_total, counts > 0
         return pa.table({
             "doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()),
             "n_tokens": pa.array([len(x) for x in found], pa.int64()), "n_known": pa.array([int(known[x].sum()) for x in found], pa.int64()),
-            "train_tokens": pa.array([tokens] * len(texts), pa.int64()),
+            "train_tokens": pa.array([tokens] * len(ids), pa.int64()),
             "base_score": pa.array([float(base[x].sum()) for x in found], pa.float64()), "score": pa.array(scores, pa.float64())})
 
     right = answers.select("batch", "word", "c", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("binary").alias("values")).unionByName(
