@@ -36,6 +36,11 @@ OUTSIDE_WORDS = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus "
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related replies respond share sharing sidebar "
     "signup social sponsor sponsored subscribe toolbar widget".split())
+#: Beginnings of longer words with the same meaning, such as a cookie bar's.
+OUTSIDE_STARTS = ("advert", "breadcrumb", "cookie", "disqus", "footer", "masthead", "navbar", "newsletter", "popup", "sidebar", "sponsor")
+#: These only say what else the page has: a body "with-sidebar" is no sidebar.
+OTHERWISE = frozenset("has no with".split())
+WHOLE_TAGS = frozenset("html body main article".split())
 INSIDE_TAGS = frozenset("article main".split())
 INSIDE_WORDS = frozenset("article body content entry main post story text".split())
 PHRASES = re.compile(
@@ -64,7 +69,10 @@ def _hints(tag: str, attributes: str) -> int:
             value = a or b or c
             if name in ("class", "id"):
                 words = set(WORDS.findall(value))
-                flags |= (not words.isdisjoint(OUTSIDE_WORDS)) * _OUTSIDE | (not words.isdisjoint(INSIDE_WORDS)) * _INSIDE | ("header" in words) * _HEADER
+                flags |= (not words.isdisjoint(INSIDE_WORDS)) * _INSIDE
+                if tag not in WHOLE_TAGS and words.isdisjoint(OTHERWISE):
+                    outside = not words.isdisjoint(OUTSIDE_WORDS) or any(w.startswith(OUTSIDE_STARTS) for w in words)
+                    flags |= outside * _OUTSIDE | ("header" in words) * _HEADER
             elif name == "role":
                 flags |= (value in OUTSIDE_ROLES) * _OUTSIDE | (value in INSIDE_TAGS) * _INSIDE
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):

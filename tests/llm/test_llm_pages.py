@@ -34,6 +34,11 @@ def test_main_text():
     assert html_cut.main_text("<div>" * 3000 + f"<p>{SENTENCE}" * 3000)[0].count("\n") == 2999
 
 
+def test_hints():
+    page = f'<body class="post with-sidebar"><div id="cookiebar">{SENTENCE}</div><div class="layout has-comments"><p>{SENTENCE}</p></div><div class="post-comments"><p>{SENTENCE}</p></div></body>'
+    assert html_cut.main_text(page)[0] == SENTENCE
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(9)
     for _ in range(150):
