@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     in_bands = groups.select("rep", "n", F.explode("bands").alias("band"))
     shared = in_bands.groupBy("band").agg(F.count("*").alias("_m")).filter("_m > 1").drop("_m")
     members = cut_lineage(in_bands.join(shared, "band"))
-    involved = members.select(F.col("rep").alias("id")).distinct()
+    involved = cut_lineage(members.select(F.col("rep").alias("id")).distinct())
     sets = cut_lineage(_sets(plain.join(involved, "id", "left_semi"), words).distinct())
 
     def linked(near: DataFrame) -> DataFrame:
@@ -179,22 +179,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         pairs = near.filter(fits).select(F.least("rep", "_hub").alias("a"), F.greatest("rep", "_hub").alias("b")).distinct()
         return _confirmed(pairs, sets, percent)
 
-    def open_labels(nodes: DataFrame) -> DataFrame:
+    def relabelled(state: DataFrame, found: DataFrame) -> DataFrame:
+        """Each member's component after more links: only the components that they join are looked at."""
+        one, two = state.select(F.col("rep").alias("a"), F.col("label").alias("_a")), state.select(F.col("rep").alias("b"), F.col("label").alias("_b"))
+        joined = connected_components(found.join(one, "a").join(two, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+        joined = state.join(joined.withColumnRenamed("node", "label"), "label", "left")
+        return cut_lineage(joined.select("rep", F.coalesce("component", "label").alias("label")))
+
+    def open_labels(state: DataFrame) -> DataFrame:
         """Members of the buckets that still hold several components, with their bucket's largest component."""
-        labels = members.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "n", "band", F.coalesce("component", "rep").alias("label"))
-        mixed = labels.groupBy("band").agg((F.min("label") != F.max("label")).alias("_open")).filter("_open").drop("_open")
-        labels = cut_lineage(labels.join(mixed, "band"))
+        labels = members.join(state, "rep")
         largest = labels.groupBy("band", "label").agg(F.count("*").alias("_k")).groupBy("band").agg(
-            F.max(F.struct("_k", "label")).alias("_l"), F.sum("_k").alias("_m")).select("band", "_m", F.col("_l._k").alias("_k"), F.col("_l.label").alias("_largest"))
+            F.count("*").alias("_labels"), F.max(F.struct("_k", "label")).alias("_l"), F.sum("_k").alias("_m"))
+        largest = largest.filter("_labels > 1").select("band", "_m", F.col("_l.label").alias("_largest"))
         return cut_lineage(labels.join(largest, "band"))
 
     hub = F.struct("rep", "n")
     first = members.groupBy("band").agg(F.min(hub).alias("_h")).select("band", F.col("_h.rep").alias("_hub"), F.col("_h.n").alias("_hub_n"), F.col("_h.rep").alias("_hub_label"))
-    links = cut_lineage(linked(members.withColumn("label", F.col("rep")).join(first, "band")))
+    state = involved.select(F.col("id").alias("rep"), F.col("id").alias("label"))
+    state = relabelled(state, linked(members.withColumn("label", F.col("rep")).join(first, "band")))
     size, before, turn = members.count(), None, 0
     while True:
-        nodes = cut_lineage(connected_components(links))
-        labels = open_labels(nodes)
+        labels = open_labels(state)
         inside, outside = labels.filter("label = _largest"), labels.filter("label <> _largest")
         left = outside.agg(F.sum("_m")).first()[0] or 0  # comparisons that would settle all buckets
         if not left:
@@ -207,12 +213,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             some = inside.groupBy("band").agg(F.array_distinct(F.array(*drawn)).alias("_h"), F.first("_largest").alias("_hub_label"))
             some = some.select("band", "_hub_label", F.explode("_h").alias("_h")).select("band", "_hub_label", F.col("_h.rep").alias("_hub"), F.col("_h.n").alias("_hub_n"))
             found = linked(outside.join(some, "band"))
-        links = cut_lineage(links.unionByName(found))
+        state = relabelled(state, found)
         if last:
-            nodes = cut_lineage(connected_components(links))
             break
         before, turn = left, turn + 1
-    answers = groups.select("key", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
+    answers = groups.select("key", "rep").join(state, "rep", "left").select("key", F.coalesce("label", "rep").alias("component_id"))
     return sketched.select("id", "n", "key").join(answers, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"))
