@@ -18,7 +18,7 @@ _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 #: Words whose hash a worker remembers before it starts anew.
-_REMEMBERED = 500_000
+_REMEMBERED = 100_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
