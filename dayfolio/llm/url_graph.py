@@ -46,32 +46,32 @@ def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return found.filter((F.col("src") != "") & (F.col("src") != F.col("dst"))).groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 0.01, max_rounds: int = 60) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4) -> DataFrame:
     """Personalised PageRank of several walks at once: (walk, node, score).
 
     ``edges`` has walk, src, dst, n; ``seeds`` has walk, node and a mass that
     sums to 1 for each walk. Each round carries the mass that still moves one
     step along the edges; a node's score sums what passed through it. Rounds
-    end when less than ``tolerance`` moves. Edges of a node are dealt over
-    salts by their target, so a host that links to very many is not one task.
+    end when, for every node of every walk, what the round brought and what may
+    follow from it at the damping's pace is at most ``tolerance`` of what the
+    node has, so neither the number of seeds nor the distance from them counts:
+    a node reached for the first time always asks for another round. Rounds are
+    as many as the longest way from a seed, or as long as mass circles. Edges
+    of a node are dealt over salts by their target, so a host that links to
+    very many is not one task.
     """
     out = edges.groupBy("walk", "src").agg(F.sum("n").alias("_out"))
     steps = edges.join(out, ["walk", "src"]).select(
         "walk", "src", "dst", (damping * F.col("n") / F.col("_out")).alias("_share"), F.pmod(F.xxhash64("dst"), F.lit(_SALTS)).cast("int").alias("_salt"))
     steps = cut_lineage(steps)
-    moving = cut_lineage(seeds.select("walk", "node", F.col("mass").cast("double").alias("mass")))
-    passed = [moving]
-    for _ in range(max_rounds):
-        spread = moving.select("walk", F.col("node").alias("src"), "mass", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
-        moving = cut_lineage(
-            steps.join(spread, ["walk", "src", "_salt"]).groupBy("walk", F.col("dst").alias("node")).agg(F.sum(F.col("mass") * F.col("_share")).alias("mass")))
-        if (moving.agg(F.sum("mass")).first()[0] or 0.0) < tolerance:
-            break
-        passed.append(moving)
-    total = passed[0]
-    for part in passed[1:]:
-        total = total.unionByName(part)
-    return total.groupBy("walk", "node").agg(((1 - damping) * F.sum("mass")).alias("score"))
+    passed = cut_lineage(seeds.select("walk", "node", F.col("mass").cast("double").alias("mass"), F.col("mass").cast("double").alias("moved")))
+    while True:
+        spread = passed.filter("moved > 0").select("walk", F.col("node").alias("src"), "moved", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
+        moving = steps.join(spread, ["walk", "src", "_salt"]).select("walk", F.col("dst").alias("node"), (F.col("moved") * F.col("_share")).alias("moved"))
+        both = passed.select("walk", "node", "mass", F.lit(0.0).alias("moved")).unionByName(moving.withColumn("mass", F.col("moved")))
+        passed = cut_lineage(both.groupBy("walk", "node").agg(F.sum("mass").alias("mass"), F.sum("moved").alias("moved")))
+        if passed.filter(F.col("moved") * damping > tolerance * (1 - damping) * F.col("mass")).isEmpty():
+            return passed.select("walk", "node", ((1 - damping) * F.col("mass")).alias("score"))
 
 
 def judge_urls(pages: DataFrame, rules=RULES, damping: float = 0.85, ratio: float = 1.0) -> DataFrame:

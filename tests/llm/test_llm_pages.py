@@ -108,3 +108,15 @@ def test_links_decide(spark):
     pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
     got = [r.verdict for r in sorted(url_graph.judge_urls(pages).collect())]
     assert got == ["allow", "allow", "block", "block", "block", "allow", "block"]
+
+
+def test_many_seeds_and_far_hosts(spark):
+    link = lambda host: f'<a href="http://{host}/">t</a>'
+    rows = [(f"http://bad{i}.net/es/", "") for i in range(150)] + [(f"http://good{i}.com/", "") for i in range(148)] + [(f"http://good{i}.com/", link("both.org")) for i in (148, 149)]
+    far = [f"far{i}.org" for i in range(64)]  # each links to the one before
+    rows += [("http://both.org/", link("bad0.net")), (f"http://{far[0]}/", link("bad1.net"))]
+    rows += [(f"http://{b}/", link(a)) for a, b in zip(far, far[1:])]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.host: r.verdict for r in url_graph.judge_urls(pages).collect()}
+    assert {h: got[h] for h in far} == dict.fromkeys(far, "block")
+    assert got["both.org"] == "allow"  # twice as much trust as distrust
