@@ -172,6 +172,14 @@ def verbatim_reuse(spark, folder):
     return issue_rows(RP.verbatim_reuse(texts, [("t", F.col("t"), "p", F.col("p")), ("t", F.col("t"), "s", F.col("s"))], {"position": "doc_id"}), "position")
 
 
+@query("j18_verbatim_reuse_whole", f"""WITH b AS (SELECT item_id, {FOLD_SQL.format(c='text')} AS p FROM benchmark), d AS (SELECT doc_id, {FOLDED} AS t FROM documents)
+  SELECT item_id, doc_id FROM d JOIN b ON p <> '' AND contains(t, p)""")
+def verbatim_reuse_whole(spark, folder):
+    """Every document against every passage."""
+    return RP.contained_passages(table(spark, folder, "benchmark"), table(spark, folder, "documents"), "item_id", "doc_id",
+                                 X.normalize_prose("text"), X.normalize_prose("text"))
+
+
 COMPARE_SQL = r"regexp_replace(lower(nfc_normalize({c})), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 GRAMS_SQL = "unnest(list_transform(generate_series(1, length(t) - {k}), lambda i: t[i:i + {k}]))"
 
