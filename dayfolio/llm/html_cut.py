@@ -18,11 +18,14 @@ WORDS = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
-SKIPPED = frozenset("script style noscript template iframe object svg math canvas audio video textarea select button head title datalist".split())
+SKIPPED = frozenset("script style template iframe svg canvas audio video textarea select head title datalist".split())
 #: Of these only their own end tag ends the content.
-RAW = frozenset("script style noscript iframe textarea title".split())
+RAW = frozenset("script style iframe textarea title".split())
+#: What can stand in a head; anything else, or text, ends an open head.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+    "a abbr acronym b bdi bdo big button cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
+    "math annotation menclose mfrac mi mn mo mover mpadded mphantom mroot mrow ms msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element that ends when one of these begins.
 CLOSED_BY = {
@@ -113,6 +116,10 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
     place, end = 0, len(page)
     while place < end:
         match = TAG.search(page, place)
+        if stack[-1][0] == "head":
+            begins = match and not match[1] and (match[2] or "").lower()
+            if begins and begins not in IN_HEAD or page[place:match.start() if match else end].strip():
+                close(len(stack) - 1)
         if not skipped and (text := page[place:match.start() if match else end]):
             texts.append(text)
             if links:

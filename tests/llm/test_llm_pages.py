@@ -34,6 +34,21 @@ def test_main_text():
     assert html_cut.main_text("<div>" * 3000 + f"<p>{SENTENCE}" * 3000)[0].count("\n") == 2999
 
 
+def test_open_head():
+    for start in ("<body>", "", "<article>", "<body><div>"):
+        page = f"<html><head><meta charset=utf-8><title>No title</title><style>p{{}}</style><noscript><p>none</p></noscript><template><p>{SENTENCE}</p></template>{start}<p>{SENTENCE}</p></html>"
+        assert html_cut.main_text(page)[0] == SENTENCE
+    assert html_cut.main_text(f"<head><title>x</title>\n{SENTENCE}")[0] == SENTENCE
+    assert html_cut.main_text(f"<head><title>x</title></head>{SENTENCE}")[0] == SENTENCE
+
+
+def test_only_what_is_listed_goes():
+    page = f"""<article><p>{SENTENCE}</p><p>So <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is <button>a button</button> here, as all of us can see.</p>
+<object data="x"><p>What the object says, in words that stand for it.</p></object><noscript><p>What stands here without any script to run.</p></noscript><svg><text>drawn</text></svg></article>"""
+    assert html_cut.main_text(page)[0].split("\n") == [
+        SENTENCE, "So a+b is a button here, as all of us can see.", "What the object says, in words that stand for it.", "What stands here without any script to run."]
+
+
 def test_hints():
     page = f'<body class="post with-sidebar"><div id="cookiebar">{SENTENCE}</div><div class="layout has-comments"><p>{SENTENCE}</p></div><div class="post-comments"><p>{SENTENCE}</p></div></body>'
     assert html_cut.main_text(page)[0] == SENTENCE
