@@ -65,7 +65,7 @@ SHORT_WORD = "[a-zà-ÿ]{4,}"
 
 @query("h9_skeleton", r"""SELECT conv_id, turn, regexp_replace(regexp_replace(trim(regexp_replace(lower(nfc_normalize(text)), '\s+', ' ', 'g')), '[a-zà-ÿ]{4,}', '◇', 'g'), '\s+', '', 'g') AS frame FROM conversations WHERE NOT regexp_matches(text, '[$\\_]')""")
 def skeleton(spark, folder):
-    c = table(spark, folder, "conversations").where(~F.col("text").rlike("[$\\\\_]"))
+    c = table(spark, folder, "conversations")
     frame = F.regexp_replace(F.regexp_replace(X.squeeze_space(F.lower(X.mask_math(X.nfkc(F.col("text"))))), SHORT_WORD, X.SLOT), f"{X.SPACE}+", "")
     return c.select("conv_id", "turn", frame.alias("frame"))
 
@@ -154,7 +154,16 @@ LATIN_TEMPLATE = {"sample": 8, "reviewed_sample": 8, "ratio": 0.005, "characters
   SELECT source, sha256(signature) AS signature, matches, papers, first_position, is_long FROM g JOIN z USING (source)
   WHERE papers >= 8 AND CASE WHEN is_long THEN matches / papers::DOUBLE > 0.005 ELSE matches >= 2 AND matches / papers::DOUBLE > 0.004 END""")
 def template_repeats(spark, folder):
-    d = table(spark, folder, "documents").where(~F.col("text").rlike("[$\\\\_]"))
+    return _template_repeats(table(spark, folder, "documents").where(~F.col("text").rlike("[$\\\\_]")))
+
+
+@query("a12_template_repeats_whole")
+def template_repeats_whole(spark, folder):
+    """Texts with formulas, commands and snake_case names as well; SQL lacks the look-around that masks them."""
+    return _template_repeats(table(spark, folder, "documents"))
+
+
+def _template_repeats(d):
     found = RP.template_repeats(d, X.nfkc(F.col("text")), ["source"], "doc_id", sample=8, short_matches=2, template=LATIN_TEMPLATE,
                                 markers=(("the the", True), (" of ", False)), letter="\\p{IsLatin}", marks="[.,;!?:]", content=SHORT_WORD)
     return found.select("source", F.sha2(F.translate("signature", "\x00", "|"), 256).alias("signature"), "matches", "papers", "first_position", "is_long")
