@@ -1,4 +1,4 @@
-"""Exact duplicates by a tree-merge of sorted digest runs."""
+"""Exact duplicates by a tree of digest runs, merged by grouped aggregates; nothing is sorted."""
 
 from __future__ import annotations
 
