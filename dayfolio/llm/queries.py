@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dayfolio.llm import exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, ppm, url_graph
+from dayfolio.llm import byte_pairs, exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, ppm, url_graph
 from dayfolio.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_url_filters")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return url_graph.judge_urls(read_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    codec = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    tokens = byte_pairs.encode_documents(read_table(spark, folder, "documents"), *codec)
+    return byte_pairs.decode_documents(tokens, *codec).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
