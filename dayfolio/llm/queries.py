@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfolio.llm import byte_pairs, exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, ppm, url_graph
+from dayfolio.llm import block_search, byte_pairs, exact_dedup, html_cut, language, line_quality, line_templates, mixing, near_dedup, packing, ppm, url_graph, whitening
 from dayfolio.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return url_graph.judge_urls(read_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten_embeddings(read_table(spark, folder, "embeddings"))
+
+
 @query("op12_byte_bpe")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     codec = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -136,3 +141,24 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.decode_documents(tokens, *codec).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+FOLDED_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op13_lexical_search", f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {FOLDED_TERMS} AS terms FROM documents),
+size AS (SELECT count(*) FILTER (len(terms) > 0) AS docs, sum(len(terms))::BIGINT AS words FROM docs),
+asked AS (SELECT DISTINCT item_id, unnest({FOLDED_TERMS}) AS term FROM benchmark),
+counted AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counted, size GROUP BY term, docs),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term), size GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return block_search.rank_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
