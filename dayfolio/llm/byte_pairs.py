@@ -7,14 +7,17 @@ import functools
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The characters with the Unicode property White_Space.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+WHITE_SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Texts are encoded in parts of about so many characters.
 PART = 1 << 16
+#: Rows whose ids a worker holds at a time.
+ROWS = 256
 #: From here on a run of white space is a piece that the library's regex does not get to see; it fails on some 400,000.
 LONG_RUN = 1 << 14
 
@@ -58,14 +61,17 @@ def safe_parts(text: str, size: int = PART) -> Iterator[tuple[str, bool]]:
         start = end
 
 
-def encode_text(text: str, ranks_path: str, pattern: str) -> list[int]:
+def encode_text(text: str, ranks_path: str, pattern: str) -> np.ndarray:
     codec, whole = load_codec(ranks_path, pattern)
     if len(text) < LONG_RUN:
-        return codec.encode_ordinary(text)
-    ids: list[int] = []
-    for part, single in safe_parts(text):
-        ids += (whole if single else codec).encode_ordinary(part)
-    return ids
+        return codec.encode_to_numpy(text, disallowed_special=())
+    return np.concatenate([(whole if single else codec).encode_to_numpy(part, disallowed_special=()) for part, single in safe_parts(text)])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -79,9 +85,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     is read from ``ranks_path`` on each executor, once per Python worker.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = pa.array([encode_text(text.as_py() or "", ranks_path, pattern) for text in batch.column(1)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
+        for batch in _slices(batches):
+            ids = [encode_text(text.as_py() or "", ranks_path, pattern) for text in batch.column(1)]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).view(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[id_col, "ids"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(encode, f"{id_col} long, ids array<int>")
 
@@ -102,7 +110,7 @@ def decode_documents(tokens: DataFrame, ranks_path: str, pattern: str, id_col: s
             except (KeyError, TypeError, OverflowError):  # an id without a token, a null, a negative id
                 return None
 
-        for batch in batches:
+        for batch in _slices(batches):
             found = pa.array([decoded(ids.as_py()) for ids in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=[id_col, "ids", "bytes"])
 
