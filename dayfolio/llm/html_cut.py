@@ -43,7 +43,15 @@ OUTSIDE_WORDS = frozenset(
 OUTSIDE_STARTS = ("advert", "breadcrumb", "cookie", "disqus", "footer", "masthead", "navbar", "newsletter", "popup", "sidebar", "sponsor")
 #: These only say what else the page has: a body "with-sidebar" is no sidebar.
 OTHERWISE = frozenset("has no with".split())
-WHOLE_TAGS = frozenset("html body main article".split())
+WHOLE_TAGS = frozenset("html body main".split())
+#: Words that say so whatever follows them in a name; the others only by themselves or before a word of a part of a page.
+ALWAYS = frozenset("adsense advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr masthead navbar navigation "
+                   "newsletter pagination popup replies respond sidebar signup sponsored".split())
+READERS = frozenset("comment comments disqus replies respond".split())
+PARTS = frozenset(
+    "area articles bar block body bottom box button buttons card column container content cta element form group header holder icon icons image images inner inside item items "
+    "label layer layout left link links list main media message outer overlay panel popup position posts primary right row secondary section slot space stories text this title "
+    "top unit wrap wrapper zone".split())
 INSIDE_TAGS = frozenset("article main".split())
 INSIDE_WORDS = frozenset("article body content entry main post story text".split())
 PHRASES = re.compile(
@@ -51,11 +59,18 @@ PHRASES = re.compile(
     r"share (this|on)|follow us|related (articles|posts)|read (more|next)|leave a (comment|reply)|skip to|enable javascript", re.I)
 SENTENCE_END = (".", "!", "?", "…", ":", ";", "。", "！", "？", '."', '!"', '?"', ".”", "!”", "?”", ".)", ".»")
 
-_OUTSIDE, _INSIDE, _HEADER, _HEADING, _HIDDEN = 1, 2, 4, 8, 16
+_OUTSIDE, _INSIDE, _HEADER, _HEADING, _HIDDEN, _PERHAPS, _ARTICLE, _READERS = 1, 2, 4, 8, 16, 32, 64, 128
+#: Flags of an element that count for its blocks as long as it is not found to hold the article itself.
+_HINTS = _OUTSIDE | _HIDDEN | _PERHAPS
 #: Weights of the classifier that gives a block's log-odds of being content.
-WEIGHTS = {"bias": -1.5, "words": 0.9, "links": -5.0, "sentence": 0.8, "heading": 1.0, "inside": 3.0, "outside": -60.0, "header": -6.0, "phrase": -4.0}
+WEIGHTS = {"bias": -1.5, "words": 0.9, "links": -5.0, "sentence": 0.8, "heading": 1.0, "inside": 3.0, "outside": -14.0, "perhaps": -5.0, "header": -6.0, "phrase": -4.0}
 #: Strength of the edge between neighbours in page order, halved as their distance in the tree doubles, and between neighbours under one parent.
 NEXT, SIBLING = 1.0, 0.7
+#: A block of so many words is prose. An element holds the article itself if the text outside of all hints is less than such a share
+#: of its prose, and no content is named there; or less than the other share, if it holds the page's only article or main element.
+PROSE, LITTLE, LESS = 8, 0.02, 0.3
+#: Hints of a page that are found to be void at most.
+TURNS = 20
 
 
 class Block:
@@ -65,17 +80,29 @@ class Block:
         self.text, self.flags, self.links, self.parent = text, flags, links, parent
 
 
+def _name_hints(name: str, tag: str) -> int:
+    """Hints in one name of a class or id, such as a sidebar-left; a share-price is only perhaps about sharing."""
+    words = WORDS.findall(name)
+    flags = (not INSIDE_WORDS.isdisjoint(words)) * _INSIDE
+    if tag in WHOLE_TAGS or not OTHERWISE.isdisjoint(words):
+        return flags
+    hints = [w in OUTSIDE_WORDS or w.startswith(OUTSIDE_STARTS) for w in words]
+    if any(hints):
+        sure = any(w in ALWAYS or w.startswith(OUTSIDE_STARTS) for w in words)
+        last = max(i for i, h in enumerate(hints) if h)
+        flags |= _OUTSIDE if sure or PARTS.issuperset(words[last + 1:]) else _PERHAPS
+        flags |= (not READERS.isdisjoint(words)) * _READERS
+    return flags | ("header" in words) * _HEADER
+
+
 def _hints(tag: str, attributes: str) -> int:
     flags = (tag in OUTSIDE_TAGS) * _OUTSIDE | (tag in INSIDE_TAGS) * _INSIDE | (tag == "header") * _HEADER | (tag in HEADINGS) * _HEADING
     if attributes and ("class" in (low := attributes.lower()) or "id" in low or "role" in low or "style" in low):
         for name, a, b, c in ATTRIBUTE.findall(low):
             value = a or b or c
             if name in ("class", "id"):
-                words = set(WORDS.findall(value))
-                flags |= (not words.isdisjoint(INSIDE_WORDS)) * _INSIDE
-                if tag not in WHOLE_TAGS and words.isdisjoint(OTHERWISE):
-                    outside = not words.isdisjoint(OUTSIDE_WORDS) or any(w.startswith(OUTSIDE_STARTS) for w in words)
-                    flags |= outside * _OUTSIDE | ("header" in words) * _HEADER
+                for token in value.split():
+                    flags |= _name_hints(token, tag)
             elif name == "role":
                 flags |= (value in OUTSIDE_ROLES) * _OUTSIDE | (value in INSIDE_TAGS) * _INSIDE
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -83,14 +110,14 @@ def _hints(tag: str, attributes: str) -> int:
     return flags
 
 
-def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
-    """The page's text blocks in order, and each tree node's parent and depth.
+def blocks_of(page: str) -> tuple[list[Block], list[int], list[int], list[int]]:
+    """The page's text blocks in order, and each tree node's parent, depth and own hints.
 
     A block is text between two ends of block elements, with character
     references decoded and white space turned into single spaces.
     """
     found: list[Block] = []
-    parents, depths = [0], [0]
+    parents, depths, hints = [0], [0], [0]
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, node, flags of it and of all around it
     texts: list[str] = []
     linked: list[str] = []
@@ -179,11 +206,58 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
             parents.append(node)
             depths.append(depths[node] + 1)
             node = len(parents) - 1
-        stack.append((tag, node, flags & ~_HEADING | _hints(tag, match[3]) if not inline else flags | _hints(tag, match[3])))
+            own = _hints(tag, match[3])
+            hints.append(own | (tag in INSIDE_TAGS and not own & _OUTSIDE) * _ARTICLE)
+            stack.append((tag, node, flags & ~_HEADING | own & ~(_HINTS | _READERS)))
+        else:
+            stack.append((tag, node, flags | _hints(tag, match[3])))
         links += tag == "a"
         skipped += tag in SKIPPED
     flush()
-    return found, parents, depths
+    return found, parents, depths, hints
+
+
+def place_hints(found: list[Block], parents: list[int], hints: list[int]) -> None:
+    """Gives each block the hints of the elements around it.
+
+    An element is not what its hint says if the page has next to no text
+    outside of all hinted elements beside what it holds: a form around the
+    whole page, a layout named for its sidebar. Then the hint is void, of the
+    largest such element first, and its parts are judged again by their own.
+    Readers' comments are never the article.
+    """
+    n = len(parents)
+    prose, formal, free, named = [0] * n, [0] * n, [0] * n, [0] * n  # by node: prose, that of an article or main element, text, prose where content is named
+    articles, content = [False] * n, [False] * n
+    for i in range(1, n):
+        articles[i] = articles[parents[i]] or bool(hints[i] & _ARTICLE)
+        content[i] = content[parents[i]] or bool(hints[i] & _INSIDE)
+    written = [b.parent for b in found if articles[b.parent]]
+    for b in found:
+        if b.links < 0.5:
+            words, size = b.text.count(" ") + 1, len(b.text)
+            free[b.parent] += size * (words >= 3)
+            prose[b.parent] += size * (words >= PROSE)
+            formal[b.parent] += size * (words >= PROSE) * articles[b.parent]
+            named[b.parent] += size * (words >= PROSE) * content[b.parent]
+    for i in range(n - 1, 0, -1):
+        prose[parents[i]] += prose[i]
+        formal[parents[i]] += formal[i]
+    around, outer = [0] * n, [0] * n
+    for turn in range(TURNS + 1):
+        for i in range(1, n):
+            around[i] = around[parents[i]] | hints[i] & _HINTS
+            outer[i] = outer[parents[i]] or (i if hints[i] & _HINTS else 0)  # the outermost hinted element
+        if turn == TURNS or not all(outer[i] for i in written):  # an article outside of all hints is the article
+            break
+        left, left_named = (sum(x for x, o in zip(v, outer, strict=True) if not o) for v in (free, named))
+        void = max((i for i in range(1, n) if outer[i] == i and prose[i] and not hints[i] & _READERS and (
+            not left_named and left < LITTLE * prose[i] or formal[i] and left < LESS * prose[i])), key=lambda i: prose[i], default=0)
+        if not void:
+            break
+        hints[void] &= ~_HINTS
+    for b in found:
+        b.flags |= around[b.parent]
 
 
 def log_odds(block: Block) -> float:
@@ -194,8 +268,8 @@ def log_odds(block: Block) -> float:
     score += w["sentence"] * block.text.endswith(SENTENCE_END) + w["heading"] * bool(block.flags & _HEADING) + w["inside"] * bool(inside)
     if block.flags & (_OUTSIDE | _HIDDEN) or block.flags & _HEADER and not inside:
         score += w["outside"]
-    elif block.flags & _HEADER and not block.flags & _HEADING:
-        score += w["header"]
+    else:
+        score += w["perhaps"] * bool(block.flags & _PERHAPS) + w["header"] * bool(block.flags & _HEADER and not block.flags & _HEADING)
     if n <= 40 and PHRASES.search(block.text):
         score += w["phrase"]
     return score
@@ -284,9 +358,10 @@ def minimum_cut(content: list[float], other: list[float], edges: list[tuple[int,
 
 def label_blocks(page: str) -> tuple[list[Block], list[bool]]:
     """The page's blocks and which of them are content."""
-    found, parents, depths = blocks_of(page)
+    found, parents, depths, hints = blocks_of(page)
     if not found:
         return [], []
+    place_hints(found, parents, hints)
     scores = [log_odds(b) for b in found]
     soft = lambda x: x if x > 30 else math.log1p(math.exp(x)) if x > -30 else 0.0
     edges, last = [], {}

@@ -54,6 +54,28 @@ def test_hints():
     assert html_cut.main_text(page)[0] == SENTENCE
 
 
+def test_hints_do_not_outvote_the_whole_page():
+    more = [f"{SENTENCE} It is number {i}." for i in range(8)]
+    long = "".join(f"<p>{x}</p>" for x in more)
+    sidebar = f'<div class="sidebar"><p>{SENTENCE}</p></div>'
+    around = {
+        f'<form id="page" action="/"><div class="top"><a href="/">Home</a></div>{long}</form>': more,
+        f'<div class="layout sidebar-left">{sidebar}<article>{long}</article></div>': more,
+        f'<nav><a href="/">Home</a></nav><div class="reading ad-free">{long}</div>': more,
+        f'<div class="entry-content share-price">{long}</div>{sidebar}': more,
+        f'<div style="display: none">{SENTENCE}</div><div>{long}</div>': more,
+        f'<article>{long}<p id="notice-of-law">{SENTENCE}</p><div class="notice">{SENTENCE}</div></article>': [*more, SENTENCE],
+        # What is hinted stays out however much it holds, if there is something else, and readers' comments always do.
+        f'<div><p>{SENTENCE}</p></div><div id="comments">{long}<article class="comment">{long}</article></div>': [SENTENCE],
+        f'<article><p>Yes.</p></article><div class="sidebar">{long}</div>': ["Yes."],
+        f'<div id="comments">{long}</div>': [],
+    }
+    for body, want in around.items():
+        assert html_cut.main_text(f"<html><body>{body}</body></html>")[0].split("\n") == (want or [""])
+    nested = '<div class="sidebar">' * 400 + f"<p>{SENTENCE}</p>"
+    assert html_cut.main_text(nested)[0] in ("", SENTENCE)
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(9)
     for _ in range(150):
