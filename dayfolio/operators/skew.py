@@ -4,14 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 
-def small_or_plain(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a side for broadcast only after counting that it is small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in memory, from its type and the lengths of its parts."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), lambda total, v: total + value_bytes(v, kind.elementType)), F.lit(8).cast("long"))
+    if isinstance(kind, T.MapType):
+        return value_bytes(F.map_keys(value), T.ArrayType(kind.keyType)) + value_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return sum((value_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8).cast("long")
+
+
+def small_or_plain(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks a side for broadcast only after its bytes, which tasks add up, are known to be few."""
+    size = sum((value_bytes(df[f"`{f.name}`"], f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    return F.broadcast(df) if df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= most else df
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from dayfolio.operators import lint as L, repetition as RP
 from dayfolio.operators.issues import Rule
 from dayfolio.plans.audits import scan_secrets
 from dayfolio.workload.derive import issue_rows
-from dayfolio.operators.skew import attach_row
 from dayfolio.workload.registry import query, table
 
 FOLD_SQL = r"trim(regexp_replace(lower(nfc_normalize({c})), '\s+', ' ', 'g'))"
@@ -169,26 +168,42 @@ def _template_repeats(d):
     return found.select("source", F.sha2(F.translate("signature", "\x00", "|"), 256).alias("signature"), "matches", "papers", "first_position", "is_long")
 
 
-@query("j18_verbatim_reuse", f"""SELECT d.doc_id AS position FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id WHERE contains({FOLD_SQL.format(c='d.text')}, {FOLD_SQL.format(c='b.text')})
-  UNION ALL SELECT doc_id FROM documents WHERE contains({FOLDED}, {FOLD_SQL.format(c="substr(text, 1, 50)")})""")
-def verbatim_reuse(spark, folder):
-    d = table(spark, folder, "documents")
-    b = table(spark, folder, "benchmark").select("item_id", F.col("text").alias("passage"))
-    size = b.agg(F.count(F.lit(1)).alias("size"))
-    joined = attach_row(d, size).withColumn("item_id", F.col("doc_id") % F.col("size")).join(b, "item_id")
-    folded = joined.select("doc_id", X.nfkc_list(F.array("text", "passage", F.substring("text", 1, 50))).alias("n"))
-    texts = folded.select("doc_id", *[X.fold_prose(F.get("n", F.lit(i))).alias(c) for i, c in enumerate(("t", "p", "s"))])
-    return issue_rows(RP.verbatim_reuse(texts, [("t", F.col("t"), "p", F.col("p")), ("t", F.col("t"), "s", F.col("s"))], {"position": "doc_id"}), "position")
+CONTAINED_SQL = f"""b AS (SELECT item_id, {FOLD_SQL.format(c='text')} AS p FROM benchmark), d AS (SELECT doc_id, {FOLDED} AS t FROM documents),
+  held AS (SELECT item_id, doc_id FROM d JOIN b ON p <> '' AND contains(t, p))"""
 
 
-@query("j18_verbatim_reuse_whole", f"""WITH b AS (SELECT item_id, {FOLD_SQL.format(c='text')} AS p FROM benchmark), d AS (SELECT doc_id, {FOLDED} AS t FROM documents)
-  SELECT item_id, doc_id FROM d JOIN b ON p <> '' AND contains(t, p)""")
+@query("j18_verbatim_reuse_whole", f"WITH {CONTAINED_SQL} SELECT item_id, doc_id FROM held")
 def verbatim_reuse_whole(spark, folder):
     """Every document against every passage."""
     return RP.contained_passages(table(spark, folder, "benchmark"), table(spark, folder, "documents"), "item_id", "doc_id",
                                  X.normalize_prose("text"), X.normalize_prose("text"))
 
 
+@query("j18_verbatim_reuse", f"""WITH {CONTAINED_SQL}, k AS (SELECT doc_id, count(*) AS passages FROM held GROUP BY 1)
+  SELECT doc_id AS position, coalesce(passages, 0) AS passages FROM documents LEFT JOIN k USING (doc_id)""")
+def verbatim_reuse(spark, folder):
+    """How many of all passages each document holds word for word."""
+    counts = verbatim_reuse_whole(spark, folder).groupBy("doc_id").agg(F.count(F.lit(1)).alias("passages"))
+    return table(spark, folder, "documents").select("doc_id").join(counts, "doc_id", "left").select(
+        F.col("doc_id").alias("position"), F.coalesce("passages", F.lit(0)).cast("bigint").alias("passages"))
+
+
+@query("j18_row_verbatim_reuse", f"""WITH n AS (SELECT conv_id, turn, {FOLDED} AS t, {FOLD_SQL.format(c="lag(text) OVER (PARTITION BY conv_id ORDER BY turn)")} AS p,
+    {FOLD_SQL.format(c="substr(text, 11, 60)")} AS s FROM conversations)
+  SELECT conv_id || '/' || turn AS id, 't' AS path FROM n WHERE contains(t, p) UNION ALL SELECT conv_id || '/' || turn, 's' FROM n WHERE contains(t, s)""")
+def row_verbatim_reuse(spark, folder):
+    """Turns that repeat the turn before them, and the middle of a turn, which each turn holds unless folding parts it."""
+    from pyspark.sql import Window
+
+    c = table(spark, folder, "conversations")
+    # A conversation's turns are few; the window only looks one turn back.
+    c = c.withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")))
+    folded = c.select("conv_id", "turn", X.nfkc_list(F.array("text", "before", F.substring("text", 11, 60))).alias("n"))
+    texts = folded.select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("key"), *[X.fold_prose(F.get("n", F.lit(i))).alias(k) for i, k in enumerate("tps")])
+    found = RP.verbatim_reuse(texts, [("t", F.col("t"), "p", F.col("p")), ("s", F.col("t"), "s", F.col("s"))], {"id": "key"})
+    return issue_rows(found, "id", "path")
+
+
 COMPARE_SQL = r"regexp_replace(lower(nfc_normalize({c})), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 GRAMS_SQL = "unnest(list_transform(generate_series(1, length(t) - {k}), lambda i: t[i:i + {k}]))"
 
