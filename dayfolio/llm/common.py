@@ -57,6 +57,12 @@ def with_rank(df: DataFrame, *order: Column, name: str) -> DataFrame:
     )
 
 
+def small_enough(df: DataFrame, size: Column, most: int = 16 << 20) -> DataFrame:
+    """Marked for broadcast if its bytes, which are summed first, are few; else joined as any table."""
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= most else df
+
+
 def staged(df: DataFrame) -> tuple[DataFrame, str]:
     """The rows written as Parquet to the shared folder, and where.
 

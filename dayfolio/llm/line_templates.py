@@ -2,32 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfolio.llm.common import let, text_of
-from dayfolio.session import cut_lineage
+from dayfolio.llm.common import let, small_enough, staged, text_of
 
 _NOT_WHITE = r"[^\x20\x09-\x0D]"
 #: A token with a digit. It is only tried at a token's start and never backtracks, so long tokens cost their length.
 VARIABLE = rf"(?<!{_NOT_WHITE})[^\x20\x09-\x0D0-9]*+[0-9]{_NOT_WHITE}*+"
 MASK = "<*>"
-PARTS = 4
+#: Lines that make up more than one part in so many of all are joined by broadcast; there can't be more of them than that.
+HOT_PARTS = 1000
 
 
-def _similar(a: Column, b: Column) -> Column:
-    """At least half of the quarters that hold tokens agree."""
-    parts = [(F.shiftrightunsigned(a, 16 * k).bitwiseAND(F.lit(65535)), F.shiftrightunsigned(b, 16 * k).bitwiseAND(F.lit(65535))) for k in range(PARTS)]
-    there = sum((F.when(x > 0, 1).otherwise(0) for x, _ in parts), F.lit(0))
-    same = sum((F.when((x > 0) & (x == y), 1).otherwise(0) for x, y in parts), F.lit(0))
-    return 2 * same >= there
+def line_rows(docs: DataFrame, depth: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, pos, n, leaf, full, line) of each line with a token, of documents with an id.
 
-
-def line_leaves(docs: DataFrame, depth: int, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc, pos, leaf, full, tail) of each line with enough words.
-
-    Runs of white space become one space and tokens with a digit one mask. The
-    leaf is the number of tokens and the leading ones; full is the whole line.
+    Runs of white space become one space and tokens with a digit one mask; n is
+    the number of tokens. The leaf is n and the leading tokens, full is the
+    whole line, both hashed.
     """
     text = text_of(text_col)
     masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, VARIABLE, MASK)).otherwise(text)
@@ -37,58 +30,110 @@ def line_leaves(docs: DataFrame, depth: int, min_words: int, id_col: str, text_c
         odd = odd | whole.contains(white)
     spaced = F.regexp_replace(whole, r"[\x20\x09\x0B-\x0D]+", " ")
     plain = F.when(odd, F.trim(F.replace(F.replace(spaced, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))).otherwise(whole)
-    rows = docs.select(F.col(id_col).alias("doc"), masked.alias("_masked")).select("doc", F.posexplode(F.split(plain, "\n", -1)).alias("pos", "line"))
-    rows = rows.filter(F.octet_length(F.substring_index("line", " ", min_words - 1)) < F.octet_length("line"))
-    rows = rows.withColumn("_n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-    tail = F.lit(0).cast("long")  # sixteen bits for each quarter of the tokens after the leading ones, 0 if it is empty
-    for k in range(PARTS):
-        start, end = (f"({depth} + (_n - {depth}) * {i} div {PARTS})" for i in (k, k + 1))
-        part = F.expr(f"substring_index(substring_index(line, ' ', cast({end} as int)), ' ', cast({start} - {end} as int))")
-        bits = F.when(F.expr(f"{end} > {start}"), 1 + F.pmod(F.xxhash64(part), F.lit(65535))).otherwise(F.lit(0))
-        tail = tail.bitwiseOR(F.shiftleft(bits.cast("long"), 16 * k))
-    return rows.select("doc", "pos", F.xxhash64("_n", F.substring_index("line", " ", depth)).alias("leaf"), F.xxhash64("line").alias("full"), tail.alias("tail"))
-
-
-def recurring_lines(docs: DataFrame, depth: int = 4, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, pos) of the lines to drop.
+    known = docs.filter(F.col(id_col).isNotNull())
+    rows = known.select(F.col(id_col).alias("doc"), masked.alias("_masked")).select("doc", F.posexplode(F.split(plain, "\n", -1)).alias("pos", "line"))
+    rows = rows.filter("line <> ''").withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    return rows.select("doc", "pos", "n", F.xxhash64("n", F.substring_index("line", " ", depth)).alias("leaf"), F.xxhash64("line").alias("full"), "line")
+
+
+def _alike(a: Column, b: Column, n: Column, percent: int) -> Column:
+    """At least ``percent`` of the tokens of two lines with n tokens agree, place by place."""
+    same = F.filter(F.zip_with(F.split(a, " "), F.split(b, " "), lambda x, y: x == y), lambda agrees: agrees)
+    return 100 * F.size(same) >= percent * n
+
+
+def _segments(line: Column, n: Column, depth: int, percent: int) -> Column:
+    """Hashes of parts of the tokens behind the leading ones, one more than there may be tokens that differ.
 
-    A line goes down the tree by its token count and its leading tokens to a
-    leaf. The leaf's template is its most frequent line (of equally frequent
-    ones the first by id and place), and every line with half of the quarters
-    of its remaining tokens like the template's belongs to it, so that fields
-    that vary are generalised; any other line is a template of its own. A
-    template in two documents or more recurs: it stays in the document with the
-    smallest id and goes from all others.
+    Of two alike lines of a leaf at least one part agrees in full.
+    """
+    differ = F.floor(n * (100 - percent) / 100).cast("int")
+    cut = lambda j: F.floor((n - depth) * j / (differ + 1)).cast("int")
+    return let(F.split(line, " "), lambda tokens: F.transform(F.sequence(F.lit(0), differ), lambda j: F.xxhash64(
+        "leaf", j, F.array_join(F.slice(tokens, cut(j) + depth + 1, cut(j + 1) - cut(j)), " "))))
+
+
+def variants(docs: DataFrame, fulls: DataFrame, depth: int, percent: int, min_words: int, hubs: int, id_col: str, text_col: str) -> DataFrame:
+    """(leaf, full) of the lines for which an earlier document has another line of the same template.
+
+    Only leaves that hold several lines of several documents are looked at; of
+    these the tokens are read again, and compared with those lines of the leaf
+    that share a segment. First with the ``hubs`` earliest ones of the segment:
+    a template's lines are alike, so nearly all of them end here. What is left
+    of larger segments is compared with their other lines inside one join,
+    which stops at the first that is alike.
+    """
+    wide = fulls.filter((F.col("n") >= min_words) & (F.col("n") > depth))
+    families = wide.groupBy("leaf").agg(F.min("full").alias("_a"), F.max("full").alias("_b"), F.min("lo").alias("_lo"), F.max("lo").alias("_hi"))
+    families = families.filter("_a <> _b and _lo < _hi").select("leaf")
+    asked = wide.join(families, "leaf").select("leaf", "full", F.col("lo").alias("doc"), "lo")
+    read = line_rows(docs, depth, id_col, text_col).join(small_enough(asked, F.lit(24)), ["leaf", "full", "doc"])
+    members, _ = staged(read.groupBy("leaf", "full").agg(F.first("lo").alias("lo"), F.first("n").alias("n"), F.first("line").alias("line")))
+    keys = members.select("leaf", "full", "lo", F.explode(F.array_distinct(_segments(F.col("line"), F.col("n"), depth, percent))).alias("key"))
+    several = keys.groupBy("key").agg(F.min("lo").alias("_lo"), F.max("lo").alias("_hi"), F.count("*").alias("size")).filter("_lo < _hi").select("key", "size")
+    keys, _ = staged(keys.join(several, "key"))
+    text = members.select("leaf", "full", "n", "line")
+    place = Window.partitionBy("key").orderBy("lo", "full")
+    first = keys.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= hubs).select("key", F.col("full").alias("_full"), F.col("lo").alias("_lo"))
+    pairs = keys.join(first, "key").filter("_lo < lo").select("leaf", "full", "_full").distinct()
+    other = text.select("leaf", F.col("full").alias("_full"), F.col("line").alias("_line"))
+    found = pairs.join(text, ["leaf", "full"]).join(other, ["leaf", "_full"]).filter(_alike(F.col("line"), F.col("_line"), F.col("n"), percent))
+    found, _ = staged(found.select("leaf", "full").distinct())
+    large = keys.filter(F.col("size") > hubs)
+    left = large.join(found, ["leaf", "full"], "left_anti").join(text, ["leaf", "full"])
+    rest = large.join(text, ["leaf", "full"]).select(F.col("key").alias("_key"), F.col("lo").alias("_lo"), F.col("line").alias("_line"))
+    alike = (F.col("key") == F.col("_key")) & (F.col("_lo") < F.col("lo")) & _alike(F.col("line"), F.col("_line"), F.col("n"), percent)
+    return found.unionByName(left.join(rest, alike, "left_semi").select("leaf", "full")).distinct()
+
+
+def recurring_lines(docs: DataFrame, depth: int = 4, percent: int = 75, min_words: int = 5, short_documents: int = 5, hubs: int = 4,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, pos) of the lines to drop.
 
-    Only leaves that two documents share are looked at again. Counts are
-    combined before they move, and lines move as 64-bit keys, not as text.
+    A line goes down the tree by its token count and its ``depth`` leading
+    tokens to a leaf. Lines of a leaf belong to one template if ``percent`` of
+    their tokens agree, place by place; the others are its variable fields. A
+    leaf holds as many templates as its lines make. A line goes if a document
+    with a smaller id has a line of its template, so each template stays where
+    it is first. A line of fewer than ``min_words`` words is a template by
+    itself, and recurs if ``short_documents`` documents have it: ordinary short
+    sentences come twice.
+
+    Counts are combined before they move, and lines move as 64-bit keys, not as
+    text; a line that makes up a thousandth of all or more is looked up without
+    a shuffle, in a table of at most a thousand.
     """
-    lines = cut_lineage(line_leaves(docs, depth, min_words, id_col, text_col))
-    shared = lines.groupBy("leaf").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).filter("_lo < _hi").select("leaf")
-    lines = cut_lineage(lines.join(shared, "leaf"))
-    fulls = cut_lineage(lines.groupBy("leaf", "full").agg(
-        F.count("*").alias("n"), F.min("tail").alias("tail"), F.min(F.struct("doc", "pos")).alias("first"), F.max("doc").alias("hi")))
-    top = fulls.groupBy("leaf").agg(F.min(F.struct((-F.col("n")).alias("n"), "first", "full", "tail")).alias("top")).select(
-        "leaf", F.col("top.full").alias("top"), F.col("top.tail").alias("top_tail"))
-    named = fulls.join(top, "leaf").withColumn("template", F.when(_similar(F.col("tail"), F.col("top_tail")), F.col("top")).otherwise(F.col("full")))
-    named = cut_lineage(named.select("leaf", "full", "template", F.col("first.doc").alias("lo"), "hi"))
-    spread = named.groupBy("leaf", "template").agg(F.min("lo").alias("owner"), F.max("hi").alias("last")).filter("owner < last").drop("last")
-    answers = named.join(spread, ["leaf", "template"]).select("leaf", "full", "owner")
-    return lines.join(answers, ["leaf", "full"]).filter("doc <> owner").select("doc", "pos")
-
-
-def drop_recurring_lines(docs: DataFrame, depth: int = 4, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    lines, _ = staged(line_rows(docs, depth, id_col, text_col).drop("line"))
+    fulls, _ = staged(lines.groupBy("leaf", "full").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.first("n").alias("n"), F.count("*").alias("times")))
+    short = lines.filter(F.col("n") < min_words).select("leaf", "full", "doc").distinct().groupBy("leaf", "full").agg(F.count("*").alias("_k"))
+    often = short.filter(F.col("_k") >= short_documents).select("leaf", "full", F.lit(True).alias("_often"))
+    alike = variants(docs, fulls, depth, percent, min_words, hubs, id_col, text_col).withColumn("_variant", F.lit(True))
+    judged = fulls.join(often, ["leaf", "full"], "left").join(alike, ["leaf", "full"], "left")
+    judged = judged.filter(F.col("_variant") | ((F.col("lo") < F.col("hi")) & (F.col("_often") | (F.col("n") >= min_words))))
+    answers, _ = staged(judged.select("leaf", "full", "times", F.when(F.col("_variant"), None).otherwise(F.col("lo")).alias("owner")))
+    total = fulls.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
+    hot = answers.filter(F.col("times") * HOT_PARTS >= max(total, 1)).drop("times")
+    goes = F.col("owner").isNull() | (F.col("doc") != F.col("owner"))
+    common = lines.join(F.broadcast(hot), ["leaf", "full"]).filter(goes)
+    other = lines.join(F.broadcast(hot.select("leaf", "full")), ["leaf", "full"], "left_anti").join(
+        answers.filter(F.col("times") * HOT_PARTS < max(total, 1)).drop("times"), ["leaf", "full"]).filter(goes)
+    return common.select("doc", "pos").unionByName(other.select("doc", "pos"))
+
+
+def drop_recurring_lines(docs: DataFrame, depth: int = 4, percent: int = 75, min_words: int = 5, short_documents: int = 5,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without lines whose template recurs across documents.
 
     Same rows and columns as given, with the text replaced and two columns more
     (in place of any of that name): n_lines, n_dropped. Lines are parts between
-    line feeds; those with fewer than ``min_words`` words, and lines that only
-    recur within one document, stay. A document may end up with an empty text.
-    A null text becomes empty. Rows that repeat an id are one document, and a
-    null id is no document: its lines neither count nor go. An empty table gives
-    an empty result.
+    line feeds; lines without a word, and lines that only recur within one
+    document, stay. A document may end up with an empty text. Texts and lines
+    of any length count whole. A null text becomes empty. Of lines that tie,
+    being of one template, those of the smallest id stay. Rows that repeat an id
+    are one document, and a null id is no document: its lines neither count nor
+    go. An empty table gives an empty result.
     """
-    drops = recurring_lines(docs, depth, min_words, id_col, text_col)
+    drops = recurring_lines(docs, depth, percent, min_words, short_documents, id_col=id_col, text_col=text_col)
     drops = drops.distinct().groupBy("doc").agg(F.collect_list("pos").alias("__line_drops")).withColumnRenamed("doc", "__line_doc")
     joined = docs.join(drops, F.col(id_col) == F.col("__line_doc"), "left").drop("__line_doc")
 

@@ -91,31 +91,18 @@ WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos
   FROM documents),
 cut AS (
-  SELECT doc_id, pos, line, list_transform(
+  SELECT doc_id, pos, list_transform(
     list_filter(string_split(regexp_replace(line, '[ \t\v\f\r]+', ' ', 'g'), ' '), lambda t: t <> ''),
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t
-  FROM lines),
-leaves AS (
-  SELECT *, len(t) AS n, array_to_string(list_slice(t, 1, 4), ' ') AS lead, array_to_string(t, ' ') AS whole, len(t) - 4 AS rest FROM cut WHERE len(t) >= 5),
-parts AS (
-  SELECT doc_id, pos, n, lead, whole,
-    array_to_string(list_slice(t, 5, 4 + rest // 4), ' ') AS p0, array_to_string(list_slice(t, 5 + rest // 4, 4 + rest * 2 // 4), ' ') AS p1,
-    array_to_string(list_slice(t, 5 + rest * 2 // 4, 4 + rest * 3 // 4), ' ') AS p2, array_to_string(list_slice(t, 5 + rest * 3 // 4, n), ' ') AS p3
-  FROM leaves),
-fulls AS (
-  SELECT n, lead, whole, p0, p1, p2, p3, count(*) AS k, min(doc_id) AS lo, max(doc_id) AS hi, min(doc_id * 1000000 + pos) AS first
-  FROM parts GROUP BY ALL),
-top AS (
-  SELECT n, lead, whole AS top, p0 AS q0, p1 AS q1, p2 AS q2, p3 AS q3
-  FROM fulls QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY k DESC, first) = 1),
-named AS (
-  SELECT fulls.*, CASE WHEN
-      2 * ((p0 <> '' AND p0 = q0)::INT + (p1 <> '' AND p1 = q1)::INT + (p2 <> '' AND p2 = q2)::INT + (p3 <> '' AND p3 = q3)::INT)
-      >= (p0 <> '')::INT + (p1 <> '')::INT + (p2 <> '')::INT + (p3 <> '')::INT THEN top ELSE whole END AS template
-  FROM fulls JOIN top USING (n, lead)),
-owners AS (SELECT n, lead, template, min(lo) AS owner FROM named GROUP BY ALL HAVING min(lo) < max(hi)),
+  FROM lines WHERE doc_id IS NOT NULL),
+leaves AS (SELECT doc_id, pos, t, len(t) AS n, array_to_string(list_slice(t, 1, 4), ' ') AS lead, array_to_string(t, ' ') AS whole FROM cut WHERE len(t) > 0),
+fulls AS (SELECT n, lead, whole, any_value(t) AS t, min(doc_id) AS lo, count(DISTINCT doc_id) AS k FROM leaves GROUP BY n, lead, whole),
+variants AS (
+  SELECT DISTINCT f.n, f.lead, f.whole FROM fulls f JOIN fulls g ON f.n = g.n AND f.lead = g.lead AND g.lo < f.lo
+  WHERE f.n >= 5 AND f.whole <> g.whole AND 100 * len(list_filter(list_zip(f.t, g.t), lambda p: p[1] = p[2])) >= 75 * f.n),
 gone AS (
-  SELECT parts.doc_id, parts.pos FROM parts JOIN named USING (n, lead, whole) JOIN owners USING (n, lead, template) WHERE parts.doc_id <> owner)
+  SELECT DISTINCT doc_id, pos FROM leaves JOIN fulls USING (n, lead, whole) LEFT JOIN variants ON variants.n = leaves.n AND variants.lead = leaves.lead AND variants.whole = leaves.whole
+  WHERE variants.n IS NOT NULL OR doc_id > lo AND (leaves.n >= 5 OR k >= 5))
 SELECT lines.doc_id, coalesce(string_agg(line, chr(10) ORDER BY lines.pos) FILTER (WHERE gone.pos IS NULL), '') AS text,
        count(*) AS n_lines, count(gone.pos) AS n_dropped
 FROM lines LEFT JOIN gone ON lines.doc_id = gone.doc_id AND lines.pos = gone.pos GROUP BY lines.doc_id

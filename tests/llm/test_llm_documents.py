@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import sys
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -193,5 +194,62 @@ def test_line_templates(spark, docs):
     assert line_templates.drop_recurring_lines(empty(spark)).count() == 0
 
 
+def brute_lines(docs: list[tuple[int | None, str | None]], depth: int, percent: int = 75, least: int = 5, short: int = 5) -> dict[int, str]:
+    """The text that is left of each document, by comparing each line with those of all earlier documents."""
+    lines = [(d, p, line) for d, text in docs for p, line in enumerate((text or "").split("\n"))]
+    cut = [(d, p, ["<*>" if re.search("[0-9]", w) else w for w in WORDS.findall(line)]) for d, p, line in lines if d is not None]
+    leaves = defaultdict(list)
+    for d, p, words in cut:
+        if words:
+            leaves[len(words), *words[:depth]].append((d, p, words))
+    gone = set()
+    for (n, *_), own in leaves.items():
+        for d, p, words in own:
+            if n >= least:
+                if any(e < d and 100 * sum(map(str.__eq__, words, other)) >= percent * n for e, _, other in own):
+                    gone.add((d, p))
+            elif len({e for e, _, other in own if other == words}) >= short and any(e < d for e, _, other in own if other == words):
+                gone.add((d, p))
+    left = defaultdict(list)
+    for d, p, line in lines:
+        if d is not None and (d, p) not in gone:
+            left[d].append(line)
+    return {d: "\n".join(left[d]) for d, _ in docs if d is not None}
+
+
+FAMILY = [(1, "this page was written by somebody else entirely, in fact some years ago")]
+FAMILY += [(10 + i, f"this page was written by {name} for all of our readers") for i, name in enumerate("ann bob cleo dan eve fay gus hal ida jon".split())]
+WIDE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+
+
+def test_many_templates_in_a_leaf(spark):
+    rows = [*FAMILY, (2, WIDE), (3, WIDE.replace("six", "6x").replace("ten", "x").replace("fourteen", "y")), (4, "one two three four " + " ".join("abcdefghijkl"))]
+    rows += [(100 + i, "All rights reserved.") for i in range(10)] + [(200 + i, "Good morning to you.") for i in range(4)]
+    rows += [(300, "this page was written by <b> ann </b> for all"), (301, "a b c d e"), (302, "a b c d f"), (303, "a b c g e")]
+    got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(10, 20)] == [FAMILY[1][1]] + [""] * 9 and got[1] == FAMILY[0][1]
+    assert got[2] == WIDE and got[3] == "" and got[4] != ""
+    assert [got[100 + i] for i in range(10)] == ["All rights reserved."] + [""] * 9 and all(got[200 + i] for i in range(4))
+    assert got[301] and not got[302] and got[303]
+    assert got == brute_lines(rows, 4)
+
+
+@pytest.mark.parametrize("hubs", [1, 4])
+def test_lines_agree_with_all_pairs(spark, docs, hubs):
+    rng = random.Random(hubs)
+    words = "a b c d e f".split()
+    rows = [(i, "\n".join(" ".join(rng.choice(words[:2 if k < 3 else 6]) for k in range(rng.randrange(1, 14))) for _ in range(rng.randrange(6)))) for i in range(250)]
+    rows += [(i, "x y z w " + " ".join(rng.choice("pqrst") for _ in range(9))) for i in range(300, 420)]  # one leaf of unlike and alike lines
+    rows += [(None, rows[3][1]), (7, rows[9][1]), (500, None), (501, "\t a  b\x0bc 1 2 \r")] + [(600 + i, "the very same line of text as in all of these") for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    drops = line_templates.recurring_lines(table, depth=2, hubs=hubs).collect()
+    one_each = [(d, t) for d, t in rows if d not in (None, 7)]
+    table = spark.createDataFrame(one_each, "doc_id long, text string").repartition(6)
+    assert {r.doc_id: r.text for r in line_templates.drop_recurring_lines(table, depth=2).collect()} == brute_lines(one_each, 2)
+    places = {(r.doc, r.pos) for r in line_templates.recurring_lines(table, depth=2, hubs=hubs).collect()}
+    left = {d: "\n".join(x for p, x in enumerate((t or "").split("\n")) if (d, p) not in places) for d, t in one_each}
+    assert left == brute_lines(one_each, 2) and drops
+
+
 def test_schema_has_clashing_names():
     assert all(name in SCHEMA for name in ("kept", "batch", "label", "_id", "size"))
