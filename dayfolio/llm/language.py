@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: ASCII bytes that are no letters become spaces; all others stay.
 _TABLE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: Longer words are read in pieces.
 _LONGEST = 30
 #: Words whose result a worker remembers before it starts anew.
@@ -21,13 +21,23 @@ _REMEMBERED = 400_000
 
 
 def words_of(text: str) -> list[bytes]:
-    """The text's letter runs in UTF-8, lower-cased, in pieces of at most 30 bytes."""
+    """The text's letter runs in UTF-8, lower-cased, in pieces of at most 30 bytes that end with a character."""
     words = text.lower().encode("utf-8", "replace").translate(_TABLE).split()
     if max(map(len, words), default=0) > _LONGEST:
-        words = [w[i:i + _LONGEST] for w in words for i in range(0, len(w), _LONGEST)]
+        words = [piece for w in words for piece in _pieces(w)]
     return words
 
 
+def _pieces(word: bytes) -> Iterator[bytes]:
+    while len(word) > _LONGEST:
+        end = _LONGEST
+        while word[end] & 0xC0 == 0x80:  # a byte inside a character
+            end -= 1
+        yield word[:end]
+        word = word[end:]
+    yield word
+
+
 def is_held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
 

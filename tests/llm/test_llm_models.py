@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -124,6 +125,15 @@ def test_languages_of_awkward_rows(spark):
     assert {r.lang_pred for r in language.identify_languages(unlabelled).collect()} == {"und"}
 
 
+def test_letters_and_long_words(spark):
+    docs = spark.createDataFrame([(i, t, None if i else "en") for i, t in enumerate(["one word", "½ ①", "² Ⅷ", "١٢", "a½", "\U00020000", "ª"])], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify_languages(docs.unionByName(docs.limit(1).withColumn("doc_id", F.lit(3000).cast("long"))), rounds=1).collect()}
+    assert [got[i] for i in range(1, 7)] == ["und", "und", "und", "en", "en", "en"]
+    word = "aé日\U00020000" * 40
+    pieces = language.words_of(word)
+    assert b"".join(pieces) == word.encode() and max(map(len, pieces)) <= 30 and all(p.decode() for p in pieces) and len(language.words_of("b" * 100)) == 4
+
+
 def similar_sets(rows, n, percent=80):
     sets = []
     for _, text in rows:
