@@ -128,10 +128,14 @@ def mix_sources(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
 
 
 def take_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as many times as ``mix_sources`` takes it, with the columns given."""
+    """The mix itself: each document as many times as ``mix_sources`` takes it, with the columns given.
+
+    Rows that share id, source and number of words are told apart by a hash of
+    all their columns, so a rerun takes the same ones.
+    """
     mix = mix_sources(docs, **options).select(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"), F.col("place").alias("__mix_place"), F.col("copies").alias("__mix_times"))
     key = [F.col("doc_id"), F.col("source"), _size()]
-    placed = docs.withColumn("__mix_words", _size()).withColumn("__mix_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))) - 1)
+    placed = docs.withColumn("__mix_words", _size()).withColumn("__mix_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*docs.columns))) - 1)
     same = F.col("doc_id").eqNullSafe(F.col("__mix_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size")) & (F.col("__mix_nth") == F.col("__mix_place"))
     taken = placed.join(mix.filter("__mix_times > 0"), same)
     return taken.withColumn("__mix_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_times")))).select(*docs.columns)

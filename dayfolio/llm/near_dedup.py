@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayfolio.llm.common import small_enough, with_rank
 from dayfolio.llm.components import connected_components
 from dayfolio.session import cut_lineage
 
@@ -139,6 +140,22 @@ def _settled(labels: DataFrame, sets: DataFrame, percent: int, salts: int = 16)
     return dealt.join(o, (F.col("_largest") == F.col("_key")) & (F.col("_salt") == F.col("_key_salt")) & fits).select("a", F.col("rep").alias("b")).distinct()
 
 
+def with_row_ids(docs: DataFrame, name: str, id_col: str = "doc_id") -> DataFrame:
+    """Adds an id of the row: its own id where no other row has it, else a number above all ids.
+
+    Rows without an id, and rows whose id comes twice or more, are numbered in
+    the order of id (null last) and a hash of all columns.
+    """
+    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__own")).agg(F.count("*").alias("__n")).filter("__n > 1").select("__own")
+    repeated = cut_lineage(repeated)
+    most = docs.agg(F.coalesce(F.max(F.col(id_col).cast("long")), F.lit(0))).first()[0]
+    known, several = F.col(id_col) == F.col("__own"), small_enough(repeated, F.lit(16))
+    odd = docs.filter(F.col(id_col).isNull()).unionByName(docs.join(several, known, "left_semi"))
+    odd = with_rank(odd, F.col(id_col).asc_nulls_last(), F.xxhash64(*docs.columns), name=name).withColumn(name, F.col(name) + F.lit(most + 1))
+    own = docs.filter(F.col(id_col).isNotNull()).join(several, known, "left_anti").withColumn(name, F.col(id_col).cast("long"))
+    return own.unionByName(odd)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, hubs: int = 8,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The component of each document under links of similar shingle sets.

@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -44,8 +45,22 @@ def test_exact_duplicates(docs):
         stays = max((i for i in ids if i is not None), default=None)
         for i in ids:
             want[i, stays, len(ids), i == stays, hashlib.sha256(text.encode()).hexdigest()] += 1
-    for runs, fan_in in ((64, 8), (7, 2), (1, 8)):
-        assert Counter(map(tuple, exact_dedup.exact_duplicates(docs, runs=runs, fan_in=fan_in).collect())) == want
+    for runs in (16, 7, 1):
+        assert Counter(map(tuple, exact_dedup.exact_duplicates(docs, runs=runs).collect())) == want
+
+
+def test_runs_merge_two_by_two(spark):
+    rng = random.Random(11)
+    entries = [(run, bytes([rng.randrange(3), rng.randrange(2)]) + b"x", 1, 2, rng.choice([None, 5, 6, 7]), rng.randrange(1, 4)) for run in range(5) for _ in range(6)]
+    table = spark.createDataFrame(entries, "_run long, _digest binary, _length int, _check long, _keep long, _n long").selectExpr("*", "substring(_digest, 1, 2) as _part")
+    got = exact_dedup.merge_runs(table)
+    want = defaultdict(lambda: [None, 0])
+    for run, digest, _, _, keep, n in entries:
+        own = want[run // 2, digest]
+        own[0], own[1] = max((k for k in (own[0], keep) if k is not None), default=None), own[1] + n
+    assert {(r._run, bytes(r._digest)): [r._keep, r._n] for r in got.collect()} == want and got.count() == len(want)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Sort ") == 1 and "HashAggregate" not in plan  # sorted runs stay sorted
 
 
 def brute_quality(text: str | None):
@@ -114,6 +129,8 @@ def test_mixing(spark, docs):
     assert len(rows) == docs.count()
     check_mix(rows, [(r.text, r.source) for r in docs.collect()])
     assert Counter(rows) == Counter(mixing.mix_sources(docs.repartition(3), chunk=4).collect())
+    alike = docs.unionByName(docs.withColumn("text", F.reverse("text")))  # two texts of one id, source and size
+    assert Counter(mixing.take_mix(alike, chunk=4).collect()) == Counter(mixing.take_mix(alike.repartition(5), chunk=4).collect())
     took = mixing.take_mix(docs, chunk=4)
     assert took.columns == docs.columns and took.count() == sum(r.copies for r in rows)
     assert mixing.mix_sources(empty(spark)).count() == 0 and mixing.take_mix(empty(spark)).count() == 0

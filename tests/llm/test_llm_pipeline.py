@@ -73,7 +73,16 @@ def test_awkward_and_empty(spark, tmp_path):
     assert stages(spark, awkward(spark), tmp_path / "c")[-1].count() > 0
 
 
+def test_near_duplicates_by_row(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(3, one), (None, one), (None, two), (None, two + " more"), (4, "x y z"), (5, one + " end"), (9, one), (9, "c " + two), (9, "another text " * 9), (6, None), (None, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
+    assert Counter(left) == Counter([(3, one), (4, "x y z"), (9, "c " + two), (9, "another text " * 9), (6, None), (None, None), (6, "")])
+    assert left == [] or Counter(left) == Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(7), SMALL).collect())
+
+
 def test_run_and_registry(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SMALL).filter("offset = 0").count() > 0
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in entry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in entry.queries()}
