@@ -276,6 +276,18 @@ def repair_receipts(records: DataFrame, receipts: DataFrame, keys: Sequence[str]
     return incomplete.select(*keys, F.sha2(F.col(payload), 256).alias("sha256"), F.octet_length(payload).cast("bigint").alias("bytes"))
 
 
+def reduced_arrivals(records: DataFrame, keys: Sequence[str], checks: Sequence[Callable[[DataFrame], Column]] = (), payload: str = "payload") -> DataFrame:
+    """One row per key: the record with the smallest digest (sha256), the largest digest (high) and whether all arrivals pass the checks (valid)."""
+    passed = F.lit(True)
+    for check in checks:
+        passed = passed & F.coalesce(check(records), F.lit(False))
+    columns = [c for c in records.columns if c not in keys]
+    marked = records.withColumn("sha256", F.sha2(F.col(payload), 256)).withColumn("_ok", passed)
+    return marked.groupBy(*keys).agg(
+        F.min_by(F.struct(*columns), "sha256").alias("_r"), F.min("sha256").alias("sha256"), F.max("sha256").alias("high"), F.every("_ok").alias("valid"),
+    ).select(*keys, *[F.col("_r")[c].alias(c) for c in columns], "sha256", "high", "valid")
+
+
 def import_records(records: DataFrame, stored: DataFrame, keys: Sequence[str], checks: Sequence[Callable[[DataFrame], Column]] = (),
                    transform: Callable[[DataFrame], DataFrame] | None = None, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
     """Records to add, and refused ones with a reason.

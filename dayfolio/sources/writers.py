@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dayfolio import config
 from dayfolio.functions import records as R
 from dayfolio.operators.aggregates import complete_jobs
 from dayfolio.operators.reconcile import pair_up, verify_receipts
 from dayfolio.operators.sets import set_diff
+from dayfolio.operators.skew import small_or_plain
 
 
 class RefusedWrite(ValueError):
@@ -85,7 +86,7 @@ def write_immutable(df: DataFrame, path: str, keys: Sequence[str]) -> int:
 def publish(staged: Mapping[str, DataFrame], root: str, run_id: str, validate: Callable[[dict[str, DataFrame]], DataFrame] | None = None) -> None:
     """Makes all targets of a run visible together.
 
-    Targets are written to the run's own folder and audited there. One appended
+    Each target has a folder per run, written and audited there. One appended
     manifest row is the commit; readers see only runs the manifest names.
     """
     spark = next(iter(staged.values())).sparkSession
@@ -93,7 +94,7 @@ def publish(staged: Mapping[str, DataFrame], root: str, run_id: str, validate: C
         raise RefusedWrite(f"run {run_id} is already published")
     written = {}
     for name, df in staged.items():
-        target = f"{root}/runs/run_id={run_id}/{name}"
+        target = f"{root}/data/{name}/run_id={run_id}"
         df.write.mode("overwrite").parquet(target)
         written[name] = spark.read.schema(df.schema).parquet(target)
     if validate is not None and not validate(written).isEmpty():
@@ -103,12 +104,18 @@ def publish(staged: Mapping[str, DataFrame], root: str, run_id: str, validate: C
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All rows of one target from published runs, with their ``run_id``."""
+    """All rows of one target from published runs, with their ``run_id``.
+
+    The manifest is joined on ``run_id``, which is the target's partition
+    column, so that runs it does not name are pruned before they are read; the
+    driver holds no list of runs.
+    """
     runs = (spark.read.schema("run_id STRING, targets ARRAY<STRING>").json(f"{root}/manifest")
-            .where(F.array_contains("targets", name)).select("run_id").distinct())
-    # One manifest row per publication, so its ids are few.
-    paths = [f"{root}/runs/run_id={row.run_id}/{name}" for row in runs.collect()]
-    return spark.read.option("basePath", f"{root}/runs").parquet(*paths)
+            .select("run_id", F.explode("targets").alias("target")).where(F.col("target") == name).select("run_id").distinct())
+    path = f"{root}/data/{name}"
+    fields = [f for f in spark.read.parquet(path).schema if f.name != "run_id"]
+    stored = spark.read.schema(T.StructType(fields).add("run_id", "string")).parquet(path)  # a run named 007 is no number
+    return stored.join(small_or_plain(runs), "run_id")
 
 
 def append_event(events: DataFrame, path: str, job: Sequence[str], published: DataFrame | None = None) -> None:

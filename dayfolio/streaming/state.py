@@ -1,13 +1,13 @@
-"""Keyed retry and publication state over event streams.
+"""Keyed retry, import and publication state over event streams.
 
-The state keeps, per attempt, only what can still matter: events newer than the
-last success. Events may arrive twice, and late within the watermark; the answer
-depends on their times, not on their arrival.
+The state keeps, per attempt, only what can still matter: its newest start and
+end after the last success, and those of its failures that no later one
+outranks. Events may arrive twice and as late as they like; the answer depends
+on their times, not on their arrival.
 """
 
 from __future__ import annotations
 
-import json
 import sys
 from collections.abc import Iterator
 from datetime import datetime, timedelta
@@ -24,9 +24,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 EPOCH = datetime(1970, 1, 1)
 EVENT_COLUMNS = ("attempt_id", "event_id", "stage", "status", "at", "structured", "observed_at")
 RETRY_OUTPUT = ("{keys}, kind STRING, failure_count BIGINT, source_failure_count BIGINT, delay_hours DOUBLE, "
-                "observed_at TIMESTAMP_NTZ, retry_at TIMESTAMP_NTZ, latest_attempt_id STRING, active BOOLEAN, as_of TIMESTAMP_NTZ")
+                "observed_at TIMESTAMP_NTZ, retry_at TIMESTAMP_NTZ, latest_attempt_id STRING, active BOOLEAN, as_of TIMESTAMP_NTZ, "
+                "late_event_id STRING, late_event_at TIMESTAMP_NTZ")
+#: An attempt's failures (the receipt, when seen, when, which event, at which stage), newest start and newest end.
+ATTEMPT_STATE = ("failures ARRAY<STRUCT<structured: BOOLEAN, observed: BIGINT, at: BIGINT, event: STRING, stage: STRING>>, "
+                 "start_at BIGINT, start_event STRING, end_at BIGINT, end_event STRING")
 RETRY_STAGES, START_STAGES = config.RETRY_STAGES, config.START_STAGES
 RETRY_HOURS, PROBE_HOURS, ORPHAN_HOURS = config.RETRY_HOURS, config.PROBE_RETRY_HOURS, config.ORPHAN_HOURS
+HOUR = 3_600_000_000
 
 
 def _micros(value: datetime) -> int:
@@ -37,88 +42,143 @@ def _time(micros: int) -> datetime:
     return EPOCH + timedelta(microseconds=micros)
 
 
-def _summary(events: list[list], now: int) -> tuple | None:
-    """Retry answer from compact events [attempt, role, at, event, observed, structured, stage]."""
-    best: dict[str, tuple] = {}
-    starts: dict[str, tuple] = {}
-    ends: dict[str, tuple] = {}
-    for attempt, role, at, event, observed, structured, stage in events:
-        order = (at, event)
-        if role == "start":
-            starts[attempt] = max(starts.get(attempt, order), order)
-            continue
-        ends[attempt] = max(ends.get(attempt, order), order)
-        if role == "failure":
-            rank = (structured, observed, *order, stage)
-            best[attempt] = max(best.get(attempt, rank), rank)
-    kinds = {a: (r[1], r[2], r[3], a, bool(r[0]), "source_incomplete" if r[0] else
-                 "repair_failure" if r[4] == "category_repair" else "generation_failure") for a, r in best.items()}
-    for attempt, order in starts.items():
-        open_start = attempt not in ends or order > ends[attempt]
-        if attempt not in best and open_start and order[0] + ORPHAN_HOURS * 3_600_000_000 <= now:
-            kinds[attempt] = (order[0], order[0], order[1], attempt, False, "generation_failure")
-    if not kinds:
+class Attempt:
+    """What is known of an attempt since the last success; orders are (time, event)."""
+
+    def __init__(self, value: tuple | None = None):
+        failures, start_at, start_event, end_at, end_event = value or (None, None, None, None, None)
+        self.failures = [tuple(f) for f in failures or ()]
+        self.start = None if start_at is None else (start_at, start_event)
+        self.end = None if end_at is None else (end_at, end_event)
+
+    def value(self) -> tuple:
+        return (self.failures, *(self.start or (None, None)), *(self.end or (None, None)))
+
+    def add(self, failure: tuple) -> None:
+        """Keeps a failure unless one that is no older ranks as high: that one counts whenever this one does."""
+        over = lambda a, b: a[:4] >= b[:4] and a[2:4] >= b[2:4]
+        if not any(over(f, failure) for f in self.failures):
+            self.failures = [f for f in self.failures if not over(failure, f)] + [failure]
+
+    def since(self, done: tuple) -> bool:
+        """Forgets what is not after the success; whether anything is left."""
+        self.failures = [f for f in self.failures if f[2:4] > done]
+        self.start = self.start if self.start and self.start > done else None
+        self.end = self.end if self.end and self.end > done else None
+        return bool(self.failures or self.start or self.end)
+
+    def outcome(self, name: str, now: int) -> tuple | None:
+        """(observed, at, event, attempt, structured, kind) of the attempt's failure, or of its start if that has waited too long."""
+        if self.failures:
+            structured, observed, at, event, stage = max(self.failures, key=lambda f: f[:4])
+            kind = "source_incomplete" if structured else "repair_failure" if stage == "category_repair" else "generation_failure"
+            return observed, at, event, name, structured, kind
+        if self.start and (not self.end or self.start > self.end) and self.start[0] + ORPHAN_HOURS * HOUR <= now:
+            return self.start[0], *self.start, name, False, "generation_failure"
         return None
-    latest = max(kinds.values())
-    structured = sum(k[4] for k in kinds.values())
-    schedule, count = (PROBE_HOURS, structured) if latest[4] else (RETRY_HOURS, len(kinds) - structured)
+
+
+def _summary(attempts: Iterator[tuple[str, Attempt]], now: int) -> tuple | None:
+    """Retry answer: kind, failures, those with a receipt, delay, when the latest was seen, retry time, its attempt."""
+    outcomes = [o for o in (a.outcome(name, now) for name, a in attempts) if o]
+    if not outcomes:
+        return None
+    latest, structured = max(outcomes), sum(o[4] for o in outcomes)
+    schedule, count = (PROBE_HOURS, structured) if latest[4] else (RETRY_HOURS, len(outcomes) - structured)
     delay = schedule[min(count, len(schedule)) - 1]
-    return latest[5], len(kinds), structured, delay, latest[0], latest[0] + int(delay * 3_600_000_000), latest[3]
+    return latest[5], len(outcomes), structured, delay, latest[0], latest[0] + int(delay * HOUR), latest[3]
 
 
 class RetryProcessor(StatefulProcessor):
-    """Emits the retry state of a key whenever events or an orphan timeout change it."""
+    """Emits the retry state of a key whenever events or an orphan timeout change it, and each event behind the watermark."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.done = handle.getValueState("done", "at BIGINT, event STRING")
-        self.events = handle.getMapState("events", "event STRING", "body STRING")
-
-    def _answer(self, key, now: int) -> Iterator[pd.DataFrame]:
-        answer = _summary([json.loads(v[0]) for _, v in self.events.iterator()], now)
-        row = dict(zip(self.keys, key))
-        empty = (None, 0, 0, None, None, None, None)
-        kind, failures, structured, delay, observed, retry, attempt = answer or empty
-        row.update(kind=kind, failure_count=failures, source_failure_count=structured, delay_hours=delay,
-                   observed_at=None if observed is None else _time(observed), retry_at=None if retry is None else _time(retry),
-                   latest_attempt_id=attempt, active=answer is not None, as_of=_time(now))
-        yield pd.DataFrame([row])
+        self.attempts = handle.getMapState("attempts", "attempt STRING", ATTEMPT_STATE)
+
+    def _row(self, key, now: int, answer: tuple | None, late: tuple | None = None) -> dict:
+        kind, failures, structured, delay, observed, retry, attempt = answer or (None, 0, 0, None, None, None, None)
+        return dict(zip(self.keys, key)) | {
+            "kind": kind, "failure_count": failures, "source_failure_count": structured, "delay_hours": delay,
+            "observed_at": None if observed is None else _time(observed), "retry_at": None if retry is None else _time(retry),
+            "latest_attempt_id": attempt, "active": answer is not None, "as_of": _time(now),
+            "late_event_id": late and late[1], "late_event_at": _time(late[0]) if late else None}
+
+    def _answer(self, key, now: int) -> dict:
+        return self._row(key, now, _summary(((name[0], Attempt(value)) for name, value in self.attempts.iterator()), now))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         done = tuple(self.done.get()) if self.done.exists() else None
-        newest = 0
+        before, newest, watermark = done, 0, timerValues.getCurrentWatermarkInMs()
+        changed: dict[str, Attempt] = {}
+        late: list[tuple] = []
         for frame in rows:
             for e in frame.itertuples(index=False):
                 order = (_micros(e.at), str(e.event_id))
                 newest = max(newest, order[0])
+                if order[0] < watermark * 1000:
+                    late.append(order)
                 if e.status == "completed":
                     done = max(done, order) if done else order
                     continue
-                structured = bool(e.structured) if e.structured is not None else False
-                if e.status == "started" and e.stage in START_STAGES:
-                    role = "start"
-                elif e.status == "failed":
-                    role = "failure" if structured or e.stage in RETRY_STAGES else "end"
-                else:
+                if done and order <= done or e.status not in ("started", "failed") or e.status == "started" and e.stage not in START_STAGES:
                     continue
-                body = [str(e.attempt_id), role, order[0], order[1], _micros(e.observed_at), int(structured), e.stage]
-                self.events.updateValue((order[1],), (json.dumps(body),))
-        if done:
+                name = str(e.attempt_id)
+                if name not in changed:
+                    changed[name] = Attempt(self.attempts.getValue((name,)) if self.attempts.containsKey((name,)) else None)
+                own, structured = changed[name], bool(e.structured) if e.structured is not None else False
+                if e.status == "started":
+                    own.start = max(own.start or order, order)
+                else:
+                    own.end = max(own.end or order, order)
+                    if structured or e.stage in RETRY_STAGES:
+                        own.add((structured, _micros(e.observed_at), *order, str(e.stage)))
+        if done != before:  # a new success: what it ends goes from the state
             self.done.update(done)
-            for name, value in list(self.events.iterator()):
-                body = json.loads(value[0])
-                if (body[2], body[3]) <= done:
-                    self.events.removeKey(name)
-        watermark = timerValues.getCurrentWatermarkInMs()
-        for _, value in self.events.iterator():
-            body = json.loads(value[0])
-            due = body[2] // 1000 + ORPHAN_HOURS * 3_600_000 + 1
-            if body[1] == "start" and due > watermark:
+            for name, value in list(self.attempts.iterator()):
+                changed.setdefault(name[0], Attempt(value))
+        for name, own in changed.items():
+            if done and not own.since(done):
+                if self.attempts.containsKey((name,)):
+                    self.attempts.removeKey((name,))
+                continue
+            stored = Attempt(self.attempts.getValue((name,))) if self.attempts.containsKey((name,)) else Attempt()
+            due = own.start and own.start[0] // 1000 + ORPHAN_HOURS * 3_600_000 + 1
+            if due and own.start != stored.start and due > watermark:
                 self.handle.registerTimer(due)
-        yield from self._answer(key, max(newest, watermark * 1000))
+            self.attempts.updateValue((name,), own.value())
+        now = max(newest, watermark * 1000)
+        yield pd.DataFrame([self._answer(key, now), *(self._row(key, now, None, event) for event in late)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._answer(key, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        yield pd.DataFrame([self._answer(key, expiredTimerInfo.getExpiryTimeInMs() * 1000)])
+
+    def close(self) -> None:
+        pass
+
+
+class ImportProcessor(StatefulProcessor):
+    """Adds a record whose key is new; other bytes for a known key are refused. The state is the digest of each key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", "sha256 STRING")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = self.held.get()[0] if self.held.exists() else None
+        arrivals = pd.concat(list(rows)).sort_values("batch", kind="stable")
+        reasons = []
+        for low, high, valid in arrivals[["sha256", "high", "valid"]].itertuples(index=False):
+            reason = ("failed validation" if not valid else "conflicting arrivals" if low != high else
+                      "differs from the stored record" if held not in (None, low) else "held" if held else None)
+            if reason is None:
+                held = low
+                self.held.update((low,))
+            reasons.append(reason)
+        arrivals["reason"] = pd.Series(reasons, index=arrivals.index, dtype=object)
+        kept = arrivals[arrivals["reason"] != "held"]
+        if len(kept):
+            yield kept.drop(columns=["high", "valid"])
 
     def close(self) -> None:
         pass
@@ -129,22 +189,30 @@ def _fields(df: DataFrame, keys: list[str]) -> str:
 
 
 def retry_stream(events: DataFrame, keys: list[str], late: str) -> DataFrame:
-    """Stream form of ``retry_state``: one row per change of a key.
+    """Stream form of ``retry_state``: one row per change of a key, and one per late event.
 
     ``events`` needs ``event_time`` (TIMESTAMP) for the watermark besides the
-    working columns of ``attempt_rows``. Repeated events count once. Timers need
-    a watermark, so an event further behind the newest than ``late`` is dropped:
-    choose it longer than any delay of the source.
+    working columns of ``attempt_rows``. The watermark, ``late`` behind the
+    newest event, drives the orphan timers. It drops nothing: an event behind
+    it counts as its time says, and is reported in a row of its own with
+    ``late_event_id`` (see ``late_events``). Repeated events count once, as the
+    state takes the newest of each kind.
     """
     processor = RetryProcessor()
     processor.keys = list(keys)
-    unique = events.withWatermark("event_time", late).dropDuplicatesWithinWatermark([*keys, "event_id"])
-    grouped = unique.select(*keys, *EVENT_COLUMNS, "event_time").groupBy(*keys)
+    watched = events.withWatermark("event_time", late)
+    # Without the watermark's column the operator has nothing to drop by.
+    grouped = watched.select(*keys, *EVENT_COLUMNS).groupBy(*keys)
     return grouped.transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=T._parse_datatype_string(RETRY_OUTPUT.format(keys=_fields(events, list(keys)))),
         outputMode="Update", timeMode="EventTime")
 
 
+def late_events(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The events that came behind the watermark, from the rows of ``retry_stream``."""
+    return changes.where("late_event_id is not null").select(*keys, F.col("late_event_id").alias("event_id"), F.col("late_event_at").alias("at"), "as_of")
+
+
 def publication_stream(events: DataFrame, keys: list[str]) -> DataFrame:
     """Stream form of ``publication_state``: columns at, event_id, status, commit.
 

@@ -169,3 +169,16 @@ def test_bundle(spark):
     assert allowed.count() == 6
     extra = allowed.select("path").limit(5).union(spark.createDataFrame([("private.txt",)], "path string"))
     assert {r.side for r in S.check_bundle(extra, allowed).collect()} == {"not allowed", "missing"}
+
+
+def test_many_published_runs_are_pruned_by_the_manifest(spark, tmp_path):
+    root, runs = f"{tmp_path}/published", 120
+    rows = spark.range(runs * 2).select(F.concat(F.lit("0"), (F.col("id") % runs).cast("string")).alias("run_id"), F.col("id").alias("v"))
+    rows.repartition("run_id").write.partitionBy("run_id").parquet(f"{root}/data/a")
+    spark.range(runs).where("id % 4 = 0").select(F.concat(F.lit("0"), F.col("id").cast("string")).alias("run_id"), F.array(F.lit("a")).alias("targets")).write.json(f"{root}/manifest")
+    S.publish({"a": spark.range(3).select(F.col("id").alias("v"))}, root, "007x")
+    found = S.read_published(spark, root, "a")
+    got = sorted((r.run_id, r.v) for r in found.collect())
+    assert got == sorted([(f"0{i % runs}", i) for i in range(runs * 2) if i % runs % 4 == 0] + [("007x", i) for i in range(3)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan

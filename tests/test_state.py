@@ -153,6 +153,50 @@ def test_retry_stream_equals_batch(rocks, tmp_path):
             r.kind, r.failure_count, r.source_failure_count, r.delay_hours, r.observed_at, r.retry_at, r.latest_attempt_id)
 
 
+def test_late_events_count_and_are_reported(rocks, tmp_path):
+    spark = rocks
+    first = [event(1, "a", "failed", 0), event(2, "b", "started", 100), event(3, "n", "deferred", 200, job="other")]
+    # Far behind the watermark: a success that ends the first failure, a better failure, and one before a success.
+    late = [event(4, "x", "completed", 1), event(5, "c", "failed", 2, structured=True, observed=1.5), event(6, "c", "failed", 3), event(7, "d", "failed", 0.5)]
+    parts = (first, [event(8, "m", "deferred", 300, job="other")], late, [event(9, "m", "deferred", 301, job="other"), event(10, "y", "completed", 2.5)])
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/p{i}.parquet")
+    events = ingest.table_stream(spark, f"{tmp_path}/in/*", "*.parquet", SCHEMA, 1)
+    stream = state.retry_stream(events.withColumn("event_time", F.col("at").cast("timestamp")), KEYS, "1 hour")
+    ingest.run_changes(stream, f"{tmp_path}/out", f"{tmp_path}/cp", KEYS)
+    changes = ingest.all_changes(spark, f"{tmp_path}/out")
+    assert sorted(int(r.event_id, 16) for r in state.late_events(changes, KEYS).collect()) == [4, 5, 6, 7, 10]
+    got = {r.job: r for r in ingest.latest_changes(spark, f"{tmp_path}/out", KEYS).where("active").collect()}
+    want = J.retry_state(spark.createDataFrame([e for p in parts for e in p], SCHEMA), KEYS, F.lit(T0 + timedelta(hours=301)).cast("timestamp_ntz")).collect()
+    assert len(want) == 1 and set(got) == {"j"}
+    assert (got["j"].kind, got["j"].failure_count, got["j"].latest_attempt_id, got["j"].retry_at) == (want[0].kind, want[0].failure_count, want[0].latest_attempt_id, want[0].retry_at)
+
+
+def test_attempt_state_forgets_what_cannot_matter():
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    for _ in range(300):
+        failures = [(rng.random() < 0.4, rng.randrange(6), rng.randrange(6), str(k), "s") for k in range(rng.randrange(1, 6))]
+        own = state.Attempt()
+        for f in failures:
+            own.add(f)
+        again = state.Attempt(own.value())
+        for done in itertools.product(range(-1, 6), ["0", "9"]):
+            left = [f for f in failures if f[2:4] > done]
+            kept = state.Attempt(again.value())
+            assert kept.since(done) == bool(left)
+            if left:
+                best = max(left, key=lambda f: f[:4])
+                assert kept.outcome("a", 0)[:3] == best[1:4]
+        assert len(own.failures) <= len(failures)
+    many = state.Attempt()
+    for k in range(1000):  # failures that only get newer leave one
+        many.add((False, k, k, str(k), "s"))
+    assert len(many.failures) == 1
+
+
 def test_publication_stream_equals_batch(rocks, tmp_path):
     spark = rocks
     schema = "job string, at timestamp_ntz, event_id string, status string, commit string"
@@ -181,6 +225,29 @@ def test_new_dates_and_imports_from_streams(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/refused").count() == 0
 
 
+def test_streams_go_on_after_a_restart(rocks, tmp_path):
+    spark = rocks
+    schema = "date string, payload string"
+
+    def land(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{name}.parquet")
+
+    def run():
+        stream = ingest.table_stream(spark, f"{tmp_path}/in/*", "*.parquet", schema, 1)
+        ingest.new_dates_stream(stream, f"{tmp_path}/published", f"{tmp_path}/queue", f"{tmp_path}/c1").awaitTermination()
+        ingest.import_stream(stream, f"{tmp_path}/store", f"{tmp_path}/refused", f"{tmp_path}/c2", ["date"], [lambda df: F.length("payload") > 0]).awaitTermination()
+
+    land("a", [("1", "x"), ("1", "x"), ("2", "y"), ("3", "p"), ("3", "q"), ("4", "")])
+    run()
+    land("b", [("1", "x"), ("2", "other"), ("3", "p"), ("4", "z"), ("5", "w"), ("5", "w")])
+    land("c", [("5", "v"), ("3", "p"), ("6", "u")])
+    run()
+    assert sorted((r.date, r.payload) for r in spark.read.parquet(f"{tmp_path}/store").collect()) == [("1", "x"), ("2", "y"), ("3", "p"), ("4", "z"), ("5", "w"), ("6", "u")]
+    assert sorted((r.date, r.reason) for r in spark.read.parquet(f"{tmp_path}/refused").collect()) == [
+        ("2", "differs from the stored record"), ("3", "conflicting arrivals"), ("4", "failed validation"), ("5", "differs from the stored record")]
+    assert sorted(r.date for r in spark.read.parquet(f"{tmp_path}/queue").collect()) == ["1", "2", "3", "4", "5", "6"]
+
+
 def test_attempt_rows_decode_receipts(spark):
     receipt = {"schemaVersion": "1.0", "status": "source_incomplete", "arxivId": "2502.00001", "failureClass": J.config.PROBE_FAILURE,
                "provisionalCandidateIds": ["2502.00001"]}
