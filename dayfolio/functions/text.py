@@ -94,6 +94,22 @@ def author_key(c: Column | str) -> Column:
     return fold_author(nfkd(_column(c)))
 
 
+_ACCENTS = re.compile("[\u0300-\u036f]")
+
+
+class AuthorKeys(dict):
+    """The key of each name that was asked for, worked out once; starts anew when it holds very many."""
+
+    def __missing__(self, name: str) -> str:
+        import regex
+
+        if len(self) >= 500_000:
+            self.clear()
+        bare = _ACCENTS.sub("", unicodedata.normalize("NFKD", name)).lower()
+        self[name] = key = regex.sub(r"[^\p{L}\p{N}]+", " ", bare).strip(" ")
+        return key
+
+
 def author_keys(c: Column | str) -> Column:
     """The same for every element of an array of names."""
     return F.transform(nfkd_list(_column(c)), fold_author)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -351,12 +352,11 @@ def rules_in_force(df: DataFrame, rules: DataFrame, exempt: DataFrame | None = N
     return paired.join(exempt, [c for c in exempt.columns], "left_anti")
 
 
-def legacy_rules() -> list[Rule]:
-    """The lenient set for the oldest schema: identity, scores, basis and lines."""
+def legacy_only_rules() -> list[Rule]:
+    """What the oldest schema asks besides identity and scores: texts, basis and lines, leniently."""
     basis = F.when(F.col("fullTextEvaluated"), config.FULL_TEXT_BASIS).otherwise(config.ABSTRACT_BASIS)
     urls = F.col("sourceUrls")
     return [
-        *identity_rules(), *score_rules(),
         *[scalar_rule(F.col(f), f, "non_empty") for f in schemas.TEXT_FIELDS],
         scalar_rule(F.col("primaryCategory"), "primaryCategory", "equal", F.col("slug")),
         Rule("abstractLines", "value", "must contain exactly three lines", F.size("abstractLines") == 3),
@@ -368,18 +368,26 @@ def legacy_rules() -> list[Rule]:
     ]
 
 
+def legacy_rules() -> list[Rule]:
+    """The lenient set for the oldest schema: identity, scores, texts, basis and lines."""
+    return [*identity_rules(), *score_rules(), *legacy_only_rules()]
+
+
+def guarded(rules: Sequence[Rule], condition: Column) -> list[Rule]:
+    """The rules for the rows that meet a condition, so that several sets go through a table in one pass."""
+    return [replace(r, applies=condition if r.applies is None else condition & F.coalesce(r.applies, F.lit(False))) for r in rules]
+
+
 def validate_by_version(papers: DataFrame, version: str = "schema_version",
                         keys: Mapping[str, str] = PAPER_ISSUE_KEYS) -> DataFrame:
-    """Applies to each paper the rules of its own schema version."""
-    shared = [*identity_rules(), *score_rules(), *evidence_rules()]
-    branches = [
-        find_issues(papers.where(F.col(version) == config.LEGACY_SCHEMA), legacy_rules(), keys),
-        find_issues(papers.where(F.col(version) == config.PREVIOUS_SCHEMA), shared, keys),
-        find_issues(papers.where(F.col(version) == config.CURRENT_SCHEMA), shared + cap_rules(), keys),
-        find_issues(papers.where(~F.coalesce(F.col(version).isin(config.LEGACY_SCHEMA, config.PREVIOUS_SCHEMA, config.CURRENT_SCHEMA), F.lit(False))),
-                    [Rule("schemaVersion", "value", "is not supported", F.lit(False))], keys),
-    ]
-    return union_all(branches)
+    """Applies to each paper the rules of its own schema version, all in one pass."""
+    held = lambda *versions: F.coalesce(F.col(version).isin(*versions), F.lit(False))
+    legacy, later, current = held(config.LEGACY_SCHEMA), held(config.PREVIOUS_SCHEMA, config.CURRENT_SCHEMA), held(config.CURRENT_SCHEMA)
+    return find_issues(papers, [
+        *guarded([*identity_rules(), *score_rules()], legacy | later), *guarded(legacy_only_rules(), legacy),
+        *guarded(evidence_rules(), later), *guarded(cap_rules(), current),
+        Rule("schemaVersion", "value", "is not supported", legacy | later),
+    ], keys)
 
 
 # Listings, metadata, events -------------------------------------------------------------------------

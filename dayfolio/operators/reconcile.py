@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dayfolio import config, schemas
 from dayfolio.functions import records as R, text as X
 from dayfolio.operators.checks import PAPER_ISSUE_KEYS
 from dayfolio.operators.issues import Rule, as_issue, find_issues, union_all
-from dayfolio.operators.skew import attach_row, small_or_plain
+from dayfolio.operators.skew import BROADCAST_BYTES, attach_row, is_small
 from dayfolio.session import cut_lineage
 
 PAPER_KEYS = ("report_date", "slug", "arxivId")
@@ -111,26 +112,61 @@ def reconcile_reports(reports: DataFrame, listings: DataFrame) -> DataFrame:
     return find_issues(pairs, rules, {"date": "report_date", "slug": "slug"}, "report")
 
 
+def _author_hits(places: dict[tuple[str, str], int]):
+    """For an array of names and a category: the place of each name that is known there, and its entry in the low 32 bits."""
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def hits(names: pd.Series, tags: pd.Series) -> pd.Series:
+        keys = X.AuthorKeys()
+
+        def each(listed, tag):
+            found = ((i, places.get((keys[n], tag))) for i, n in enumerate(listed if listed is not None else ()) if n is not None)
+            return [i << 32 | entry for i, entry in found if entry is not None]
+
+        return pd.Series([each(*row) for row in zip(names, tags, strict=True)], dtype=object)
+
+    return hits
+
+
 def match_authors(papers: DataFrame, registry: DataFrame, keys: Sequence[str] = PAPER_KEYS, authors: str = "authors",
-                  slug: str = "slug", label: str = "著名著者", name: str = "eminentAuthors") -> DataFrame:
+                  slug: str = "slug", label: str = "著名著者", name: str = "eminentAuthors", registry_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Adds the badges of authors the registry knows for the paper's category.
 
     Names are compared without accents, case and punctuation. The first
     registry entry that fits wins, and badges keep the author order.
     ``registry`` needs a column ``entry`` with each row's place.
+
+    Papers are looked up where they are: a registry whose bytes are few goes to
+    the tasks as a dictionary, each distinct name is normalised once, and no
+    paper moves. A larger one is joined by name, with a number for each row of
+    ``papers``, so a paper that is listed twice is two papers either way.
     """
     names = F.concat(F.array("canonicalName"), F.coalesce("aliases", F.array().cast("array<string>")))
-    known = (registry.select(F.explode(X.author_keys(names)).alias("_name"), "entry", F.explode("fieldTags").alias("_tag"),
-                             F.struct(F.col("distinction").alias("reason"), "identityEvidence", F.col("officialUrls").alias("evidenceUrls")).alias("_why"))
+    why = F.struct(F.col("distinction").alias("reason"), "identityEvidence", F.col("officialUrls").alias("evidenceUrls"))
+    entries = registry.select("entry", names.alias("_names"), "fieldTags", why.alias("_why"))
+    badge = lambda author, known: F.struct(
+        author.alias("authorName"), F.lit(label).alias("label"), known["reason"].alias("reason"), known["identityEvidence"].alias("identityEvidence"), known["evidenceUrls"].alias("evidenceUrls"))
+    if is_small(entries, registry_bytes):
+        spark, keyed, places = papers.sparkSession, X.AuthorKeys(), {}
+        rows = sorted(entries.collect(), key=lambda r: r["entry"])  # their bytes were summed above
+        for i, row in enumerate(rows):
+            for who in row["_names"]:
+                for tag in row["fieldTags"] or ():
+                    if who is not None:
+                        places.setdefault((keyed[who], tag), i)
+        known = spark.createDataFrame([([r["_why"] for r in rows],)], T.StructType([T.StructField("_known", T.ArrayType(entries.schema["_why"].dataType))]))
+        found = attach_row(papers.withColumn("_hits", _author_hits(places)(F.col(authors), F.col(slug))), known)
+        at = lambda h: badge(F.get(F.col(authors), F.shiftright(h, 32).cast("int")), F.get(F.col("_known"), h.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")))
+        badges = F.transform(F.coalesce("_hits", F.array().cast("array<bigint>")), at)
+        return found.withColumn(name, badges.cast(f"array<{schemas.BADGE}>")).drop("_hits", "_known")
+    known = (entries.select(F.explode(X.author_keys("_names")).alias("_name"), "entry", F.explode("fieldTags").alias("_tag"), "_why")
              .groupBy("_name", "_tag").agg(F.min_by("_why", "entry").alias("_why")))
-    # A paper may be listed twice: its place in the report tells the copies apart.
-    keys = [*keys, *[c for c in ("index",) if c in papers.columns and c not in keys]]
-    listed = papers.select(*keys, F.col(slug).alias("_tag"), F.posexplode(F.arrays_zip(
+    numbered = cut_lineage(papers.withColumn("_paper", F.monotonically_increasing_id()))
+    listed = numbered.select("_paper", F.col(slug).alias("_tag"), F.posexplode(F.arrays_zip(
         F.col(authors).alias("author"), X.author_keys(authors).alias("key"))).alias("_place", "_a")).withColumn("_name", F.col("_a.key"))
-    hits = listed.join(small_or_plain(known), ["_name", "_tag"]).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
-        "_place", F.struct(F.col("_a.author").alias("authorName"), F.lit(label).alias("label"), "_why.*").alias("badge")))).alias("_hits"))
+    hits = listed.join(known, ["_name", "_tag"]).groupBy("_paper").agg(F.sort_array(F.collect_list(F.struct(
+        "_place", badge(F.col("_a.author"), F.col("_why")).alias("badge")))).alias("_hits"))
     badges = F.transform("_hits", lambda h: h["badge"])
-    return papers.join(hits, list(keys), "left").withColumn(name, F.coalesce(badges, F.array().cast(f"array<{schemas.BADGE}>"))).drop("_hits")
+    return numbered.join(hits, "_paper", "left").withColumn(name, F.coalesce(badges, F.array().cast(f"array<{schemas.BADGE}>"))).drop("_hits", "_paper")
 
 
 def registry_issues(registry: DataFrame, categories: Sequence[str] = config.CATEGORIES) -> DataFrame:

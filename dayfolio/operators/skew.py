@@ -22,10 +22,15 @@ def value_bytes(value: Column, kind: T.DataType) -> Column:
     return F.lit(16 if isinstance(kind, T.DecimalType) else 8).cast("long")
 
 
-def small_or_plain(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """Marks a side for broadcast only after its bytes, which tasks add up, are known to be few."""
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows, whose bytes tasks add up, take no more than ``most``."""
     size = sum((value_bytes(df[f"`{f.name}`"], f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
-    return F.broadcast(df) if df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= most else df
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= most
+
+
+def small_or_plain(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks a side for broadcast only after its bytes are known to be few."""
+    return F.broadcast(df) if is_small(df, most) else df
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

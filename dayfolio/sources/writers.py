@@ -137,6 +137,8 @@ def complete_set(records: DataFrame, receipts: DataFrame, job: Sequence[str], sl
 
 def export_complete_set(records: DataFrame, receipts: DataFrame, path: str, job: Sequence[str], **options) -> None:
     """Writes ``complete_set`` into a target that must not exist yet."""
+    if path_exists(records.sparkSession, path):
+        raise RefusedWrite(f"{path} already exists")
     complete_set(records, receipts, job, **options).write.mode("errorifexists").partitionBy(*job).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("ranking", "counts", "checks", "reconcile", "pages", "text", "backfill", "state", "audits", "sinks")
+_MODULES = ("ranking", "counts", "checks", "reconcile", "pages", "text", "backfill", "state", "audits", "sinks", "landed")
 
 
 def _load():

@@ -60,9 +60,20 @@ def count_script(spark, folder):
 
 
 SHORT_WORD = "[a-zà-ÿ]{4,}"
+# Formulas, commands and snake_case names become spaces. SQL has no look-around, so a name is found with its two neighbours, and
+# twice over, as neighbouring names share one.
+NAME_PATTERN = r"(^|[^\p{Latin}\p{N}])[A-Za-z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)+($|[^\p{Latin}\p{N}])"
 
 
-@query("h9_skeleton", r"""SELECT conv_id, turn, regexp_replace(regexp_replace(trim(regexp_replace(lower(nfc_normalize(text)), '\s+', ' ', 'g')), '[a-zà-ÿ]{4,}', '◇', 'g'), '\s+', '', 'g') AS frame FROM conversations WHERE NOT regexp_matches(text, '[$\\_]')""")
+def mask_sql(text: str) -> str:
+    for pattern in (r"\$[^$]*\$", r"(?s)\\\(.*?\\\)", r"(?s)\\\[.*?\\\]", r"\\[A-Za-z]+"):
+        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
+    for _ in range(2):
+        text = rf"regexp_replace({text}, '{NAME_PATTERN}', '\1 \2', 'g')"
+    return text
+
+
+@query("h9_skeleton", rf"""SELECT conv_id, turn, regexp_replace(regexp_replace(trim(regexp_replace(lower({mask_sql('nfc_normalize(text)')}), '\s+', ' ', 'g')), '[a-zà-ÿ]{{4,}}', '◇', 'g'), '\s+', '', 'g') AS frame FROM conversations""")
 def skeleton(spark, folder):
     c = table(spark, folder, "conversations")
     frame = F.regexp_replace(F.regexp_replace(X.squeeze_space(F.lower(X.mask_math(X.nfkc(F.col("text"))))), SHORT_WORD, X.SLOT), f"{X.SPACE}+", "")
@@ -142,23 +153,17 @@ LATIN_TEMPLATE = {"sample": 8, "reviewed_sample": 8, "ratio": 0.005, "characters
                   "short_characters": 7, "short_hiragana": 3, "short_slots": 2, "short_punctuation": 2, "short_matches": 2, "short_ratio": 0.004}
 
 
-@query("a12_template_repeats", r"""WITH n AS (SELECT doc_id, source, nfc_normalize(text) AS t FROM documents WHERE NOT regexp_matches(text, '[$\\_]')),
-  f AS (SELECT doc_id, source, t, regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(lower(t), '\s+', ' ', 'g')), '[a-zà-ÿ]{4,}', '◇', 'g'), '◇+', '◇', 'g'), '\s+', '', 'g') AS s FROM n),
-  m AS (SELECT *, length(s) AS size, len(regexp_extract_all(s, '\p{Latin}')) AS letters, len(regexp_extract_all(s, '[.,;!?:]')) AS stops, len(regexp_extract_all(s, '◇')) AS slots FROM f),
+@query("a12_template_repeats", rf"""WITH n AS (SELECT doc_id, source, nfc_normalize(text) AS t FROM documents),
+  f AS (SELECT doc_id, source, t, regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(lower({mask_sql('t')}), '\s+', ' ', 'g')), '[a-zà-ÿ]{{4,}}', '◇', 'g'), '◇+', '◇', 'g'), '\s+', '', 'g') AS s FROM n),
+  m AS (SELECT *, length(s) AS size, len(regexp_extract_all(s, '\p{{Latin}}')) AS letters, len(regexp_extract_all(s, '[.,;!?:]')) AS stops, len(regexp_extract_all(s, '◇')) AS slots FROM f),
   j AS (SELECT *, size >= 16 AND letters >= 8 AND stops >= 2 AND slots >= 3 AS l, size >= 7 AND letters >= 3 AND stops >= 2 AND slots >= 2 AS h FROM m),
-  g0 AS (SELECT doc_id, source, CASE WHEN contains(t, 'the the') THEN 'marker|the the' WHEN contains(t, ' of ') AND (l OR h) THEN 'marker-skeleton| of |' || regexp_replace(s, '\p{N}+([.,]\p{N}+)?', '#', 'g') WHEN NOT contains(t, ' of ') AND (l OR h) THEN s END AS signature,
+  g0 AS (SELECT doc_id, source, CASE WHEN contains(t, 'the the') THEN 'marker|the the' WHEN contains(t, ' of ') AND (l OR h) THEN 'marker-skeleton| of |' || regexp_replace(s, '\p{{N}}+([.,]\p{{N}}+)?', '#', 'g') WHEN NOT contains(t, ' of ') AND (l OR h) THEN s END AS signature,
     CASE WHEN contains(t, 'the the') THEN true WHEN contains(t, ' of ') THEN false ELSE l END AS is_long FROM j),
   z AS (SELECT source, count(*) AS papers FROM n GROUP BY 1),
   g AS (SELECT source, signature, count(*) AS matches, min(doc_id) AS first_position, bool_or(is_long) AS is_long FROM g0 WHERE signature IS NOT NULL GROUP BY 1, 2)
   SELECT source, sha256(signature) AS signature, matches, papers, first_position, is_long FROM g JOIN z USING (source)
   WHERE papers >= 8 AND CASE WHEN is_long THEN matches / papers::DOUBLE > 0.005 ELSE matches >= 2 AND matches / papers::DOUBLE > 0.004 END""")
 def template_repeats(spark, folder):
-    return _template_repeats(table(spark, folder, "documents").where(~F.col("text").rlike("[$\\\\_]")))
-
-
-@query("a12_template_repeats_whole")
-def template_repeats_whole(spark, folder):
-    """Texts with formulas, commands and snake_case names as well; SQL lacks the look-around that masks them."""
     return _template_repeats(table(spark, folder, "documents"))
 
 
@@ -237,8 +242,20 @@ KEYS = {"position": "doc_id"}
 TEXT = F.col
 
 
-def lint(spark, folder, *rules):
-    return issue_rows(L.lint_table(table(spark, folder, "documents"), "text", rules, KEYS), "position", "fragment")
+def lint(spark, folder, *rules, documents=None):
+    return issue_rows(L.lint_table(table(spark, folder, "documents") if documents is None else documents, "text", rules, KEYS), "position", "fragment")
+
+
+#: What every sixteenth document ends with, by the remainder of its id; the table itself has next to none of it.
+PLANTED = (
+    ' See "alpha" and (beta), not "the".', " with two  spaces , and so on", " for a total : 95 / 100", " AKIA" + "Q" * 16, " sk-" + "q" * 20, " ghp_" + "q" * 20, " -----BEGIN RSA PRIVATE KEY-----",
+    " Authorization: Bearer " + "q" * 20, " api_key = '" + "q" * 16, " https://me:word@host/", " AKIA" + "q" * 16, " sk-short", " password: changeme-or-do-not", " the key of a token")
+PLANTED_SQL = "(SELECT doc_id, text || CASE doc_id % 16 " + " ".join(f"WHEN {i} THEN '{p.replace(chr(39), chr(39) * 2)}'" for i, p in enumerate(PLANTED)) + " ELSE '' END AS text FROM documents)"
+
+
+def planted(spark, folder):
+    parts = F.get(F.array(*[F.lit(p) for p in PLANTED]), (F.col("doc_id") % 16).cast("int"))
+    return table(spark, folder, "documents").withColumn("text", F.concat("text", F.coalesce(parts, F.lit(""))))
 
 
 @query("q1_min_script_chars", r"SELECT doc_id AS position, len(regexp_extract_all(text, '\p{Latin}'))::VARCHAR AS fragment FROM documents WHERE len(regexp_extract_all(text, '\p{Latin}')) < 400")
@@ -251,14 +268,14 @@ def term_list(spark, folder):
     return lint(spark, folder, L.pattern_rule("text", "terms", TEXT("text"), "(?i)\\b(?:token|password|license|copyright)\\b", "must not use the term"))
 
 
-@query("q3_allowed_tokens", r"""SELECT doc_id AS position, list_filter(regexp_extract_all(text, '\(([a-z]{2,})\)|"([a-z]{3,})"'), lambda x: x NOT IN ('"the"', '"and"'))[1] AS fragment FROM documents WHERE len(list_filter(regexp_extract_all(text, '\(([a-z]{2,})\)|"([a-z]{3,})"'), lambda x: x NOT IN ('"the"', '"and"'))) > 0""")
+@query("q3_allowed_tokens", r"""SELECT doc_id AS position, list_filter(regexp_extract_all(text, '\(([a-z]{2,})\)|"([a-z]{3,})"'), lambda x: x NOT IN ('"the"', '"and"'))[1] AS fragment FROM %PLANTED% WHERE len(list_filter(regexp_extract_all(text, '\(([a-z]{2,})\)|"([a-z]{3,})"'), lambda x: x NOT IN ('"the"', '"and"'))) > 0""".replace("%PLANTED%", PLANTED_SQL))
 def allowed_tokens(spark, folder):
-    return lint(spark, folder, L.allowed_rule("text", "tokens", TEXT("text"), "(\\([a-z]{2,}\\)|\"[a-z]{3,}\")", ('"the"', '"and"'), "must not quote the token"))
+    return lint(spark, folder, L.allowed_rule("text", "tokens", TEXT("text"), "(\\([a-z]{2,}\\)|\"[a-z]{3,}\")", ('"the"', '"and"'), "must not quote the token"), documents=planted(spark, folder))
 
 
-@query("q4_boundary_space", r"SELECT doc_id AS position, regexp_extract(text, '[a-z]  +[a-z]| [,.;]') AS fragment FROM documents WHERE regexp_matches(text, '[a-z]  +[a-z]| [,.;]')")
+@query("q4_boundary_space", r"SELECT doc_id AS position, regexp_extract(text, '[a-z]  +[a-z]| [,.;]') AS fragment FROM %PLANTED% WHERE regexp_matches(text, '[a-z]  +[a-z]| [,.;]')".replace("%PLANTED%", PLANTED_SQL))
 def boundary_space(spark, folder):
-    return lint(spark, folder, L.pattern_rule("text", "space", TEXT("text"), "[a-z]  +[a-z]| [,.;]", "must not insert spaces"))
+    return lint(spark, folder, L.pattern_rule("text", "space", TEXT("text"), "[a-z]  +[a-z]| [,.;]", "must not insert spaces"), documents=planted(spark, folder))
 
 
 PHRASES = ("that the", "of the", "der die", "que la")
@@ -274,9 +291,9 @@ def clause_end(spark, folder):
     return lint(spark, folder, L.pattern_rule("text", "clause", TEXT("text"), "\\b(?:the|of|and|to)[.;!?]", "must complete the clause"))
 
 
-@query("q8_no_recap", r"SELECT doc_id AS position, regexp_extract(text, '(?i)total\s*:?\s*\d{1,3}\s*/\s*100') AS fragment FROM documents WHERE regexp_matches(text, '(?i)total\s*:?\s*\d{1,3}\s*/\s*100')")
+@query("q8_no_recap", r"SELECT doc_id AS position, regexp_extract(text, '(?i)total\s*:?\s*\d{1,3}\s*/\s*100') AS fragment FROM %PLANTED% WHERE regexp_matches(text, '(?i)total\s*:?\s*\d{1,3}\s*/\s*100')".replace("%PLANTED%", PLANTED_SQL))
 def no_recap(spark, folder):
-    return lint(spark, folder, L.pattern_rule("text", "recap", TEXT("text"), "(?i)total\\s*:?\\s*\\d{1,3}\\s*/\\s*100", "must not repeat the total"))
+    return lint(spark, folder, L.pattern_rule("text", "recap", TEXT("text"), "(?i)total\\s*:?\\s*\\d{1,3}\\s*/\\s*100", "must not repeat the total"), documents=planted(spark, folder))
 
 
 @query("q9_generic_phrases", f"SELECT doc_id AS position, CASE WHEN contains({FOLDED}, 'all rights reserved') THEN 'all rights reserved' ELSE 'the the' END AS fragment FROM documents WHERE contains({FOLDED}, 'all rights reserved') OR contains({FOLDED}, 'the the')")
@@ -306,9 +323,9 @@ def secrets(spark, folder):
     return scan_secrets(table(spark, folder, "documents"), "text", ["doc_id"], SECRETS)
 
 
-@query("a20_default_rules", r"""SELECT doc_id, 'url credentials' AS rule FROM documents WHERE regexp_matches(text, '(?i)https?://[^\s/:]+:[^\s/@]+@') UNION ALL SELECT doc_id, 'access key' FROM documents WHERE regexp_matches(text, '\bAKIA[0-9A-Z]{16}\b')
-  UNION ALL SELECT doc_id, 'private key' FROM documents WHERE regexp_matches(text, '-----BEGIN (RSA |EC |OPENSSH )?PRIVATE KEY-----') UNION ALL SELECT doc_id, 'sk token' FROM documents WHERE regexp_matches(text, '\bsk-[A-Za-z0-9_-]{20,}\b')
-  UNION ALL SELECT doc_id, 'gh token' FROM documents WHERE regexp_matches(text, '\bgh[pousr]_[A-Za-z0-9]{20,}\b') UNION ALL SELECT doc_id, 'bearer' FROM documents WHERE regexp_matches(text, '(?i)\bAuthorization\s*:\s*Bearer\s+[A-Za-z0-9._~+/-]{20,}')
-  UNION ALL SELECT doc_id, 'assignment' FROM documents WHERE regexp_matches(text, '(?i)\b(api[_-]?key|access[_-]?token|client[_-]?secret|password)\s*[=:]\s*["'']?[A-Za-z0-9._~+/-]{16,}')""")
+@query("a20_default_rules", r"""WITH planted AS %PLANTED% SELECT doc_id, 'url credentials' AS rule FROM planted WHERE regexp_matches(text, '(?i)https?://[^\s/:]+:[^\s/@]+@') UNION ALL SELECT doc_id, 'access key' FROM planted WHERE regexp_matches(text, '\bAKIA[0-9A-Z]{16}\b')
+  UNION ALL SELECT doc_id, 'private key' FROM planted WHERE regexp_matches(text, '-----BEGIN (RSA |EC |OPENSSH )?PRIVATE KEY-----') UNION ALL SELECT doc_id, 'sk token' FROM planted WHERE regexp_matches(text, '\bsk-[A-Za-z0-9_-]{20,}\b')
+  UNION ALL SELECT doc_id, 'gh token' FROM planted WHERE regexp_matches(text, '\bgh[pousr]_[A-Za-z0-9]{20,}\b') UNION ALL SELECT doc_id, 'bearer' FROM planted WHERE regexp_matches(text, '(?i)\bAuthorization\s*:\s*Bearer\s+[A-Za-z0-9._~+/-]{20,}')
+  UNION ALL SELECT doc_id, 'assignment' FROM planted WHERE regexp_matches(text, '(?i)\b(api[_-]?key|access[_-]?token|client[_-]?secret|password)\s*[=:]\s*["'']?[A-Za-z0-9._~+/-]{16,}') AND NOT regexp_matches(text, '(?i)password: changeme')""".replace("%PLANTED%", PLANTED_SQL))
 def default_secret_rules(spark, folder):
-    return scan_secrets(table(spark, folder, "documents"), "text", ["doc_id"])
+    return scan_secrets(planted(spark, folder), "text", ["doc_id"])

@@ -56,5 +56,5 @@ def test_templates_count_texts_with_math(spark, tmp_path):
     signed = {d: re.sub(r"\s+", "", re.sub("◇+", "◇", masked_frame(t))) for d, _, t in docs[:12]}
     counts = Counter(signed.values())
     want = {(hashlib.sha256(s.encode()).hexdigest(), n, 16, min(d for d in signed if signed[d] == s)) for s, n in counts.items()}
-    got = entry.queries()["a12_template_repeats_whole"](spark, str(tmp_path)).collect()
+    got = entry.queries()["a12_template_repeats"](spark, str(tmp_path)).collect()
     assert {(r.signature, r.matches, r.papers, r.first_position) for r in got} == want and max(counts.values()) > 1
