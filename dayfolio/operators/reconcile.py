@@ -16,7 +16,7 @@ from dayfolio import config, schemas
 from dayfolio.functions import records as R, text as X
 from dayfolio.operators.checks import PAPER_ISSUE_KEYS
 from dayfolio.operators.issues import Rule, as_issue, find_issues, union_all
-from dayfolio.operators.skew import BROADCAST_BYTES, attach_row, is_small
+from dayfolio.operators.skew import BROADCAST_BYTES, attach_row, is_small, salted_join
 from dayfolio.session import cut_lineage
 
 PAPER_KEYS = ("report_date", "slug", "arxivId")
@@ -309,7 +309,7 @@ def walk_chain(edges: DataFrame, starts: DataFrame, keys: Sequence[str], anchor:
             .join(reached, [*keys, "node"])
             .join(reached.select(*keys, F.col("node").alias("_t"), F.col("step").alias("_ts")), [*keys, "_t"])
             .where("_ts <= step").select(*keys).distinct().withColumn("_cycle", F.lit(True)))
-    return reached.join(back, list(keys), "left").withColumn("cycle", F.coalesce("_cycle", F.lit(False))).drop("_cycle") if keys else \
+    return salted_join(reached, back, list(keys)).withColumn("cycle", F.coalesce("_cycle", F.lit(False))).drop("_cycle") if keys else \
         reached.withColumn("cycle", F.lit(not back.isEmpty()))
 
 
@@ -332,8 +332,8 @@ def verify_plan(plan: DataFrame, queue: DataFrame, columns: Sequence[str], ancho
     compared = compare_records(plan, queue, [anchor], columns)
     bounds = plan.agg(F.min(anchor).alias("_head"), F.max("target").alias("_end"))
     tail = queue.join(plan.select(anchor), [anchor], "left_anti")
-    starts = bounds.select(F.lit(0).alias("_k"), F.col("_end").alias(anchor))
-    chain = walk_chain(tail.withColumn("_k", F.lit(0)), starts, ["_k"], anchor).select(F.col("node").alias(anchor), F.lit(True).alias("_ext"))
+    starts = bounds.select(F.col("_end").alias(anchor))
+    chain = walk_chain(tail, starts, [], anchor).select(F.col("node").alias(anchor), F.lit(True).alias("_ext"))
     marked = attach_row(compared.join(chain, [anchor], "left"), bounds)
     state = (F.when(F.col("state") != "right_only", F.col("state")).when(F.coalesce("_ext", F.lit(False)), "extension")
              .when(F.col(anchor) < F.col("_head"), "earlier").otherwise("intruder"))

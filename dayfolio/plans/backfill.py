@@ -22,6 +22,7 @@ from dayfolio.functions import records as R, times
 from dayfolio.operators.issues import Rule, as_issue, find_issues, union_all
 from dayfolio.operators.ordering import with_position, with_previous
 from dayfolio.operators.reconcile import walk_chain
+from dayfolio.operators.skew import salted_join
 
 MODES = ("normal", "checkpoint_recovery", "aged_checkpoint_recovery", "aged_window_continuation")
 NOTHING, SELECTED = "nothing", "selected"
@@ -360,7 +361,7 @@ def continuation_queue(pending: DataFrame, authorisations: DataFrame, latest: Da
              .join(authorisations.select(*keys, F.col("target").alias("date"), F.col("digest").alias("chain_digest")), [*keys, "date"]))
     ends = chain.groupBy(*keys).agg(F.max_by("node", "step").alias("end"), F.max("step").alias("length"), F.max("cycle").alias("cycle"))
     listed = ends.join(windows.select(*keys, F.col("date").alias("end"), F.lit(True).alias("end_listed")).distinct(), [*keys, "end"], "left")
-    rows = steps.drop("cycle").join(pending, [*keys, "date"], "full_outer").join(listed, list(keys), "left")
+    rows = salted_join(steps.drop("cycle").join(pending, [*keys, "date"], "full_outer"), listed, list(keys))
     extends = (F.col("length") == 0) | F.coalesce("end_listed", F.lit(False))
     late = F.col("date") > F.col("end")
     problem = (F.when(F.col("cycle"), "the chain has a cycle")
@@ -370,7 +371,7 @@ def continuation_queue(pending: DataFrame, authorisations: DataFrame, latest: Da
     ordered = with_previous(with_position(kept, keys, ["date"], "_p"), keys, ["date"], {"_before": "date"})
     position = (F.col("_p") - 1).cast("int")
     later = F.when((F.lit(mode) == "aged_checkpoint_recovery") & (position == 1), "aged_window_continuation").otherwise("normal")
-    return ordered.join(latest, list(keys)).select(
+    return salted_join(ordered, latest, list(keys), "inner").select(
         *keys, position.alias("position"), F.when(position == 0, mode).otherwise(later).alias("mode"),
         F.coalesce("_before", "latest_date").alias("anchor"), F.col("date").alias("target"),
         F.coalesce("chain_digest", "digest").alias("digest"), F.col("step").isNotNull().alias("authorised"), "problem")

@@ -107,8 +107,11 @@ STORED_BASE = f"""{OBSERVED}, c AS (SELECT key, min(date) FILTER (complete) AS t
     EXISTS (SELECT 1 FROM snap s WHERE s.key = q.key AND s.date = q.latest) AS live, (SELECT count(*) FROM snap s WHERE s.key = q.key AND s.date >= q.target AND s.complete AND s.new_count > 0) AS eligible FROM q)"""
 
 
-@query("b5_select_recovery", f"""WITH {STORED_BASE} SELECT key, CASE WHEN target IS NULL OR key % 11 = 0 THEN 'head mismatch' WHEN between_dates > 0 OR (NOT live AND following <> target) THEN 'target would skip a date'
-    WHEN key % 7 = 0 THEN 'target changed' WHEN eligible = 0 THEN 'no papers' ELSE 'selected' END AS status FROM w""")
+RECOVERY_STATUS = """CASE WHEN target IS NULL OR key % 11 = 0 THEN 'head mismatch' WHEN between_dates > 0 OR (NOT live AND following <> target) THEN 'target would skip a date'
+    WHEN key % 7 = 0 THEN 'target changed' WHEN eligible = 0 THEN 'no papers' ELSE 'selected' END"""
+
+
+@query("b5_select_recovery", f"WITH {STORED_BASE} SELECT key, {RECOVERY_STATUS} AS status FROM w")
 def select_recovery(spark, folder):
     return stored(spark, folder).select("key", B.select_recovery()["status"].alias("status"))
 
@@ -143,45 +146,61 @@ def select_aged(spark, folder):
     return aged(spark, folder).select("key", B.select_aged()["status"].alias("status"))
 
 
-@query("b7_select_aged_next", f"""WITH {AGED_BASE}, t AS (SELECT key, min(date) FILTER (new_count > 0) AS first FROM snap GROUP BY 1), z AS (SELECT q.key, target, oldest, first FROM q JOIN t USING (key)),
-  s AS (SELECT key, first, CASE WHEN key % 11 = 0 THEN 'head mismatch' WHEN {following_sql('target')} <> oldest THEN 'window does not follow the anchor' WHEN first IS NULL THEN 'nothing' ELSE 'selected' END AS status FROM z)
-  SELECT key, status, CASE WHEN status = 'selected' THEN first::VARCHAR END AS target FROM s""")
+AGED_NEXT = f"""{AGED_BASE}, t AS (SELECT key, min(date) FILTER (new_count > 0) AS first FROM snap GROUP BY 1), z AS (SELECT q.key, target, oldest, newest, first FROM q JOIN t USING (key)),
+  s AS (SELECT key, first, target, newest, CASE WHEN key % 11 = 0 THEN 'head mismatch' WHEN {following_sql('target')} <> oldest THEN 'window does not follow the anchor' WHEN first IS NULL THEN 'nothing' ELSE 'selected' END AS status FROM z)"""
+
+
+@query("b7_select_aged_next", f"WITH {AGED_NEXT} SELECT key, status, CASE WHEN status = 'selected' THEN first::VARCHAR END AS target FROM s")
 def select_aged_next(spark, folder):
     r = aged(spark, folder).withColumn("latest_date", F.col("stored.date")).withColumn("s", B.select_aged_next())
     return r.select("key", F.col("s.status").alias("status"), F.col("s.target_date").cast("string").alias("target"))
 
 
 def evidenced(spark, folder):
-    """Selections of every mode with their evidence."""
+    """Selections of all four modes with their evidence."""
     normal = requests(spark, folder).withColumn("s", B.select_backfill())
     recovery = stored(spark, folder).withColumn("s", B.select_recovery())
     old = aged(spark, folder).withColumn("s", B.select_aged())
+    following = aged(spark, folder).withColumn("latest_date", F.col("stored.date")).withColumn("s", B.select_aged_next())
     pick = lambda df: df.withColumn("evidence", B.selection_evidence(F.col("s"))).where("evidence is not null").select(
         "key", F.col("s.mode").alias("mode"), F.col("s.target_date").alias("target"), "latest_date", "window", "head", "today", "s", "evidence")
-    return pick(normal).unionByName(pick(recovery)).unionByName(pick(old))
+    return pick(normal).unionByName(pick(recovery)).unionByName(pick(old)).unionByName(pick(following))
+
+
+EVIDENCED = f"""ev AS (
+  (WITH {SELECT_BASE} SELECT key, 'normal' AS mode, eligible[1] AS target, latest AS anchor, newest AS head, true AS live FROM sel WHERE status = 'selected')
+  UNION ALL (WITH {STORED_BASE}, z AS (SELECT *, {RECOVERY_STATUS} AS status FROM w) SELECT key, 'checkpoint_recovery', target, latest, newest, true FROM z WHERE status = 'selected')
+  UNION ALL (WITH {AGED_BASE}, z AS (SELECT *, {AGED_STATUS} AS status FROM q) SELECT key, 'aged_checkpoint_recovery', target, latest, newest, false FROM z WHERE status = 'selected')
+  UNION ALL (WITH {AGED_NEXT} SELECT key, 'aged_window_continuation', first, target, newest, true FROM s WHERE status = 'selected'))"""
 
 
-@query("b9_selection_evidence", f"""WITH {AGED_BASE}, s AS (SELECT key, target, latest, newest, {AGED_STATUS} AS status FROM q) SELECT key, 'aged_checkpoint_recovery' AS mode, target::VARCHAR AS target, latest::VARCHAR AS anchor, newest::VARCHAR AS head FROM s WHERE status = 'selected'""")
+@query("b9_selection_evidence", f"WITH {EVIDENCED} SELECT key, mode, target::VARCHAR AS target, anchor::VARCHAR AS anchor, head::VARCHAR AS head FROM ev")
 def selection_evidence(spark, folder):
-    found = evidenced(spark, folder).where("mode = 'aged_checkpoint_recovery'")
     e = F.col("evidence")
-    return found.select("key", "mode", e["targetDate"].cast("string").alias("target"), e["expectedLatestDate"].cast("string").alias("anchor"), e["officialHeadDate"].cast("string").alias("head"))
+    return evidenced(spark, folder).select("key", "mode", e["targetDate"].cast("string").alias("target"), e["expectedLatestDate"].cast("string").alias("anchor"), e["officialHeadDate"].cast("string").alias("head"))
 
 
-@query("p24_check_selection_evidence", f"""WITH {AGED_BASE}, s AS (SELECT key, {AGED_STATUS} AS status FROM q) SELECT key AS position, 'evidence.schemaVersion' AS path FROM s WHERE status = 'selected' AND key % 2 = 0""")
+@query("p24_check_selection_evidence", f"""WITH {EVIDENCED} SELECT key AS position, 'evidence.schemaVersion' AS path FROM ev WHERE key % 2 = 0
+  UNION ALL SELECT key, 'evidence.officialHeadDate' FROM ev WHERE key % 5 = 2 UNION ALL SELECT key, 'evidence' FROM ev WHERE key % 7 = 3
+  UNION ALL SELECT key, 'evidence' FROM ev WHERE key % 9 = 4 AND mode IN ('normal', 'checkpoint_recovery')""")
 def check_selection_evidence(spark, folder):
-    e = evidenced(spark, folder).where("mode = 'aged_checkpoint_recovery'")
-    broken = e.withColumn("evidence", F.col("evidence").withField("schemaVersion", F.when(F.col("key") % 2 == 0, "0.9").otherwise("1.0")))
-    return issue_rows(B.check_selection_evidence(broken, keys={"position": "key"}), "position", "path")
+    """Evidence of all modes, with another version, another head, a broken digest or a target that is not listed."""
+    k, e = F.col("key"), F.col("evidence")
+    broken = e.withField("schemaVersion", F.when(k % 2 == 0, "0.9").otherwise("1.0")).withField(
+        "officialHeadDate", F.when(k % 5 == 2, F.date_add(e["officialHeadDate"], 1)).otherwise(e["officialHeadDate"])).withField(
+        "officialHeadFingerprint", F.when(k % 7 == 3, "x").otherwise(e["officialHeadFingerprint"])).withField(
+        "completeSnapshotDates", F.when((k % 9 == 4) & e["selectionMode"].isin("normal", "checkpoint_recovery"), F.array_remove(e["completeSnapshotDates"], e["targetDate"])).otherwise(e["completeSnapshotDates"]))
+    found = B.check_selection_evidence(evidenced(spark, folder).withColumn("evidence", broken), keys={"position": "key"})
+    return issue_rows(found, "position", "path")
 
 
-@query("b8_select_authorized", f"""WITH {AGED_BASE}, s AS (SELECT *, {AGED_STATUS} AS status FROM q) SELECT key, CASE WHEN key % 4 = 1 THEN 'head changed' ELSE 'selected' END AS status, CASE WHEN key % 4 <> 1 THEN false END AS still_live FROM s WHERE status = 'selected'""")
+@query("b8_select_authorized", f"WITH {EVIDENCED} SELECT key, mode, CASE WHEN key % 4 = 1 THEN 'head changed' ELSE 'selected' END AS status, CASE WHEN key % 4 <> 1 THEN live END AS still_live FROM ev")
 def select_authorized(spark, folder):
-    e = evidenced(spark, folder).where("mode = 'aged_checkpoint_recovery'")
-    r = e.withColumn("stored", F.struct(F.col("target").alias("date"), F.lit(1).cast("bigint").alias("new_count"), F.col("s.target_digest").alias("digest")))
+    """Authorisations of all modes, some of them given under another head."""
+    r = evidenced(spark, folder).withColumn("stored", F.struct(F.col("target").alias("date"), F.lit(1).cast("bigint").alias("new_count"), F.col("s.target_digest").alias("digest")))
     moved = r.withColumn("head", F.col("head").withField("digest", F.when(F.col("key") % 4 == 1, "moved").otherwise(F.col("head.digest"))))
     found = moved.withColumn("a", B.select_authorized())
-    return found.select("key", F.col("a.status").alias("status"), F.col("a.still_live").alias("still_live"))
+    return found.select("key", "mode", F.col("a.status").alias("status"), F.col("a.still_live").alias("still_live"))
 
 
 def valid_id(key: str):
