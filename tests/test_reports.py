@@ -151,12 +151,12 @@ def test_edition_and_its_audits(spark):
     edition = E.build_edition(r, registry(spark))
     assert edition.issues.isEmpty()
     head = edition.headers.first()
-    assert (head.total, head.full_text, head.badged, head.generated_at) == (33, 30, 2, f"{X.DATE}T12:00:02+09:00")
+    assert (head.total, head.full_text, head.badged, head.generated_at) == (39, 30, 2, f"{X.DATE}T06:42:10+09:00")
     dates = E.edition_dates(r.select(F.col("reportDate").alias("date")).limit(0), edition.headers)
     docs, large = E.edition_documents(edition, dates, "never", "{total}/{full_text}/{badged}", "scheduled")
     docs = cut_lineage(docs)
     one = docs.first()
-    assert large.isEmpty() and one.statusMessage == "33/30/2" and one.availableDates == [X.DATE]
+    assert large.isEmpty() and one.statusMessage == "39/30/2" and one.availableDates == [X.DATE]
     assert [len(one.categories[s].topPapers) for s in config.CATEGORIES] == [10, 10, 10]
     assert Y.audit_editions(docs, X.RUBRIC).isEmpty()
     assert Y.verify_edition(docs, r).isEmpty()

@@ -47,22 +47,20 @@ def paper(slug: str, i: int) -> dict:
     return record
 
 
-def report(slug: str, count: int = 11, date: str = DATE) -> dict:
-    return {
-        "schemaVersion": "1.4", "reportDate": date, "evaluationRun": dict(RUN), "slug": slug, "label": slug, "totalNew": count,
-        "crosslistsExcluded": 2, "evaluatedCount": count, "fullTextEvaluatedCount": min(10, count),
-        "papers": [paper(slug, i) for i in range(count)],
-        "audit": {
-            "listingUrl": f"https://arxiv.org/list/{slug}/new", "announcementDate": date, "selectionRule": "Primary only.",
-            "sourceCounts": {"newPrimary": count, "crosslistsExcluded": 2, "titleAuthorAbstractEvaluated": count},
-            "evaluationPolicy": "No reputation.", "scoreRubric": f"{RUBRIC}: four axes.", "fullTextPolicy": "Top ten.",
-            "fullTextEvaluatedCount": min(10, count), "authorPolicy": "Not scored.", "rankingTieBreak": "Total, axes, id.",
-            "generatedAtJst": f"{date}T12:00:0{config.CATEGORIES.index(slug)}+09:00",
-        },
-    }
-
-
-def report_set(count: int = 11, date: str = DATE) -> list[dict]:
+def report(slug: str, count: int = 13, date: str = DATE) -> dict:
+    """A category's report, its counts taken from its papers and its texts named after their fields."""
+    place, papers = config.CATEGORIES.index(slug), [paper(slug, i) for i in range(count)]
+    read, excluded = sum(p["fullTextEvaluated"] for p in papers), 7 - place
+    agreed = {name: f"{RUBRIC}, {name} as agreed" for name in schemas.AUDIT_TEXT_KEYS}
+    counted = dict(zip(schemas.COUNT_KEYS, (count, excluded, count), strict=True))
+    seen = {"listingUrl": f"https://arxiv.org/list/{slug}/new", "announcementDate": date, "sourceCounts": counted,
+            "fullTextEvaluatedCount": read, "generatedAtJst": f"{date}T06:4{place}:10+09:00"}
+    totals = {"totalNew": count, "evaluatedCount": count, "crosslistsExcluded": excluded, "fullTextEvaluatedCount": read}
+    return {"schemaVersion": config.CURRENT_SCHEMA, "reportDate": date, "slug": slug, "label": f"{slug} today", **totals,
+            "evaluationRun": dict(RUN), "audit": agreed | seen, "papers": papers}
+
+
+def report_set(count: int = 13, date: str = DATE) -> list[dict]:
     return [report(slug, count, date) for slug in config.CATEGORIES]
 
 
