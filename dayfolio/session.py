@@ -18,6 +18,7 @@ def build_session(cpus: int | str = "*", name: str = "dayfolio", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )
@@ -46,7 +47,9 @@ def shared_folder(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and continue from there.
 
-    The copy outlives executors, unlike a local checkpoint or a cache.
+    The copy outlives executors, unlike a local checkpoint or a cache. With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` it goes when nothing
+    refers to it any more.
     """
     spark = df.sparkSession
     context = spark.sparkContext
