@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfolio.llm.common import staged, text_of
+from dayfolio.llm.common import small_enough, staged, text_of
 
 #: A term: a run of ASCII letters, digits and any other than ASCII characters.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -261,12 +261,6 @@ def _search_shard(table: pa.Table, size: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["item", "doc", "score"])
 
 
-def _small(df: DataFrame, size: Column, most: int) -> DataFrame:
-    """Marked for broadcast if its bytes, which are summed first, are few; else joined as any table."""
-    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    return F.broadcast(df) if total <= most else df
-
-
 def search_index(index: DataFrame, n_docs: int, items: DataFrame, size: int = 10, id_col: str = "item_id", text_col: str = "text",
                  doc_col: str = "doc_id", items_at_once: int = ITEMS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(item, rank, doc, score): the ``size`` best documents of each item.
@@ -288,12 +282,12 @@ def search_index(index: DataFrame, n_docs: int, items: DataFrame, size: int = 10
     block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block")
     wanted = staged(queries.mapInArrow(cut, "item string, term string").groupBy(block, "term").agg(F.collect_list("item").alias("items")))[0]
     names = wanted.select("term").distinct()
-    held = index.select("term", "df").join(_small(names, F.octet_length("term") + 16, broadcast_bytes), "term", "left_semi")
+    held = index.select("term", "df").join(small_enough(names, F.octet_length("term") + 16, broadcast_bytes), "term", "left_semi")
     weight = F.floor(1000 * F.log(F.lit(2.0 * n_docs + 2) / (2 * F.sum("df") + 1))).cast("long")
     weights = held.groupBy("term").agg(weight.alias("w"))
     weighted = staged(wanted.join(weights, "term").filter("w > 0"))[0]
     lists = index.filter("term is not null").join(
-        _small(weighted, F.octet_length("term") + 16 + F.aggregate("items", F.lit(0), lambda a, i: a + F.octet_length(i) + 16), broadcast_bytes), "term")
+        small_enough(weighted, F.octet_length("term") + 16 + F.aggregate("items", F.lit(0), lambda a, i: a + F.octet_length(i) + 16), broadcast_bytes), "term")
     columns = ["shard", "block", "w", "df", "best", "lasts", "tops", "offsets", "postings", "items", "docs", "norms"]
     heads = index.filter("docs is not null").select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(None).cast("long").alias("w"), F.lit(None).cast("array<string>").alias("items"))

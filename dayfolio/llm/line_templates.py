@@ -80,8 +80,10 @@ def variants(docs: DataFrame, fulls: DataFrame, depth: int, percent: int, min_wo
     found = pairs.join(text, ["leaf", "full"]).join(other, ["leaf", "_full"]).filter(_alike(F.col("line"), F.col("_line"), F.col("n"), percent))
     found, _ = staged(found.select("leaf", "full").distinct())
     large = keys.filter(F.col("size") > hubs)
-    left = large.join(found, ["leaf", "full"], "left_anti").join(text, ["leaf", "full"])
-    rest = large.join(text, ["leaf", "full"]).select(F.col("key").alias("_key"), F.col("lo").alias("_lo"), F.col("line").alias("_line"))
+    left, _ = staged(large.join(found, ["leaf", "full"], "left_anti"))
+    rest = large.join(left.select("key").distinct(), "key", "left_semi").join(text, ["leaf", "full"])  # lines go with their text only where some line is left
+    rest = rest.select(F.col("key").alias("_key"), F.col("lo").alias("_lo"), F.col("line").alias("_line"))
+    left = left.join(text, ["leaf", "full"])
     alike = (F.col("key") == F.col("_key")) & (F.col("_lo") < F.col("lo")) & _alike(F.col("line"), F.col("_line"), F.col("n"), percent)
     return found.unionByName(left.join(rest, alike, "left_semi").select("leaf", "full")).distinct()
 
