@@ -25,6 +25,23 @@ def rank_papers(df: DataFrame, group: Sequence[str] = GROUP, order: Sequence[Col
     return with_position(df, group, order or paper_order(), name, **options)
 
 
+def placed(paper: Column, index: Column) -> Column:
+    """A paper of a report's array behind its place in the canonical order, so that sorted entries are ranked papers."""
+    order = [-paper["totalScore"], *[-paper["scores"][k] for k in config.TIE_BREAK_KEYS], paper["arxivId"]]
+    return F.struct(*[c.alias(f"k{n}") for n, c in enumerate(order)], index.alias("index"), paper.alias("paper"))
+
+
+def ranked_reports(reports: DataFrame, name: str = "rank") -> DataFrame:
+    """``explode_papers`` with the papers' canonical ranks in place of the stored ones.
+
+    A report is one stored document, so its papers are ordered where they lie:
+    nothing moves. Rows of many documents are ranked by ``rank_papers``.
+    """
+    entries = F.array_sort(F.transform("papers", placed))
+    rows = reports.select(F.col("reportDate").alias("report_date"), "slug", F.posexplode(entries).alias("_at", "_k"))
+    return rows.select("report_date", "slug", F.col("_k.index").alias("index"), "_k.paper.*", "_at").withColumn(name, F.col("_at") + 1).drop("_at")
+
+
 def order_papers(df: DataFrame, group: Sequence[str] = GROUP, order: Sequence[Column] | None = None) -> DataFrame:
     """Total order over all groups: a range-partitioned sort."""
     return df.orderBy(*group, *(order or paper_order()))

@@ -206,3 +206,21 @@ def test_badges_of_a_paper_listed_twice(spark):
                                   "canonicalName string, aliases array<string>, fieldTags array<string>, distinction string, identityEvidence string, officialUrls array<string>, entry int")
     got = match_authors(papers, known).orderBy("index").collect()
     assert [len(r.eminentAuthors) for r in got] == [1, 1, 0]
+
+
+def test_papers_are_ranked_within_their_report(spark):
+    from dayfolio.operators import ranking
+
+    def shuffle(records):
+        for record in records:
+            for i, p in enumerate(record["papers"]):
+                p["totalScore"] = None if i == 4 else p["totalScore"] // 20 * 20
+                p["scores"]["originality"] = 10 + i * 7 % 5
+            record["papers"] = record["papers"][5:] + record["papers"][:5] + record["papers"][:1]
+
+    table = reports(spark, shuffle)
+    near = ranking.ranked_reports(table)
+    far = ranking.rank_papers(C.explode_papers(table).drop("rank"))
+    columns = ["report_date", "slug", "arxivId", "rank"]
+    assert sorted(map(tuple, near.select(columns).collect())) == sorted(map(tuple, far.select(columns).collect()))
+    assert sorted((r.slug, r.index) for r in near.collect()) == sorted((r.slug, r.index) for r in far.collect())
