@@ -57,11 +57,11 @@ def variants(docs: DataFrame, fulls: DataFrame, depth: int, percent: int, min_wo
     """(leaf, full) of the lines for which an earlier document has another line of the same template.
 
     Only leaves that hold several lines of several documents are looked at; of
-    these the tokens are read again, and compared with those lines of the leaf
-    that share a segment. First with the ``hubs`` earliest ones of the segment:
-    a template's lines are alike, so nearly all of them end here. What is left
-    of larger segments is compared with their other lines inside one join,
-    which stops at the first that is alike.
+    these the tokens are read again. Each line is compared with the leaf's
+    earliest one first: in a leaf with one template that settles all. What is
+    left is compared with those lines of the leaf that share a segment: with
+    the ``hubs`` earliest ones of the segment, then, where a segment has more,
+    with its other lines inside one join, which stops at the first alike.
     """
     wide = fulls.filter((F.col("n") >= min_words) & (F.col("n") > depth))
     families = wide.groupBy("leaf").agg(F.min("full").alias("_a"), F.max("full").alias("_b"), F.min("lo").alias("_lo"), F.max("lo").alias("_hi"))
@@ -69,23 +69,32 @@ def variants(docs: DataFrame, fulls: DataFrame, depth: int, percent: int, min_wo
     asked = wide.join(families, "leaf").select("leaf", "full", F.col("lo").alias("doc"), "lo")
     read = line_rows(docs, depth, id_col, text_col).join(small_enough(asked, F.lit(24)), ["leaf", "full", "doc"])
     members, _ = staged(read.groupBy("leaf", "full").agg(F.first("lo").alias("lo"), F.first("n").alias("n"), F.first("line").alias("line")))
-    keys = members.select("leaf", "full", "lo", F.explode(F.array_distinct(_segments(F.col("line"), F.col("n"), depth, percent))).alias("key"))
-    several = keys.groupBy("key").agg(F.min("lo").alias("_lo"), F.max("lo").alias("_hi"), F.count("*").alias("size")).filter("_lo < _hi").select("key", "size")
+    like = lambda own, other: _alike(F.col(own), F.col(other), F.col("n"), percent)
+
+    earliest = members.groupBy("leaf").agg(F.min(F.struct("lo", "full", "line")).alias("_first"))
+    beside = members.join(earliest, "leaf").filter(F.col("full") != F.col("_first.full"))
+    judged = beside.select("leaf", "full", ((F.col("_first.lo") < F.col("lo")) & like("line", "_first.line")).alias("_found"))
+    judged, _ = staged(judged)
+    open_ = judged.filter(~F.col("_found")).select("leaf", "full")
+    members = members.join(open_.select("leaf").distinct(), "leaf", "left_semi").join(open_.withColumn("_open", F.lit(True)), ["leaf", "full"], "left")
+
+    keys = members.select("leaf", "full", "lo", F.coalesce("_open", F.lit(False)).alias("open"), F.explode(F.array_distinct(_segments(F.col("line"), F.col("n"), depth, percent))).alias("key"))
+    several = keys.groupBy("key").agg(F.min("lo").alias("_lo"), F.max("lo").alias("_hi"), F.count("*").alias("size"), F.max("open").alias("_any")).filter("_lo < _hi and _any").select("key", "size")
     keys, _ = staged(keys.join(several, "key"))
     text = members.select("leaf", "full", "n", "line")
     place = Window.partitionBy("key").orderBy("lo", "full")
     first = keys.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= hubs).select("key", F.col("full").alias("_full"), F.col("lo").alias("_lo"))
-    pairs = keys.join(first, "key").filter("_lo < lo").select("leaf", "full", "_full").distinct()
+    pairs = keys.filter("open").join(first, "key").filter("_lo < lo").select("leaf", "full", "_full").distinct()
     other = text.select("leaf", F.col("full").alias("_full"), F.col("line").alias("_line"))
-    found = pairs.join(text, ["leaf", "full"]).join(other, ["leaf", "_full"]).filter(_alike(F.col("line"), F.col("_line"), F.col("n"), percent))
-    found, _ = staged(found.select("leaf", "full").distinct())
+    found, _ = staged(pairs.join(text, ["leaf", "full"]).join(other, ["leaf", "_full"]).filter(like("line", "_line")).select("leaf", "full").distinct())
+
     large = keys.filter(F.col("size") > hubs)
-    left, _ = staged(large.join(found, ["leaf", "full"], "left_anti"))
+    left, _ = staged(large.filter("open").join(found, ["leaf", "full"], "left_anti"))
     rest = large.join(left.select("key").distinct(), "key", "left_semi").join(text, ["leaf", "full"])  # lines go with their text only where some line is left
     rest = rest.select(F.col("key").alias("_key"), F.col("lo").alias("_lo"), F.col("line").alias("_line"))
-    left = left.join(text, ["leaf", "full"])
-    alike = (F.col("key") == F.col("_key")) & (F.col("_lo") < F.col("lo")) & _alike(F.col("line"), F.col("_line"), F.col("n"), percent)
-    return found.unionByName(left.join(rest, alike, "left_semi").select("leaf", "full")).distinct()
+    alike = (F.col("key") == F.col("_key")) & (F.col("_lo") < F.col("lo")) & like("line", "_line")
+    late = left.join(text, ["leaf", "full"]).join(rest, alike, "left_semi").select("leaf", "full")
+    return judged.filter("_found").select("leaf", "full").unionByName(found).unionByName(late).distinct()
 
 
 def recurring_lines(docs: DataFrame, depth: int = 4, percent: int = 75, min_words: int = 5, short_documents: int = 5, hubs: int = 4,
