@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Names and types of the columns of stored records.
 AXES = "broadImpact {t}, categoryImpact {t}, originality {t}, technicalStrength {t}"
 
 
