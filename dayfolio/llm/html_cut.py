@@ -388,8 +388,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     Each page is cut on its own: a classifier's costs are the capacities to the
     two terminals, neighbours in page order and under one parent are tied by
     smoothness edges, and the blocks on the source side of a minimum cut are the
-    text, in page order, one per line. Null, empty and broken html give the empty
-    text or what can be read. Repeated rows each get a row; an empty table gives
+    text, in page order, one per line. Pages of any length are read whole. Null,
+    empty and broken html give the empty text or what can be read. Repeated rows each get a row; an empty table gives
     an empty result; other columns are ignored.
     """
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

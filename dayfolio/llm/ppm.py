@@ -310,8 +310,9 @@ def score_documents(docs: DataFrame, order: int = 5, batch_bytes: int = 16_000_0
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and
     score (log10). The base is an add-one word model with lower-cased A-Z, one
     end per text; score sums the code lengths of the text's bytes and its end. A
-    null text is empty. Repeated rows are scored and counted each; an empty table
-    gives an empty result; other columns are ignored.
+    null text is empty. Texts of any length count whole: a batch is as long as its
+    longest text at least. Repeated rows are scored and counted each; an empty
+    table gives an empty result; other columns are ignored.
     """
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), is_held_out(id_col).alias("held_out"))
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
