@@ -223,4 +223,4 @@ def test_papers_are_ranked_within_their_report(spark):
     far = ranking.rank_papers(C.explode_papers(table).drop("rank"))
     columns = ["report_date", "slug", "arxivId", "rank"]
     assert sorted(map(tuple, near.select(columns).collect())) == sorted(map(tuple, far.select(columns).collect()))
-    assert sorted((r.slug, r.index) for r in near.collect()) == sorted((r.slug, r.index) for r in far.collect())
+    assert sorted((r["slug"], r["index"]) for r in near.collect()) == sorted((r["slug"], r["index"]) for r in far.collect())
