@@ -112,19 +112,19 @@ def reconcile_reports(reports: DataFrame, listings: DataFrame) -> DataFrame:
     return find_issues(pairs, rules, {"date": "report_date", "slug": "slug"}, "report")
 
 
-def _author_hits(places: dict[tuple[str, str], int]):
-    """For an array of names and a category: the place of each name that is known there, and its entry in the low 32 bits."""
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def hits(names: pd.Series, tags: pd.Series) -> pd.Series:
+def _author_badges(badges: dict[tuple[str, str], dict], label: str):
+    """For an array of names and a category: the badge of each name that is known there, in the names' order."""
+    @F.pandas_udf(T._parse_datatype_string(f"array<{schemas.BADGE}>"))
+    def found(names: pd.Series, tags: pd.Series) -> pd.Series:
         keys = X.AuthorKeys()
 
         def each(listed, tag):
-            found = ((i, places.get((keys[n], tag))) for i, n in enumerate(listed if listed is not None else ()) if n is not None)
-            return [i << 32 | entry for i, entry in found if entry is not None]
+            hits = ((n, badges.get((keys[n], tag))) for n in (listed if listed is not None else ()) if n is not None)
+            return [{"authorName": n, "label": label, **known} for n, known in hits if known is not None]
 
         return pd.Series([each(*row) for row in zip(names, tags, strict=True)], dtype=object)
 
-    return hits
+    return found
 
 
 def match_authors(papers: DataFrame, registry: DataFrame, keys: Sequence[str] = PAPER_KEYS, authors: str = "authors",
@@ -146,18 +146,13 @@ def match_authors(papers: DataFrame, registry: DataFrame, keys: Sequence[str] =
     badge = lambda author, known: F.struct(
         author.alias("authorName"), F.lit(label).alias("label"), known["reason"].alias("reason"), known["identityEvidence"].alias("identityEvidence"), known["evidenceUrls"].alias("evidenceUrls"))
     if is_small(entries, registry_bytes):
-        spark, keyed, places = papers.sparkSession, X.AuthorKeys(), {}
-        rows = sorted(entries.collect(), key=lambda r: r["entry"])  # their bytes were summed above
-        for i, row in enumerate(rows):
+        keyed, badges = X.AuthorKeys(), {}
+        for row in sorted(entries.collect(), key=lambda r: r["entry"]):  # their bytes were summed above
             for who in row["_names"]:
                 for tag in row["fieldTags"] or ():
                     if who is not None:
-                        places.setdefault((keyed[who], tag), i)
-        known = spark.createDataFrame([([r["_why"] for r in rows],)], T.StructType([T.StructField("_known", T.ArrayType(entries.schema["_why"].dataType))]))
-        found = attach_row(papers.withColumn("_hits", _author_hits(places)(F.col(authors), F.col(slug))), known)
-        at = lambda h: badge(F.get(F.col(authors), F.shiftright(h, 32).cast("int")), F.get(F.col("_known"), h.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")))
-        badges = F.transform(F.coalesce("_hits", F.array().cast("array<bigint>")), at)
-        return found.withColumn(name, badges.cast(f"array<{schemas.BADGE}>")).drop("_hits", "_known")
+                        badges.setdefault((keyed[who], tag), row["_why"].asDict())
+        return papers.withColumn(name, _author_badges(badges, label)(F.col(authors), F.col(slug)))
     known = (entries.select(F.explode(X.author_keys("_names")).alias("_name"), "entry", F.explode("fieldTags").alias("_tag"), "_why")
              .groupBy("_name", "_tag").agg(F.min_by("_why", "entry").alias("_why")))
     numbered = cut_lineage(papers.withColumn("_paper", F.monotonically_increasing_id()))
