@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dayfolio.plans.jobs import reduced_arrivals
 from dayfolio.sources.writers import is_folder, path_exists
-from dayfolio.streaming.state import ImportProcessor
+from dayfolio.streaming.state import ImportProcessor, use_typed_state
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -104,6 +104,7 @@ def import_stream(records: DataFrame, store: str, refused: str, checkpoint: str,
     overwrites, so a restart cannot add twice.
     """
     spark = records.sparkSession
+    use_typed_state(spark)
     landed = f"{checkpoint}/reduced"
 
     def reduce(batch: DataFrame, number: int) -> None:

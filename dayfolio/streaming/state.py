@@ -14,7 +14,7 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dayfolio import config
@@ -34,6 +34,11 @@ RETRY_HOURS, PROBE_HOURS, ORPHAN_HOURS = config.RETRY_HOURS, config.PROBE_RETRY_
 HOUR = 3_600_000_000
 
 
+def use_typed_state(spark: SparkSession) -> None:
+    """Sets the state store that processors of this module need; Spark's default one cannot hold typed state."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def _micros(value: datetime) -> int:
     return (pd.Timestamp(value).tz_localize(None).to_pydatetime() - EPOCH) // timedelta(microseconds=1)
 
@@ -198,6 +203,7 @@ def retry_stream(events: DataFrame, keys: list[str], late: str) -> DataFrame:
     ``late_event_id`` (see ``late_events``). Repeated events count once, as the
     state takes the newest of each kind.
     """
+    use_typed_state(events.sparkSession)
     processor = RetryProcessor()
     processor.keys = list(keys)
     watched = events.withWatermark("event_time", late)

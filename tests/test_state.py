@@ -259,3 +259,16 @@ def test_attempt_rows_decode_receipts(spark):
     rows = J.attempt_rows(frame(spark, [{**base, "message": m} for m in (good, "text", R.BLOCKER_PREFIX + "{}")], schemas.ATTEMPT)).collect()
     assert [(r.structured, r.malformed) for r in rows] == [(True, False), (False, False), (False, True)]
     assert rows[0].observed_at == datetime(2026, 7, 10, 1) and rows[1].observed_at == datetime(2026, 7, 10, 2)
+
+
+def test_import_stream_brings_its_own_state_store(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.unset(provider)
+    try:
+        spark.createDataFrame([("a", "one"), ("b", "two"), ("a", "one")], "date string, payload string").write.parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("date string, payload string").parquet(f"{tmp_path}/in")
+        ingest.import_stream(stream, f"{tmp_path}/store", f"{tmp_path}/refused", f"{tmp_path}/c", ["date"]).awaitTermination()
+        assert sorted(r.date for r in spark.read.parquet(f"{tmp_path}/store").collect()) == ["a", "b"]
+    finally:
+        spark.conf.set(provider, before)
