@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dayfolio.functions import text as X
 from dayfolio.sources import archives, pages as G, readers
 from dayfolio.workload.derive import issue_rows, padded
-from dayfolio.workload.registry import query, table
+from dayfolio.workload.registry import query, spread, table
 
 
 @query("s6_read_pages", "SELECT page_id, CASE WHEN octet_length(encode(html)) > 4000 THEN 'too large' END AS reason FROM pages")
@@ -90,7 +90,7 @@ def extract_week(spark, folder):
 
 def abstract_pages(spark, folder):
     """An abstract page per customer; some name another paper, some link their comments."""
-    c = table(spark, folder, "customer")
+    c = spread(table(spark, folder, "customer"), "c_custkey")
     k = F.col("c_custkey")
     number = F.concat(F.lit("2607."), padded(k % 100000))
     meta = lambda name, value: F.concat(F.lit(f'<meta name="{name}" content="'), value, F.lit('" />'))
