@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dayfolio import config
-from dayfolio.functions.text import is_blank
+from dayfolio.functions.text import is_blank, let
 
 
 def _column(c: Column | str) -> Column:
@@ -172,28 +172,35 @@ def encode_blocker(receipt: Column, observed_at: Column, prefix: str = BLOCKER_P
     """Message text for a receipt; null when the receipt or the text is unsafe."""
     payload = F.to_json(F.struct(F.lit("1.0").alias("schemaVersion"), F.lit("source_blocker").alias("kind"),
                                  iso_time(observed_at).alias("observedAt"), receipt.alias("receipt")))
-    message = F.concat(F.lit(prefix), payload)
-    safe = (F.char_length(message) <= config.MAX_MESSAGE_CHARACTERS) & ~message.rlike(UNSAFE_TEXT)
-    return F.when(receipt_is_valid(receipt) & observed_at.isNotNull() & safe, message)
+    valid = receipt_is_valid(receipt) & observed_at.isNotNull()
+    return let(F.concat(F.lit(prefix), payload), lambda message: F.when(
+        valid & (F.char_length(message) <= config.MAX_MESSAGE_CHARACTERS) & ~message.rlike(UNSAFE_TEXT), message))
 
 
 def decode_blocker(c: Column | str, prefix: str = BLOCKER_PREFIX) -> Column:
     """``struct<blocker, malformed>``: both empty for ordinary text."""
-    text = _column(c)
-    reserved = F.coalesce(text.startswith(prefix), F.lit(False))
-    body = F.substr(text, F.lit(len(prefix) + 1))
-    payload = F.from_json(F.when(reserved, body), BLOCKER)
-    keys = F.json_object_keys(body)
-    receipt_keys = F.json_object_keys(F.get_json_object(body, "$.receipt"))
-    valid = F.coalesce(
-        (F.sort_array(keys) == F.array(*[F.lit(k) for k in ("kind", "observedAt", "receipt", "schemaVersion")]))
-        & (F.sort_array(receipt_keys) == F.array(*[F.lit(k) for k in (
-            "arxivId", "failureClass", "provisionalCandidateIds", "schemaVersion", "status")]))
-        & (payload["schemaVersion"] == "1.0") & (payload["kind"] == "source_blocker")
-        & parse_iso(payload["observedAt"]).isNotNull() & receipt_is_valid(payload["receipt"])
-        & (F.char_length(text) <= config.MAX_MESSAGE_CHARACTERS) & ~text.rlike(UNSAFE_TEXT),
-        F.lit(False))
-    return F.struct(F.when(reserved & valid, payload).alias("blocker"), (reserved & ~valid).alias("malformed"))
+    def decoded(text: Column) -> Column:
+        reserved = F.coalesce(text.startswith(prefix), F.lit(False))
+        body = F.substr(text, F.lit(len(prefix) + 1))
+        # The message is parsed once; the conditions below read its parts.
+        parts = F.struct(F.from_json(F.when(reserved, body), BLOCKER).alias("payload"), F.sort_array(F.json_object_keys(body)).alias("keys"),
+                         F.sort_array(F.json_object_keys(F.get_json_object(body, "$.receipt"))).alias("receipt_keys"))
+
+        def judged(read: Column) -> Column:
+            payload = read["payload"]
+            valid = F.coalesce(
+                (read["keys"] == F.array(*[F.lit(k) for k in ("kind", "observedAt", "receipt", "schemaVersion")]))
+                & (read["receipt_keys"] == F.array(*[F.lit(k) for k in (
+                    "arxivId", "failureClass", "provisionalCandidateIds", "schemaVersion", "status")]))
+                & (payload["schemaVersion"] == "1.0") & (payload["kind"] == "source_blocker")
+                & parse_iso(payload["observedAt"]).isNotNull() & receipt_is_valid(payload["receipt"])
+                & (F.char_length(text) <= config.MAX_MESSAGE_CHARACTERS) & ~text.rlike(UNSAFE_TEXT),
+                F.lit(False))
+            return let(valid, lambda holds: F.struct(F.when(reserved & holds, payload).alias("blocker"), (reserved & ~holds).alias("malformed")))
+
+        return let(parts, judged)
+
+    return let(_column(c), decoded)
 
 
 # Paths and source text ------------------------------------------------------------------

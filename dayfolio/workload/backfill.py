@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dayfolio.functions import records as R, times
+from dayfolio.functions import records as R, text as X, times
 from dayfolio.operators import reconcile as RC
 from dayfolio.plans import backfill as B
 from dayfolio.workload.derive import ANNOUNCED, announcements, issue_rows
-from dayfolio.workload.registry import query, table
+from dayfolio.workload.registry import query, spread, table
 
 SLUGS = "(VALUES ('quant-ph'), ('gr-qc'), ('hep-th')) AS v(slug)"
 TODAY = "2024-01-31"
@@ -360,10 +360,10 @@ def ratio(spark, folder):
 
 @query("h22_blocker_codec", """SELECT event_id, event_id % 3 = 0 AS held, event_id % 3 = 1 AS malformed, CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS observed FROM events""")
 def blocker_codec(spark, folder):
-    e = table(spark, folder, "events")
+    e = spread(table(spark, folder, "events"), "event_id")
     number = valid_id("event_id")
     receipt = F.struct(F.lit("1.0").alias("schemaVersion"), F.lit("source_incomplete").alias("status"), number.alias("arxivId"), F.lit(R.config.PROBE_FAILURE).alias("failureClass"), F.array(number).alias("provisionalCandidateIds"))
     good = R.encode_blocker(receipt, F.date_trunc("second", F.col("ts")).cast("timestamp_ntz"))
     text = F.when(F.col("event_id") % 3 == 0, good).when(F.col("event_id") % 3 == 1, F.concat(F.substr(good, F.lit(1), F.length(good) - 3), F.lit("}"))).otherwise("plain words")
-    d = e.withColumn("d", R.decode_blocker(text))
+    d = X.once(e, d=R.decode_blocker(text))
     return d.select("event_id", F.col("d.blocker").isNotNull().alias("held"), F.col("d.malformed").alias("malformed"), F.date_format(R.parse_iso("d.blocker.observedAt"), "yyyy-MM-dd HH:mm:ss").alias("observed"))
