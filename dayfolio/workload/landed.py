@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayfolio import config
@@ -16,19 +24,31 @@ from dayfolio.workload.registry import query, table
 def land(df: DataFrame, label: str, name: Column, text: Column) -> str:
     """Writes each row's text, and a line feed, to a file of the given name; returns the folder.
 
-    Tasks write the content, each file in a folder of its own; the driver only
-    renames them, one call per file. Files here stand for dates, categories or
-    suppliers, not for single records.
+    Tasks write the files under their names, so the driver does nothing per
+    file. Rows of one name are lines of one file. A file is written beside the
+    folder and moved there when it is whole, so a repeated task does no harm.
     """
     spark = df.sparkSession
     folder = scratch(spark, label)
-    df.select(name.alias("file"), text.alias("text")).repartition("file").write.partitionBy("file").text(f"{folder}/written")
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(f"{folder}/files"))
-    for entry in files.globStatus(path(f"{folder}/written/file=*/part-*")):
-        found = entry.getPath()
-        files.rename(found, path(f"{folder}/files/{found.getParent().getName().removeprefix('file=')}"))
+    files.mkdirs(path(f"{folder}/written"))
+    target = re.sub("^file:/+", "file:///", path(folder).makeQualified(files.getUri(), files.getWorkingDirectory()).toString())
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = pa.fs.FileSystem.from_uri(target)
+        lines = ((n, t) for batch in batches for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for file, held in groupby(lines, key=itemgetter(0)):
+            made = f"{root}/written/{uuid.uuid4().hex}"
+            with store.open_output_stream(made) as out:
+                for _, line in held:
+                    out.write(((line or "") + "\n").encode())
+            store.move(made, f"{root}/files/{file}")
+        yield pa.RecordBatch.from_pydict({"file": pa.array([], pa.string())})
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.select(name.alias("file"), text.alias("text")).repartition(tasks, "file").sortWithinPartitions("file").mapInArrow(write, "file string").count()
     return f"{folder}/files"
 
 
@@ -136,7 +156,7 @@ def read_archives(spark, folder):
     """Archives by the id in their name; those above the limit are rejected without a look inside."""
     k = F.col("k")
     name = F.concat(F.lpad(F.floor(k / 10000).cast("string"), 4, "0"), F.lit("."), F.lpad((k % 10000).cast("string"), 5, "0"), F.lit(".gz"))
-    usable, refused = readers.read_archives(spark, land(supplied(spark, folder), "archives", name, F.col("body")) + "/*", maximum_bytes=120)
+    usable, refused = readers.read_archives(spark, land(supplied(spark, folder), "archives", name, F.col("body")), maximum_bytes=120)
     return usable.select("id", "length", F.lit(None).cast("string").alias("reason"), F.sha2("content", 256).alias("digest")).unionByName(
         refused.select("id", "length", "reason", F.lit(None).cast("string").alias("digest")))
 
