@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayfolio.functions import text as X
-from dayfolio.operators import lint as L
+from dayfolio.operators import lint as L, repetition as RP
 from dayfolio.workload import audits, pages
 
 FOLDER = "/root/testdata/sf0.01"
@@ -27,3 +27,13 @@ def test_overlaps_of_lists_agree_with_those_of_pairs(spark):
     rows = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
     got = rows.select(X.gram_overlap(F.col("a"), F.col("b"), 3).alias("one"), X.gram_overlaps(F.array("a", "b"), F.array("b", "a"), 3).alias("all")).collect()
     assert all(r.one == r.all[0] == r.all[3] for r in got) and any(r.one for r in got)
+
+
+def test_signatures_leave_a_worker_in_small_parts(spark, monkeypatch):
+    structure = {"sample": 1, "ratio": 0.0, "long": 6, "long_left": 3, "long_hiragana": 1, "short": 4, "short_left": 2, "short_hiragana": 1, "gap": 4}
+    texts = ["ab, cd. ef; gh! ij? " * 9, None, "", "abcdefgh", "xy. zw, ab, cd."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    monkeypatch.setattr(RP, "SIGNATURES", 7)
+    got = RP.structure_rows(rows.select("i", "t"), structure, marks="[.,;!?]", letter="[a-z]")
+    cut = X.structure_cutter(structure, "[.,;!?]", "[a-z]")
+    assert sorted(map(tuple, got.collect())) == sorted((i, s) for i, t in enumerate(texts) for s in cut(t)) and got.count() > 7
