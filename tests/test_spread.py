@@ -37,3 +37,21 @@ def test_signatures_leave_a_worker_in_small_parts(spark, monkeypatch):
     got = RP.structure_rows(rows.select("i", "t"), structure, marks="[.,;!?]", letter="[a-z]")
     cut = X.structure_cutter(structure, "[.,;!?]", "[a-z]")
     assert sorted(map(tuple, got.collect())) == sorted((i, s) for i, t in enumerate(texts) for s in cut(t)) and got.count() > 7
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_group_rules_make_no_masks(spark):
+    fields = L.diversity_fields(audits.japanese(spark, FOLDER), ["report_date", "slug"], "index")
+    assert r"\$[^$]*\$" not in _plan(fields) and r"\$[^$]*\$" in _plan(L.prose_fields(audits.japanese(spark, FOLDER)))
+
+
+def test_only_texts_with_marks_are_framed(spark):
+    rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(["ab, cd. ef gh ij"] * 9 + ["plain words only"] * 9 + [None])], "g int, i int, t string")
+    found = RP.template_repeats(rows, F.col("t"), ["g"], "i", marks="[.,]", letter="a-z", content="[c-f]+", sample=2, short_matches=2,
+                                template={"ratio": 0.1, "short_ratio": 0.1, "characters": 4, "hiragana": 2, "punctuation": 2, "slots": 1,
+                                          "short_characters": 4, "short_hiragana": 2, "short_punctuation": 2, "short_slots": 1}, markers=())
+    assert [(r.matches, r.papers, r.first_position) for r in found.collect()] == [(9, 19, 0)]
+    assert "regexp_extract_all(t#" in _plan(found)  # the text itself, before its frame
