@@ -55,3 +55,10 @@ def test_only_texts_with_marks_are_framed(spark):
                                           "short_characters": 4, "short_hiragana": 2, "short_punctuation": 2, "short_slots": 1}, markers=())
     assert [(r.matches, r.papers, r.first_position) for r in found.collect()] == [(9, 19, 0)]
     assert "regexp_extract_all(t#" in _plan(found)  # the text itself, before its frame
+
+
+def test_corrected_rows_are_joined_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(audits, "issue_rows", lambda issues, *columns: seen.append(issues) or issues)
+    audits.correction_issues(spark, FOLDER)
+    assert seen and "LeftOuter" not in _plan(seen[0])  # the audits read the written rows
