@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from dayfolio import schemas
 from dayfolio.functions import text as X
 from dayfolio.operators import lint as L, repetition as RP
 from dayfolio.workload import audits, pages
@@ -62,3 +63,17 @@ def test_corrected_rows_are_joined_once(spark, monkeypatch):
     monkeypatch.setattr(audits, "issue_rows", lambda issues, *columns: seen.append(issues) or issues)
     audits.correction_issues(spark, FOLDER)
     assert seen and "LeftOuter" not in _plan(seen[0])  # the audits read the written rows
+
+
+@pytest.mark.parametrize("canonical", [True, False])
+def test_papers_of_a_page_are_brought_together_once(spark, canonical):
+    ranked = audits.ranked_as(audits.paged(spark, FOLDER), canonical)
+    grouped = ranked.groupBy("report_date", "slug", "page").agg(F.max("rank"), F.max("title"))
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_papers_of_a_date_move_once_into_its_document(spark, monkeypatch):
+    monkeypatch.setattr(audits, "cut_lineage", lambda df: df)
+    plan = _plan(audits.documents(spark, FOLDER, spark.createDataFrame([], schemas.REPORT)))
+    lists = [line for line in plan.splitlines() if "Aggregate" in line and "eminentAuthors" in line and "collect_list" in line]
+    assert lists and all("Aggregate [report_date#" in line and ", slug#" not in line.split("]")[0] for line in lists)
