@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from dayfolio import schemas
 from dayfolio.functions import text as X
 from dayfolio.operators import lint as L, repetition as RP
+from dayfolio.session import BATCH_BYTES
 from dayfolio.workload import audits, pages
+from dayfolio.workload.registry import table
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -77,3 +80,19 @@ def test_papers_of_a_date_move_once_into_its_document(spark, monkeypatch):
     plan = _plan(audits.documents(spark, FOLDER, spark.createDataFrame([], schemas.REPORT)))
     lists = [line for line in plan.splitlines() if "Aggregate" in line and "eminentAuthors" in line and "collect_list" in line]
     assert lists and all("Aggregate [report_date#" in line and ", slug#" not in line.split("]")[0] for line in lists)
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    table(spark, FOLDER, "documents")
+    sizes = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("t")).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert len(sizes) > 5 and max(r.n for r in sizes) < 2 * BATCH_BYTES
+
+
+def test_ascii_stays_out_of_python(spark):
+    rows = spark.createDataFrame([("abc",), ("aé",), ("",), (None,)], "t string")
+    marked = X._beyond_ascii(lambda value: F.concat(value, F.lit("!")), lambda value: value)
+    assert [r[0] for r in rows.select(marked("t")).collect()] == ["abc", "aé!", "", None]
+    texts = ["ﬁ", "é", "plain", None]
+    got = spark.createDataFrame([(texts,)], "t array<string>").select(X.nfkc_list("t"), X.nfkc(F.get("t", F.lit(0)))).first()
+    assert tuple(got) == (["fi", "é", "plain", None], "fi")
