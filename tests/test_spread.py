@@ -10,7 +10,7 @@ from dayfolio import schemas
 from dayfolio.functions import text as X
 from dayfolio.operators import lint as L, repetition as RP
 from dayfolio.session import BATCH_BYTES
-from dayfolio.workload import audits, pages
+from dayfolio.workload import audits, pages, text
 from dayfolio.workload.registry import table
 
 FOLDER = "/root/testdata/sf0.01"
@@ -96,3 +96,7 @@ def test_ascii_stays_out_of_python(spark):
     texts = ["ﬁ", "é", "plain", None]
     got = spark.createDataFrame([(texts,)], "t array<string>").select(X.nfkc_list("t"), X.nfkc(F.get("t", F.lit(0)))).first()
     assert tuple(got) == (["fi", "é", "plain", None], "fi")
+
+
+def test_repeated_texts_are_read_once(spark):
+    assert "normalise(" not in _plan(text.affected_rows(spark, FOLDER))
