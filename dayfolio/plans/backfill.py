@@ -14,6 +14,8 @@ content_digest>), ``latest_date``, ``today`` and, for recovery, ``stored``
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,6 +25,7 @@ from dayfolio.operators.issues import Rule, as_issue, find_issues, union_all
 from dayfolio.operators.ordering import with_position, with_previous
 from dayfolio.operators.reconcile import walk_chain
 from dayfolio.operators.skew import salted_join
+from dayfolio.session import cut_lineage
 
 MODES = ("normal", "checkpoint_recovery", "aged_checkpoint_recovery", "aged_window_continuation")
 NOTHING, SELECTED = "nothing", "selected"
@@ -273,12 +276,14 @@ def check_selection_evidence(df: DataFrame, evidence: str = "evidence", keys: Ma
 def check_chain(entries: DataFrame, keys: Sequence[str], position: str = "position", anchor: str = "anchor", target: str = "target",
                 issue_keys: Mapping[str, str] | None = None) -> DataFrame:
     """Each anchor is the previous target, and targets move forward."""
-    stepped = with_previous(entries, keys, [position], {"_before": target})
+    issue_keys = issue_keys or {"id": keys[0], "position": position} if keys else {"position": position}
+    narrow = entries.select(*dict.fromkeys([*keys, position, anchor, target, *issue_keys.values()]))
+    stepped = with_previous(narrow, keys, [position], {"_before": target})
     first = F.col("_before").isNull()
     return find_issues(stepped, [
         Rule(anchor, "chain", "must be the previous target", F.col(anchor) == F.col("_before"), applies=~first),
         Rule(target, "chain", "must be newer than its anchor", F.col(target) > F.col(anchor)),
-    ], issue_keys or {"id": keys[0], "position": position} if keys else {"position": position}, "entry")
+    ], issue_keys, "entry")
 
 
 def position_mode(position: Column) -> Column:
@@ -310,9 +315,13 @@ def check_plan(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
         Rule("target", "window", "must lie in the window", F.array_contains(dates, F.col("target")), applies=~head),
         Rule("anchor", "window", "must lie in the window", F.array_contains(dates, F.col("anchor")), applies=~head & ~second),
     ], issue_keys, "entry")
-    shared = F.sha2(F.to_json(F.struct(e["officialHeadDate"], e["officialHeadFingerprint"], dates, e["completeSnapshotDates"])), 256)
-    mixed = entries.groupBy(*keys).agg((F.min(shared) != F.max(shared)).alias("mixed")).where("mixed")
-    return union_all([rows, check_chain(entries, keys, issue_keys=issue_keys),
+    shared = R.row_lanes(F.to_json(F.struct(e["officialHeadDate"], e["officialHeadFingerprint"], dates, e["completeSnapshotDates"])))
+    lanes = [f"_shared{i}" for i in range(len(shared))]
+    # Windows leave here as numbers: plans are compared, and chains followed, without sorting a window per entry.
+    narrow = cut_lineage(entries.select(*keys, "position", "anchor", "target", *[lane.cast("bigint").alias(name) for lane, name in zip(shared, lanes)]))
+    differs = [F.min(name) != F.max(name) for name in lanes]
+    mixed = narrow.groupBy(*keys).agg(reduce(or_, differs).alias("mixed")).where("mixed")
+    return union_all([rows, check_chain(narrow, keys, issue_keys=issue_keys),
                       as_issue(mixed, "window", "entries must share one window", "entries", {"id": keys[0]}, "plan")])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dayfolio import schemas
 from dayfolio.functions import text as X
 from dayfolio.operators import lint as L, repetition as RP
+from dayfolio.plans import backfill as B
 from dayfolio.session import BATCH_BYTES
 from dayfolio.workload import audits, pages, text
 from dayfolio.workload.registry import table
@@ -100,3 +101,25 @@ def test_ascii_stays_out_of_python(spark):
 
 def test_repeated_texts_are_read_once(spark):
     assert "normalise(" not in _plan(text.affected_rows(spark, FOLDER))
+
+
+def test_windows_of_plans_are_compared_without_sorting_them(spark, tmp_path):
+    schema = ("k long, position int, mode string, anchor date, target date, digest string, new_count int, evidence struct<schemaVersion: string, selectionMode: string, "
+              "expectedLatestDate: date, targetDate: date, targetSnapshotFingerprint: string, officialHeadDate: date, officialHeadFingerprint: string, "
+              "pastweekAnnouncementDates: array<date>, completeSnapshotDates: array<date>>")
+    day = "date '2026-07-{:02d}'".format
+    window = [f"array({', '.join(day(13 + d) for d in days)})" for days in ((3, 2, 1), (3, 1), (3, 2, 1))]
+
+    def entry(k, position, dates, fingerprint="h"):
+        mode = ("aged_checkpoint_recovery", "aged_window_continuation", "normal")[position]
+        return (f"select {k}L, {position}, '{mode}', {day(12 + position)}, {day(13 + position)}, 'g', 1, struct('1.0', '{mode}', {day(12 + position)}, {day(13 + position)}, "
+                f"'g', {day(16)}, '{fingerprint}', {dates}, {dates})")
+
+    rows = [entry(1, i, window[0]) for i in range(3)] + [entry(2, i, window[i]) for i in range(3)] + [entry(3, i, window[0], "hi"[i]) for i in range(2)]
+    entries = spark.sql(" union all ".join(rows))
+    spark.createDataFrame(entries.rdd, schema).write.parquet(f"{tmp_path}/entries")
+    found = B.check_plan(spark.read.parquet(f"{tmp_path}/entries"), ["k"])
+    assert sorted(r.id for r in found.where("kind = 'window' and path = 'entries'").collect()) == ["2", "3"]
+    assert found.where("kind = 'chain'").isEmpty()
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [line for line in lines if "SortAggregate" in line and "StructsToJson" in line or "Scan ExistingRDD" in line and "evidence" in line]
