@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -72,6 +73,39 @@ def test_contained_passages(spark, automaton_bytes):
     assert PS.contained_passages(left.limit(0), right, "p", "d", F.col("a"), F.col("b")).count() == 0
 
 
+def test_long_texts_are_hashed_in_parts(spark, monkeypatch):
+    scans, hashed = [], PS._hashed
+    monkeypatch.setattr(PS, "_hashed", lambda rows, key, of, columns: scans.append(of) or hashed(rows, key, of, columns))
+    left = spark.createDataFrame([(1, "a passage that is long enough to have hashes of its own"), (2, "short")], "p long, a string")
+    right = spark.createDataFrame([(1, "of"), (2, None)], "d long, b string")
+    for of, most in ((PS.contained_passages, 0), (PS.shingle_coverage, 12)):
+        of(left, right, "p", "d", F.col("a"), F.col("b"), most)
+        text = "words of a text " * (1 << 16) + "a passage that is long enough to have hashes of its own short"
+        tracemalloc.start()
+        found = scans[-1](text)[0]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) and peak < 12 * len(text)
+
+
+def test_parts_have_the_runs_of_the_whole(monkeypatch):
+    rng = random.Random(7)
+    for length in (0, 1, 5, 31, 32, 33, 63, 64, 65, 95, 96, 97, 500):
+        monkeypatch.setattr(PS, "PART", rng.choice([1, 7, 32, 64]))
+        text = units("".join(rng.choice("ab ") for _ in range(length)))
+        for size in (1, 12, 31):
+            assert [h for part in PS.in_parts(text, size) for h in PS.run_hashes(part, size)] == list(PS.run_hashes(text, size))
+        assert {h for part in PS.in_parts(text, PS.SHORTEST) for h in PS.winnowed(part)} == set(PS.winnowed(text))
+
+
+def test_only_candidates_are_folded_again(spark):
+    left = spark.createDataFrame([(1, "a passage that is long enough to have hashes of its own")], "p long, a string")
+    right = spark.createDataFrame([(1, "Here is A Passage that is long enough to have hashes of its own."), (2, "nothing"), (3, None)], "d long, b string").repartition(3)
+    found = PS.contained_passages(left, right, "p", "d", F.lower("a"), F.lower("b"))
+    assert "isnotnull(lower(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(1, 1)]
+
+
 def test_shingle_coverage(spark):
     rng = random.Random(6)
     documents = list(enumerate(texts(rng, 40, 60)))
