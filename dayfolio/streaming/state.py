@@ -9,12 +9,12 @@ on their times, not on their arrival.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dayfolio import config
@@ -40,7 +40,7 @@ def use_typed_state(spark: SparkSession) -> None:
 
 
 def _micros(value: datetime) -> int:
-    return (pd.Timestamp(value).tz_localize(None).to_pydatetime() - EPOCH) // timedelta(microseconds=1)
+    return (value.replace(tzinfo=None) - EPOCH) // timedelta(microseconds=1)
 
 
 def _time(micros: int) -> datetime:
@@ -65,6 +65,13 @@ class Attempt:
         if not any(over(f, failure) for f in self.failures):
             self.failures = [f for f in self.failures if not over(failure, f)] + [failure]
 
+    def merge(self, other: Attempt) -> None:
+        """Adds what else is known of the attempt."""
+        self.start = max(filter(None, (self.start, other.start)), default=None)
+        self.end = max(filter(None, (self.end, other.end)), default=None)
+        for failure in other.failures:
+            self.add(failure)
+
     def since(self, done: tuple) -> bool:
         """Forgets what is not after the success; whether anything is left."""
         self.failures = [f for f in self.failures if f[2:4] > done]
@@ -83,7 +90,7 @@ class Attempt:
         return None
 
 
-def _summary(attempts: Iterator[tuple[str, Attempt]], now: int) -> tuple | None:
+def _summary(attempts: Iterable[tuple[str, Attempt]], now: int) -> tuple | None:
     """Retry answer: kind, failures, those with a receipt, delay, when the latest was seen, retry time, its attempt."""
     outcomes = [o for o in (a.outcome(name, now) for name, a in attempts) if o]
     if not outcomes:
@@ -102,62 +109,65 @@ class RetryProcessor(StatefulProcessor):
         self.done = handle.getValueState("done", "at BIGINT, event STRING")
         self.attempts = handle.getMapState("attempts", "attempt STRING", ATTEMPT_STATE)
 
-    def _row(self, key, now: int, answer: tuple | None, late: tuple | None = None) -> dict:
+    def _row(self, key, now: int, answer: tuple | None, late: tuple | None = None) -> Row:
         kind, failures, structured, delay, observed, retry, attempt = answer or (None, 0, 0, None, None, None, None)
-        return dict(zip(self.keys, key)) | {
+        return Row(**dict(zip(self.keys, key)), **{
             "kind": kind, "failure_count": failures, "source_failure_count": structured, "delay_hours": delay,
             "observed_at": None if observed is None else _time(observed), "retry_at": None if retry is None else _time(retry),
             "latest_attempt_id": attempt, "active": answer is not None, "as_of": _time(now),
-            "late_event_id": late and late[1], "late_event_at": _time(late[0]) if late else None}
-
-    def _answer(self, key, now: int) -> dict:
-        return self._row(key, now, _summary(((name[0], Attempt(value)) for name, value in self.attempts.iterator()), now))
+            "late_event_id": late and late[1], "late_event_at": _time(late[0]) if late else None})
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        done = tuple(self.done.get()) if self.done.exists() else None
-        before, newest, watermark = done, 0, timerValues.getCurrentWatermarkInMs()
-        changed: dict[str, Attempt] = {}
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = done = self.done.get()
+        newest, watermark = 0, timerValues.getCurrentWatermarkInMs()
+        arrived: dict[str, Attempt] = {}
         late: list[tuple] = []
-        for frame in rows:
-            for e in frame.itertuples(index=False):
-                order = (_micros(e.at), str(e.event_id))
-                newest = max(newest, order[0])
-                if order[0] < watermark * 1000:
-                    late.append(order)
-                if e.status == "completed":
-                    done = max(done, order) if done else order
-                    continue
-                if done and order <= done or e.status not in ("started", "failed") or e.status == "started" and e.stage not in START_STAGES:
-                    continue
-                name = str(e.attempt_id)
-                if name not in changed:
-                    changed[name] = Attempt(self.attempts.getValue((name,)) if self.attempts.containsKey((name,)) else None)
-                own, structured = changed[name], bool(e.structured) if e.structured is not None else False
-                if e.status == "started":
-                    own.start = max(own.start or order, order)
-                else:
-                    own.end = max(own.end or order, order)
-                    if structured or e.stage in RETRY_STAGES:
-                        own.add((structured, _micros(e.observed_at), *order, str(e.stage)))
-        if done != before:  # a new success: what it ends goes from the state
+        for e in rows:
+            order = (_micros(e.at), str(e.event_id))
+            newest = max(newest, order[0])
+            if order[0] < watermark * 1000:
+                late.append(order)
+            status = e.status
+            if status == "completed":
+                done = max(done, order) if done else order
+                continue
+            if done and order <= done or status not in ("started", "failed") or status == "started" and e.stage not in START_STAGES:
+                continue
+            own, structured = arrived.setdefault(str(e.attempt_id), Attempt()), bool(e.structured)
+            if status == "started":
+                own.start = max(own.start or order, order)
+            else:
+                own.end = max(own.end or order, order)
+                if structured or e.stage in RETRY_STAGES:
+                    own.add((structured, _micros(e.observed_at), *order, str(e.stage)))
+        # The state is read once, and told only what is left after the newest success.
+        held = {name[0]: Attempt(value) for name, value in self.attempts.iterator()}
+        stored = {name: own.value() for name, own in held.items()}
+        for name, own in arrived.items():
+            held.setdefault(name, Attempt()).merge(own)
+        if done != before:
             self.done.update(done)
-            for name, value in list(self.attempts.iterator()):
-                changed.setdefault(name[0], Attempt(value))
-        for name, own in changed.items():
+        for name, own in list(held.items()):
             if done and not own.since(done):
-                if self.attempts.containsKey((name,)):
+                del held[name]
+                if name in stored:
                     self.attempts.removeKey((name,))
                 continue
-            stored = Attempt(self.attempts.getValue((name,))) if self.attempts.containsKey((name,)) else Attempt()
+            value = own.value()
+            if value == stored.get(name):
+                continue
             due = own.start and own.start[0] // 1000 + ORPHAN_HOURS * 3_600_000 + 1
-            if due and own.start != stored.start and due > watermark:
+            if due and (name not in stored or value[1:3] != stored[name][1:3]) and due > watermark:
                 self.handle.registerTimer(due)
-            self.attempts.updateValue((name,), own.value())
+            self.attempts.updateValue((name,), value)
         now = max(newest, watermark * 1000)
-        yield pd.DataFrame([self._answer(key, now), *(self._row(key, now, None, event) for event in late)])
+        yield self._row(key, now, _summary(held.items(), now))
+        for event in late:
+            yield self._row(key, now, None, event)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame([self._answer(key, expiredTimerInfo.getExpiryTimeInMs() * 1000)])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        yield self._row(key, now, _summary(((name[0], Attempt(value)) for name, value in self.attempts.iterator()), now))
 
     def close(self) -> None:
         pass
@@ -209,7 +219,7 @@ def retry_stream(events: DataFrame, keys: list[str], late: str) -> DataFrame:
     watched = events.withWatermark("event_time", late)
     # Without the watermark's column the operator has nothing to drop by.
     grouped = watched.select(*keys, *EVENT_COLUMNS).groupBy(*keys)
-    return grouped.transformWithStateInPandas(
+    return grouped.transformWithState(
         statefulProcessor=processor, outputStructType=T._parse_datatype_string(RETRY_OUTPUT.format(keys=_fields(events, list(keys)))),
         outputMode="Update", timeMode="EventTime")
 

@@ -272,3 +272,72 @@ def test_import_stream_brings_its_own_state_store(spark, tmp_path):
         assert sorted(r.date for r in spark.read.parquet(f"{tmp_path}/store").collect()) == ["a", "b"]
     finally:
         spark.conf.set(provider, before)
+
+
+class Held:
+    """State of one key in memory, which counts how often it is asked."""
+
+    def __init__(self):
+        self.values, self.calls, self.timers = {}, 0, []
+
+    def _call(self, result=None):
+        self.calls += 1
+        return result
+
+    getValueState = getMapState = lambda self, name, *schema: setattr(self, name, Cell(self)) or getattr(self, name)
+    registerTimer = lambda self, at: self._call(self.timers.append(at))
+
+
+class Cell:
+    def __init__(self, held):
+        self.held, self.value, self.map = held, None, {}
+
+    exists = lambda self: self.held._call(self.value is not None)
+    get = lambda self: self.held._call(self.value)
+    update = lambda self, value: self.held._call(setattr(self, "value", value))
+    containsKey = lambda self, key: self.held._call(key in self.map)
+    getValue = lambda self, key: self.held._call(self.map.get(key))
+    updateValue = lambda self, key, value: self.held._call(self.map.__setitem__(key, value))
+    removeKey = lambda self, key: self.held._call(self.map.pop(key))
+    iterator = lambda self: self.held._call(iter(dict(self.map).items()))
+
+
+class Watermark:
+    getCurrentWatermarkInMs = lambda self: 0
+
+
+def _reply(processor, rows):
+    from pyspark.sql import Row
+
+    names = [part.split()[0] for part in SCHEMA.split(", ")]
+    return list(processor.handleInputRows(("j", "gr-qc"), iter([Row(**dict(zip(names, row))) for row in rows]), Watermark()))
+
+
+def test_state_is_asked_once_for_what_a_success_ends():
+    held, processor = Held(), state.RetryProcessor()
+    processor.keys = list(KEYS)
+    processor.init(held)
+    ended = [event(i, f"a{i}", ("failed", "started")[i % 2], i) for i in range(40)]
+    got = _reply(processor, [*ended, event(40, "s", "completed", 40), event(41, "n", "failed", 41), event(42, "m", "started", 42)])
+    assert [(r.failure_count, r.latest_attempt_id) for r in got] == [(1, "n")] and sorted(held.attempts.map) == [("m",), ("n",)]
+    assert held.calls <= 6 and len(held.timers) == 1  # success, attempts, success, two attempts, a timer
+    held.calls = 0
+    assert _reply(processor, ended)[0].failure_count == 1 and held.calls == 2  # nothing new is told
+
+
+def test_state_in_batches_is_that_of_one_batch():
+    import random
+
+    rng = random.Random(8)
+    for _ in range(200):
+        rows = [event(i, rng.choice("abc"), rng.choice(["started", "failed", "failed", "deferred", "completed"]), rng.randrange(12), rng.choice(["category_generation", "category_repair", "publication"]),
+                      structured=rng.random() < 0.3, observed=rng.randrange(12)) for i in range(rng.randrange(1, 9))]
+        ends = []
+        for parts in ([rows], [[row] for row in rng.sample(rows, len(rows))], [rows[:3], rows[2:]]):
+            held, processor = Held(), state.RetryProcessor()
+            processor.keys = list(KEYS)
+            processor.init(held)
+            for part in parts:
+                _reply(processor, part)
+            ends.append((held.done.value, {k: (sorted(v[0]), *v[1:]) for k, v in held.attempts.map.items()}))
+        assert ends[0] == ends[1] == ends[2]
