@@ -123,3 +123,30 @@ def test_windows_of_plans_are_compared_without_sorting_them(spark, tmp_path):
     assert found.where("kind = 'chain'").isEmpty()
     lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
     assert not [line for line in lines if "SortAggregate" in line and "StructsToJson" in line or "Scan ExistingRDD" in line and "evidence" in line]
+
+
+def test_texts_of_a_paper_are_brought_to_normal_form_in_one_array(spark):
+    plan = _plan(L.prose_fields(audits.japanese(spark, FOLDER)))
+    assert 0 <= plan.index("posexplode") < plan.index("ArrowEvalPython")  # below the generator, so once per paper
+
+
+def test_only_rows_that_may_match_are_matched(spark):
+    patterns = [*L.LITERALS, *L.CLASSES]
+    texts = ["(energy)", "（エネルギー energy）", "相 の", "を解析。", "総合点は80/100", "信頼性は20点", "公式概要", "全文で確認", "要旨だけ", "と追跡したが", "独立に再現していない",
+             "Software", "ſoftware", "rank-1", "an echo", "the plain words", "waveの", "Quantum fields", "plain", "", None, "らりるれろ"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    value = F.col("t")
+    got = rows.select(*[F.struct(L.may_match(value, p).alias("may"), value.rlike(p).alias("is")).alias(f"p{i}") for i, p in enumerate(patterns)]).collect()
+    assert all(p["may"] or not p["is"] for r in got for p in r)
+    for place in range(len(patterns)):
+        assert any(r[place]["is"] for r in got) and any(r[place]["may"] is False for r in got)
+    assert rows.select(L.may_match(value, "unknown")).distinct().collect() == [(True,)]
+
+
+def test_folding_agrees_with_squeezing_any_text(spark):
+    texts = ["Ab c", " a", "a ", "a  b", "a\tb", "a　b", " a", "a \n", "a \u0085", "\u0085", "", None, "ＡＢ　c", "あい"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(X.fold_prose(F.col("t")).alias("now"), X.squeeze_space(F.lower("t")).alias("all"),
+                      X.is_blank("t").alias("blank"), F.coalesce(X.trim_space("t") == "", F.lit(True)).alias("empty"),
+                      X.count_script("t", X.JAPANESE).alias("n"), F.regexp_count("t", F.lit(f"[{X.JAPANESE}]")).alias("m")).collect()
+    assert all(r.now == r.all and r.blank == r.empty and r.n == r.m for r in got)
