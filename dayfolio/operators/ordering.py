@@ -50,8 +50,14 @@ def _before(ranged: DataFrame, group: Sequence[str], last: Column, across) -> Da
 
 
 def with_position(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                  name: str = "position", ranges: int | None = None) -> DataFrame:
-    """Adds the 1-based place of each row in its group."""
+                  name: str = "position", ranges: int | None = None, small_groups: bool = False) -> DataFrame:
+    """Adds the 1-based place of each row in its group.
+
+    With ``small_groups``, for groups that are known to fit a task, such as the
+    papers of a document, nothing is written.
+    """
+    if group and small_groups:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(sort_key(order))).cast("bigint"))
     if not group:
         return with_position(df.withColumn("_all", F.lit(0)), ["_all"], order, name, ranges).drop("_all")
     ranged = with_range(df, group, order, ranges)
@@ -66,8 +72,11 @@ def with_position(df: DataFrame, group: Sequence[str], order: Sequence[Column |
 
 
 def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                  columns: dict[str, Column | str], ranges: int | None = None) -> DataFrame:
+                  columns: dict[str, Column | str], ranges: int | None = None, small_groups: bool = False) -> DataFrame:
     """Adds, under each new name, the value the preceding row of the group has."""
+    if group and small_groups:
+        before = Window.partitionBy(*group).orderBy(sort_key(order))
+        return df.withColumns({n: F.lag(c).over(before) for n, c in columns.items()})
     if not group:
         whole = df.withColumn("_all", F.lit(0))
         return with_previous(whole, ["_all"], order, columns, ranges).drop("_all")

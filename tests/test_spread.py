@@ -150,3 +150,22 @@ def test_folding_agrees_with_squeezing_any_text(spark):
                       X.is_blank("t").alias("blank"), F.coalesce(X.trim_space("t") == "", F.lit(True)).alias("empty"),
                       X.count_script("t", X.JAPANESE).alias("n"), F.regexp_count("t", F.lit(f"[{X.JAPANESE}]")).alias("m")).collect()
     assert all(r.now == r.all and r.blank == r.empty and r.n == r.m for r in got)
+
+
+def test_reports_are_written_as_columns(spark):
+    written = audits.reports(spark, FOLDER)
+    assert written.inputFiles() and written.schema["papers"].dataType == audits.reports(spark, FOLDER, canonical=True).schema["papers"].dataType
+    docs = audits.documents(spark, FOLDER, again=False)
+    assert "collect_list" in _plan(docs) and "collect_list" not in _plan(audits.documents(spark, FOLDER))  # read once, so not written
+
+
+def test_places_in_small_groups_write_nothing(spark):
+    from dayfolio.operators.ordering import with_position, with_previous
+    rows = spark.createDataFrame([(g, i, (i * 7) % 11) for g in ("a", "b", None) for i in range(9)], "g string, i int, v int")
+    for ranges in (1, 3):
+        plain = with_position(rows, ["g"], ["v", "i"], ranges=ranges)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, with_position(rows, ["g"], ["v", "i"], small_groups=True).collect()))
+        before = with_previous(rows, ["g"], ["v", "i"], {"b": "v"}, ranges=ranges)
+        assert sorted(map(str, before.collect())) == sorted(map(str, with_previous(rows, ["g"], ["v", "i"], {"b": "v"}, small_groups=True).collect()))
+    assert with_position(rows, ["g"], ["v", "i"], small_groups=True).dtypes == plain.dtypes
+    assert "RDD" not in _plan(with_position(spark.range(9), ["id"], ["id"], small_groups=True))
